@@ -1,23 +1,75 @@
 """Which texts contain which terms, as plain substrings, ignoring case.
 
-A nested loop over texts and terms is never formed. Every term is anchored at
-one of its character grams, the one that the fewest terms share; a text can
-only contain the term if it contains that gram. Texts meet terms by an equi
-join on grams and the full containment is then checked, so the result is
-exactly that of ``lower(text) LIKE '%' || lower(term) || '%'`` without
-wildcards.
+The result is exactly that of ``lower(text) LIKE '%' || lower(term) || '%'``
+without wildcards; a nested loop over texts and terms is never formed.
+
+* Terms within a measured bound travel to the tasks as one automaton, and each
+  text is scanned once where it lies: no shuffle of texts, no pairs to check.
+* Beyond the bound every term is anchored at one of its character grams, the
+  one that the fewest terms share. Texts meet terms by a salted equi join on
+  grams, and candidates are checked against the text.
 """
 
 from __future__ import annotations
 
+import uuid
+from collections.abc import Iterator
+
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidewell.operators.dedup import first_per_key
 from tidewell.operators.sizing import Bound, salted_join
 
+try:
+    import ahocorasick
+except ImportError:  # the gram join then serves every size
+    ahocorasick = None
+
 GRAM = 5
+TERM_BOUND = Bound(max_rows=1_000_000, max_bytes=64 * 1024 * 1024)
+
+
+def distinct_terms(terms: DataFrame, term: str) -> DataFrame:
+    """Distinct lower-case terms; blank terms are left out."""
+    return (
+        terms.select(F.lower(F.col(term)).alias("term_text"))
+        .filter(F.char_length("term_text") > 0).distinct()
+    )
+
+
+# ── bounded terms: one scan per text ─────────────────────────────────────────
+
+_BUILT: dict[str, object] = {}
+
+
+def _automaton(name: str, terms: list[str]):
+    """The automaton of one term list, built once per worker process."""
+    if name not in _BUILT:
+        automaton = ahocorasick.Automaton()
+        for number, term in enumerate(terms):
+            automaton.add_word(term, number)
+        automaton.make_automaton()
+        _BUILT.clear()
+        _BUILT[name] = automaton
+    return _BUILT[name]
+
+
+def _terms_scanned(low: DataFrame, key: str, words: list[str]) -> DataFrame:
+    terms, name = low.sparkSession.sparkContext.broadcast(words), uuid.uuid4().hex
 
+    @F.pandas_udf("array<string>")
+    def scan(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        words = terms.value
+        automaton = _automaton(name, words)
+        for texts in batches:
+            yield texts.map(lambda text: [words[n] for n in {n for _, n in automaton.iter(text)}])
+
+    return low.select(key, F.explode(scan("_text")).alias("term_text"))
+
+
+# ── any number of terms: gram join ───────────────────────────────────────────
 
 def _grams(text: Column, size: int) -> Column:
     """All character grams of one size; linear in the text."""
@@ -28,87 +80,75 @@ def _distinct_grams(text: Column, sizes: list[int]) -> Column:
     return F.array_distinct(F.concat(*[_grams(text, s) for s in sizes]))
 
 
-def anchored_terms(terms: DataFrame, term: str, gram: int = GRAM) -> DataFrame:
-    """Distinct lower-case terms with their anchor gram: (term_text, anchor)."""
-    distinct = (
-        terms.select(F.lower(F.col(term)).alias("term_text"))
-        .filter(F.char_length("term_text") > 0).distinct()
-    )
-    # The list of grams whose size is the term's length, up to the full gram size.
-    own = F.coalesce(*[
-        F.when(F.char_length("term_text") >= s if s == gram else F.char_length("term_text") == s,
-               _grams(F.col("term_text"), s))
-        for s in range(1, gram + 1)
-    ])
+def anchored_terms(distinct: DataFrame, gram: int = GRAM) -> DataFrame:
+    """Terms with their anchor gram: (term_text, anchor).
+
+    A term shorter than the gram size is its own anchor.
+    """
+    length = F.char_length("term_text")
+    own = F.when(length < gram, F.array("term_text")).otherwise(_grams(F.col("term_text"), gram))
     grams = distinct.select("term_text", F.explode(F.array_distinct(own)).alias("anchor"))
     shared = grams.groupBy("anchor").agg(F.count(F.lit(1)).alias("_shared"))
     return first_per_key(grams.join(shared, "anchor"), ["term_text"],
                          [F.col("_shared"), F.col("anchor")]).select("term_text", "anchor")
 
 
+def _terms_joined(low: DataFrame, key: str, distinct: DataFrame, gram: int) -> DataFrame:
+    anchors = anchored_terms(distinct, gram)
+    probes = low.select(key, F.explode(_distinct_grams(F.col("_text"), list(range(1, gram + 1))))
+                        .alias("anchor"))
+    pairs = salted_join(probes, anchors, ["anchor"], F.col(key)).select(key, "term_text").distinct()
+    return pairs.join(low, key).filter(F.contains("_text", "term_text")).select(key, "term_text")
+
+
 def contained_terms(texts: DataFrame, key: str, text: str, terms: DataFrame, term: str,
-                    gram: int = GRAM, bound: Bound = Bound()) -> DataFrame:
+                    bound: Bound = TERM_BOUND, gram: int = GRAM) -> DataFrame:
     """Distinct (key, term_text) with ``term_text`` inside the lower-case text.
 
-    ``key`` is unique in ``texts``. Blank terms match nothing. While the terms
-    are within ``bound``, texts are read once and never shuffled; beyond it
-    only (key, gram) pairs are shuffled, then each text once.
+    ``key`` is unique in ``texts``. Blank terms match nothing.
     """
-    anchors = anchored_terms(terms, term, gram)
+    distinct = distinct_terms(terms, term)
     low = texts.filter(F.col(text).isNotNull()).select(F.col(key), F.lower(F.col(text)).alias("_text"))
-    small = bound.holds(anchors)
-    if small:
-        lengths = anchors.select(F.char_length("anchor").alias("n")).distinct().collect()
-        sizes = sorted(r["n"] for r in lengths)  # at most `gram` numbers
-    else:
-        sizes = list(range(1, gram + 1))
-    if not sizes:
-        sizes = [gram]
-
-    if small:
-        probes = low.select(key, "_text", F.explode(_distinct_grams(F.col("_text"), sizes)).alias("anchor"))
-        return (
-            probes.join(F.broadcast(anchors), "anchor")
-            .filter(F.contains("_text", "term_text"))
-            .select(key, "term_text").distinct()
-        )
-    probes = low.select(key, F.explode(_distinct_grams(F.col("_text"), sizes)).alias("anchor"))
-    candidates = salted_join(probes, anchors, ["anchor"], F.col(key)).select(key, "term_text").distinct()
-    return (
-        candidates.join(low, key).filter(F.contains("_text", "term_text")).select(key, "term_text")
-    )
+    words = bound.take(distinct) if ahocorasick else None
+    if words is None:
+        return _terms_joined(low, key, distinct, gram)
+    if not words:
+        return low.select(key, F.col("_text").alias("term_text")).limit(0)
+    return _terms_scanned(low, key, sorted(row[0] for row in words))
+
 
+# ── uses ─────────────────────────────────────────────────────────────────────
 
 def mention_pairs(texts: DataFrame, key: str, text: str, terms: DataFrame, term_key: str,
-                  term: str, gram: int = GRAM, bound: Bound = Bound()) -> DataFrame:
+                  term: str, bound: Bound = TERM_BOUND) -> DataFrame:
     """Distinct (key, term_key) for every term whose name is mentioned in the text."""
-    hits = contained_terms(texts, key, text, terms, term, gram, bound)
-    names = terms.select(term_key, F.lower(F.col(term)).alias("term_text"))
+    hits = contained_terms(texts, key, text, terms, term, bound)
+    names = terms.select(term_key, F.lower(F.col(term)).alias("term_text")).distinct()
     return hits.join(names, "term_text").select(key, term_key).distinct()
 
 
 def mention_counts(texts: DataFrame, key: str, text: str, terms: DataFrame, term_key: str,
-                   term: str, out: str, gram: int = GRAM, bound: Bound = Bound()) -> DataFrame:
+                   term: str, out: str, bound: Bound = TERM_BOUND) -> DataFrame:
     """Texts per term: (term_key, out); terms without a mention are absent.
 
-    Counted per distinct name first, so that names shared by several terms
-    are counted once.
+    Counted per distinct name first, so a name shared by several terms is
+    counted once, and a name that most texts mention is counted map-side.
     """
-    hits = contained_terms(texts, key, text, terms, term, gram, bound)
+    hits = contained_terms(texts, key, text, terms, term, bound)
     counts = hits.groupBy("term_text").agg(F.count(F.lit(1)).alias(out))
-    names = terms.select(term_key, F.lower(F.col(term)).alias("term_text"))
+    names = terms.select(term_key, F.lower(F.col(term)).alias("term_text")).distinct()
     return counts.join(names, "term_text").select(term_key, out)
 
 
 def name_match(a: DataFrame, a_key: str, a_name: str, b: DataFrame, b_key: str, b_name: str,
-               gram: int = GRAM, bound: Bound = Bound()) -> DataFrame:
+               bound: Bound = TERM_BOUND) -> DataFrame:
     """Distinct (a_key, b_key) where either name contains the other, ignoring case."""
     def one_way(long: DataFrame, long_key: str, long_name: str,
                 short: DataFrame, short_key: str, short_name: str) -> DataFrame:
         # Work on distinct names: many keys may share one.
         names = long.select(F.lower(F.col(long_name)).alias("_name")).distinct()
         pairs = contained_terms(names.withColumn("_copy", F.col("_name")), "_name", "_copy",
-                                short, short_name, gram, bound)
+                                short, short_name, bound)
         return (
             pairs.join(long.select(long_key, F.lower(F.col(long_name)).alias("_name")), "_name")
             .join(short.select(short_key, F.lower(F.col(short_name)).alias("term_text")), "term_text")

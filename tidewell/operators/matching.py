@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import math
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
@@ -131,6 +130,9 @@ def match_jaccard(docs: DataFrame, key: str, title: Column, tokens_by_code: Data
     )
 
     n, m = F.size("_tokens"), F.col("cat_n")
+    # A text far longer or shorter than every code cannot reach the score.
+    longest, shortest = cats.agg(F.max("cat_n")).scalar(), cats.agg(F.min("cat_n")).scalar()
+    base = base.filter((longest >= n * F.lit(min_score) - 1e-9) & (n >= shortest * F.lit(min_score) - 1e-9))
     length_ok = (m >= n * F.lit(min_score) - 1e-9) & (n >= m * F.lit(min_score) - 1e-9)
     shared = F.size(F.array_intersect("_tokens", "cat_tokens"))
     score = (shared / (n + m - shared)).alias("jaccard")
@@ -158,11 +160,6 @@ def keep_max(df: DataFrame, part: Sequence[str], score: str) -> DataFrame:
     return df.withColumn("_rank", F.rank().over(window)).filter("_rank = 1").drop("_rank")
 
 
-def jaccard_index_share(min_score: float, n: int) -> int:
-    """Words indexed for a code of ``n`` words."""
-    return n - math.ceil(min_score * n - 1e-9) + 1
-
-
 def resolve_codes(docs: DataFrame, key: str, by_code: DataFrame, by_term: DataFrame,
                   by_tokens: DataFrame, catalogue: DataFrame) -> DataFrame:
     """Attach codes by precedence: code mention, then term, then similarity.

@@ -25,17 +25,24 @@ class Bound:
 
         Reads at most ``max_rows + 1`` rows and returns two numbers.
         """
-        size = F.lit(0)
-        for name, kind in df.dtypes:
-            text = F.col(f"`{name}`") if kind == "string" else F.to_json(F.struct(F.col(f"`{name}`")))
-            size = size + F.coalesce(F.octet_length(text), F.lit(0)) + 16
         rows, used = (
             df.limit(self.max_rows + 1)
-            .agg(F.count(F.lit(1)), F.coalesce(F.sum(size.cast("bigint")), F.lit(0)))
-            .first()
+            .agg(F.count(F.lit(1)), F.coalesce(F.sum(_row_bytes(df)), F.lit(0))).first()
         )
         return rows <= self.max_rows and used <= self.max_bytes
 
+    def take(self, df: DataFrame) -> list | None:
+        """The rows of ``df`` if they are within the bound, else None."""
+        return df.collect() if self.holds(df) else None
+
+
+def _row_bytes(df: DataFrame) -> Column:
+    size = F.lit(16).cast("bigint")
+    for name, kind in df.dtypes:
+        text = F.col(f"`{name}`") if kind == "string" else F.to_json(F.struct(F.col(f"`{name}`")))
+        size = size + F.coalesce(F.octet_length(text), F.lit(0))
+    return size
+
 
 def salted_join(many: DataFrame, few: DataFrame, on: Sequence[str], spread: Column,
                 salts: int = SALTS, how: str = "inner") -> DataFrame:

@@ -89,6 +89,15 @@ def read_gbd_csv(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(gbd_schema(columns)).option("header", True).csv(path)
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """Deal out the rows of a scan that has fewer tasks than the session has cores.
+
+    For per-row work on few, large row groups. Larger scans stay as they are.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+
+
 def land(df: DataFrame, folder: str, stem: str, day: Column, stamp: str) -> None:
     """Write NDJSON under ``folder/<stem>_<stamp>/dt=YYYY-MM-DD/``."""
     dated = df.withColumn("dt", F.date_format(day, "yyyy-MM-dd"))
