@@ -65,7 +65,7 @@ def flatten_award(raw: DataFrame, categories: DataFrame) -> DataFrame:
         return F.trim(F.coalesce(F.col(name), F.lit("")))
 
     def trimmed(items: Column) -> Column:
-        return F.filter(F.transform(items, F.trim), lambda n: n != "")
+        return F.filter(F.transform(items, lambda x: F.trim(x)), lambda n: n != "")
 
     ids = raw.select("appl_id", F.posexplode("spending_categories").alias("_pos", "_id"))
     named = lookup(ids, F.col("_id"), categories, "category_id", ["category_name"])

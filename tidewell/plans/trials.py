@@ -35,7 +35,7 @@ def ctis_core(df: DataFrame) -> DataFrame:
                           .when(F.col("Trial results") == "No", False),
         "methods": F.struct(_single(F.col("Product")).alias("products"),
                             no_arms.alias("interventions")),
-        "gender": F.transform(F.split("Gender", ","), F.trim),
+        "gender": F.transform(F.split("Gender", ","), lambda x: F.trim(x)),
         "keywords": _none(),
         "conditions": F.split("Medical conditions", r"\."),
         "phases": c.roman_phases(F.col("Trial phase")),
@@ -114,10 +114,12 @@ def ctis_codes(df: DataFrame, key: str, area: str, to_11: DataFrame, to_10: Data
 
     ``to_11`` has (icd10Code, icd11Code), ``to_10`` (icd11Code, icd10Code), one
     row per pair. ICD-11 codes are extended from the ICD-10 codes, then ICD-10
-    codes from all ICD-11 codes. ``key`` is unique in ``df``.
+    codes from all ICD-11 codes. A code that has the ICD-10 shape is taken as
+    ICD-10 only. ``key`` is unique in ``df``.
     """
-    found = df.select(key, _bracketed(F.col(area), icd10).alias("_10"),
-                      _bracketed(F.col(area), icd11).alias("_11"))
+    tens = _bracketed(F.col(area), icd10)
+    found = df.select(key, tens.alias("_10"),
+                      F.array_except(_bracketed(F.col(area), icd11), tens).alias("_11"))
     more_11 = map_list(found, key, "_10", to_11, "icd10Code", "icd11Code", "_more", False)
     with_11 = found.join(more_11, key, "left").select(
         key, "_10", _united(F.col("_11"), F.col("_more")).alias("icd_11_codes"))
