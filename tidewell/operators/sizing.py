@@ -33,7 +33,11 @@ class Bound:
 
     def take(self, df: DataFrame) -> list | None:
         """The rows of ``df`` if they are within the bound, else None."""
-        return df.collect() if self.holds(df) else None
+        kept = df.persist()
+        try:
+            return kept.collect() if self.holds(kept) else None
+        finally:
+            kept.unpersist()
 
 
 def _row_bytes(df: DataFrame) -> Column:

@@ -196,19 +196,19 @@ def assign_keys(df: DataFrame, old: DataFrame, natural: Sequence[str], key: str,
     the buckets before it end. Only the bucket counts meet in one task.
     Existing rows keep their key. ``df`` holds one row per natural key.
     """
-    known = old.select(*natural, key)
-    fresh = df.drop(key).join(known, list(natural), "left_anti").withColumn(
+    known = old.select(*natural, F.col(key).cast("bigint").alias("_old"))
+    tagged = df.drop(key).join(known, list(natural), "left").withColumn(
         "_bucket", F.pmod(F.xxhash64(*natural), F.lit(buckets)).cast("int"))
-    sizes = fresh.groupBy("_bucket").agg(F.count(F.lit(1)).alias("_n"))
+    is_fresh = F.col("_old").isNull()
+    sizes = tagged.groupBy("_bucket").agg(F.count_if(is_fresh).alias("_n"))
     before = Window.orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
     starts = sizes.select("_bucket", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_start"))
     top = old.agg(F.coalesce(F.max(key), F.lit(0)).alias("top")).scalar()
-    inside = F.row_number().over(Window.partitionBy("_bucket").orderBy(*natural))
-    numbered = (
-        fresh.withColumn("_rn", inside).join(starts, "_bucket")
-        .withColumn(key, (top + F.col("_start") + F.col("_rn")).cast("bigint"))
-        .drop("_bucket", "_rn", "_start")
+    inside = Window.partitionBy("_bucket").orderBy(*natural).rowsBetween(Window.unboundedPreceding, 0)
+    # `starts` holds one row per bucket.
+    return (
+        tagged.withColumn("_rank", F.count_if(is_fresh).over(inside))
+        .join(F.broadcast(starts), "_bucket")
+        .withColumn(key, F.coalesce("_old", (top + F.col("_start") + F.col("_rank")).cast("bigint")))
+        .select(key, *[c for c in df.columns if c != key])
     )
-    kept = df.drop(key).join(known.withColumn(key, F.col(key).cast("bigint")), list(natural), "inner")
-    columns = [key, *[c for c in df.columns if c != key]]
-    return kept.select(*columns).unionByName(numbered.select(*columns))

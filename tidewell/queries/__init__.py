@@ -34,5 +34,5 @@ def texts(spark: SparkSession, folder: str, name: str) -> DataFrame:
 def load() -> None:
     """Import all query modules."""
     from tidewell.queries import (  # noqa: F401
-        codes, enrichment, matching, normalising, star, trials, upserts,
+        codes, enrichment, files, matching, normalising, star, trials, upserts,
     )

@@ -11,6 +11,7 @@ from tidewell.queries import query, table
 from tidewell.queries.codes import burden_export
 from tidewell.queries.normalising import NOW
 from tidewell.schemas import DIM_DISEASE, DIM_REGION, DIM_TIME, FACT
+from tidewell.session import cut_lineage
 
 
 def _empty(spark, schema) -> DataFrame:
@@ -37,7 +38,9 @@ def gho_metadata(spark, sf) -> DataFrame:
 
 
 def dim_region(spark, sf) -> DataFrame:
-    return warehouse.build_dim_region(_empty(spark, DIM_REGION), gbd_metadata(spark, sf), gho_metadata(spark, sf))
+    """Stored like a real dimension: later steps read it, they do not rebuild it."""
+    return cut_lineage(warehouse.build_dim_region(
+        _empty(spark, DIM_REGION), gbd_metadata(spark, sf), gho_metadata(spark, sf)))
 
 
 def flat_codes(spark, sf) -> DataFrame:
@@ -55,11 +58,12 @@ def code_titles(spark, sf) -> DataFrame:
 
 
 def dim_disease(spark, sf) -> DataFrame:
-    return warehouse.build_dim_disease(_empty(spark, DIM_DISEASE), flat_codes(spark, sf), code_titles(spark, sf))
+    return cut_lineage(warehouse.build_dim_disease(
+        _empty(spark, DIM_DISEASE), flat_codes(spark, sf), code_titles(spark, sf)))
 
 
 def dim_time(spark, sf) -> DataFrame:
-    return warehouse.build_dim_time(_empty(spark, DIM_TIME), years(spark, sf))
+    return cut_lineage(warehouse.build_dim_time(_empty(spark, DIM_TIME), years(spark, sf)))
 
 
 def years(spark, sf) -> DataFrame:
@@ -102,7 +106,7 @@ def dim_time_missing(spark, sf):
     orders = table(spark, sf, "orders")
     latest = orders.agg(F.max(F.year("o_orderdate"))).scalar()
     stored = orders.filter("o_orderstatus = 'F'").select(F.year("o_orderdate").alias("year")).filter(F.col("year") != latest)
-    old = warehouse.build_dim_time(_empty(spark, DIM_TIME), stored)
+    old = cut_lineage(warehouse.build_dim_time(_empty(spark, DIM_TIME), stored))
     return warehouse.build_dim_time(old, years(spark, sf))
 
 
@@ -112,9 +116,10 @@ def health(spark, sf) -> DataFrame:
     return rows.withColumn("source_data", F.when(F.col("upper") > 26, "GHO").otherwise("IHME"))
 
 
-def candidates(spark, sf) -> DataFrame:
-    return warehouse.fact_candidates(health(spark, sf), gbd_metadata(spark, sf), gho_metadata(spark, sf),
-                                     dim_disease(spark, sf), dim_region(spark, sf), dim_time(spark, sf))
+def facts(spark, sf, diseases: DataFrame, regions: DataFrame, times: DataFrame) -> DataFrame:
+    rows = warehouse.fact_candidates(health(spark, sf), gbd_metadata(spark, sf), gho_metadata(spark, sf),
+                                     diseases, regions, times)
+    return warehouse.build_fact(_empty(spark, FACT), rows, NOW)
 
 
 @query("""
@@ -151,9 +156,9 @@ f AS (SELECT icd10_code, icd11_code, country_code, y AS year, source_key, arg_mi
 SELECT icd10_code, icd11_code, country_code, year, source_key, round(v, 4) AS daly_value FROM f
 """)
 def burden_fact(spark, sf):
-    fact = warehouse.build_fact(_empty(spark, FACT), candidates(spark, sf), NOW)
-    return fact.join(dim_disease(spark, sf), "disease_key").join(dim_region(spark, sf), "region_key") \
-        .join(dim_time(spark, sf), "time_key").select(
+    diseases, regions, times = dim_disease(spark, sf), dim_region(spark, sf), dim_time(spark, sf)
+    return facts(spark, sf, diseases, regions, times).join(diseases, "disease_key") \
+        .join(regions, "region_key").join(times, "time_key").select(
             "icd10_code", "icd11_code", "country_code", "year", "source_key", F.round("daly_value", 4).alias("daly_value"))
 
 
@@ -209,6 +214,6 @@ SELECT CAST((SELECT count(*) FROM r) AS BIGINT) AS regions, CAST((SELECT count(*
 """)
 def verify_counts(spark, sf):
     regions, diseases = dim_region(spark, sf), dim_disease(spark, sf)
-    fact = warehouse.build_fact(_empty(spark, FACT), candidates(spark, sf), NOW)
+    fact = facts(spark, sf, diseases, regions, dim_time(spark, sf))
     dim_trials = warehouse.build_dim_trials(trial_master(spark, sf), regions, diseases, NOW)
     return warehouse.verify(regions, diseases, fact, dim_trials)
