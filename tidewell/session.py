@@ -49,6 +49,11 @@ def scratch_path(spark: SparkSession, stem: str) -> str:
 
 
 def cut_lineage(df):
-    """Materialise ``df`` through a reliable checkpoint."""
-    shared_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    """``df`` as a written table in the shared folder.
+
+    The table survives lost executors, and unlike a checkpointed RDD it has a
+    known size, so that later joins can tell a small side from a large one.
+    """
+    path = scratch_path(df.sparkSession, "table")
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
