@@ -80,7 +80,9 @@ def extract_dimensions(df: DataFrame, countries: DataFrame | None = None) -> Dat
                  F.col(f"{base}_name").alias("name"))
         for base in id_name_pairs(df.columns)
     ])
-    rows = df.select(F.inline(entries)).groupBy("dimension", "id").agg(F.min("name").alias("name"))
+    # Distinct rows first: they are hashed map-side, so few reach the minimum over names.
+    rows = df.select(F.inline(entries)).distinct() \
+             .groupBy("dimension", "id").agg(F.min("name").alias("name"))
     if countries is None:
         return rows
     places = F.col("dimension") == "location"

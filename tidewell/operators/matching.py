@@ -11,6 +11,7 @@ from pyspark.sql.window import Window
 from tidewell.functions.fixed_values import EXCLUDED_CHAPTERS, ICD10_PATTERN, ICD11_PATTERN
 from tidewell.functions.text import clean_text, words
 from tidewell.operators.dedup import first_per_key
+from tidewell.operators.rows import explode_once
 from tidewell.operators.sizing import Bound, salted_join
 
 
@@ -31,7 +32,7 @@ def match_codes(docs: DataFrame, key: str, text: Column, valid_codes: DataFrame,
         F.regexp_extract_all(upper, F.lit(f"(?U){p}"), F.lit(0)) for p in patterns
     ]))
     return (
-        docs.select(key, F.explode(found).alias(code))
+        explode_once(docs, [key], found, code)
         .join(valid_codes.select(code).distinct(), code, "left_semi")
         .select(key, code).distinct()
     )
@@ -75,15 +76,14 @@ def match_dictionary(docs: DataFrame, key: str, title: Column, text: Column, ter
         return F.concat(F.lit(" "), F.trim(clean_text(value)), F.lit(" "))
 
     base = docs.select(key, padded(text).alias("_text"), padded(title).alias("_title"))
-    probes = F.explode(words(F.col("_text"))).alias("first_word")
-    hit = F.contains("_text", "search_name")
+    probe, hit = words(F.col("_text")), F.contains("_text", "search_name")
     slim = terms.select("first_word", "search_name", "name", "icd_code", "wc")
     if bound.holds(slim):
         # Texts stay where they are; the dictionary comes to them.
-        hits = base.select(key, "_text", "_title", probes) \
-                   .join(F.broadcast(slim), "first_word").filter(hit)
+        hits = explode_once(base, [key, "_text", "_title"], probe, "first_word") \
+            .join(F.broadcast(slim), "first_word").filter(hit)
     else:
-        pairs = salted_join(base.select(key, probes), slim, ["first_word"], F.col(key))
+        pairs = salted_join(explode_once(base, [key], probe, "first_word"), slim, ["first_word"], F.col(key))
         hits = pairs.join(base, key).filter(hit)
     rank = F.struct(
         (-F.col("wc")).alias("wc"), (~F.contains("_title", "search_name")).alias("t"), F.col("name"))
@@ -113,7 +113,8 @@ def match_jaccard(docs: DataFrame, key: str, title: Column, tokens_by_code: Data
     must be shared, so one of any ``n - ceil(min_score * n) + 1`` of them is.
     Frequent words therefore rarely form pairs and no pair is lost.
     """
-    base = docs.select(key, words(clean_text(title)).alias("_tokens")) \
+    # Generated, not projected: filters on the words must not compute them again.
+    base = docs.select(key, F.inline(F.array(F.struct(words(clean_text(title)).alias("_tokens"))))) \
                .filter(F.size("_tokens") >= max(min_tokens, 1))
     cats = tokens_by_code.select("icd_code", "cat_tokens", F.size("cat_tokens").alias("cat_n"))
 

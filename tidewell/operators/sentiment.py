@@ -28,9 +28,8 @@ def score_sentiment(df: DataFrame, key: str, text: str, lexicon: DataFrame,
     # Outer punctuation is not part of a word; inner apostrophes and hyphens are.
     found = F.regexp_extract_all(
         F.lower(F.col(text)), F.lit(r"(?U)[\p{L}\p{N}](?:[\p{L}\p{N}'’-]*[\p{L}\p{N}])?"), F.lit(0))
-    # A leading null keeps texts without any word.
-    tokens = F.concat(F.array(F.lit(None).cast("string")), found)
-    words = spoken.select(key, F.explode(tokens).alias("word"))
+    # The outer form keeps texts without any word.
+    words = spoken.select(key, F.explode_outer(found).alias("word"))
     if bound.holds(lexicon):
         scored = words.join(F.broadcast(lexicon), "word", "left")
     else:

@@ -9,7 +9,8 @@ from tidewell.functions import clinical as c
 from tidewell.functions.dates import DAY_FIRST, YEAR_FIRST, complete_date, parse_day
 from tidewell.functions.fixed_values import CTIS_COLUMNS, ICD10_PATTERN, ICD11_PATTERN
 from tidewell.functions.text import null_tokens, title_case
-from tidewell.operators.lookups import conform, map_list, with_matching
+from tidewell.operators.lookups import conform, with_matching
+from tidewell.operators.rows import explode_once
 from tidewell.schemas import TRIALS
 
 _DATES = r"(?i)(date|updated)$"
@@ -87,46 +88,47 @@ def _bracketed(text: Column, pattern: str) -> Column:
                        lambda x: F.btrim(x, F.lit("[]")))
 
 
-def _chaptered(codes: DataFrame, key: str, catalogue: DataFrame) -> DataFrame:
-    """(key, icd_11): each code of the list with its own chapter."""
-    rows = codes.select(key, F.explode("icd_11_codes").alias("code"))
-    chapters = catalogue.select(F.col("icd_code").alias("code"), "chapter")
-    return rows.join(chapters, "code", "left").groupBy(key).agg(
-        F.array_sort(F.collect_set(F.struct("code", "chapter"))).alias("icd_11"))
+def _code_struct(tens: DataFrame, elevens: DataFrame, key: str, catalogue: DataFrame) -> DataFrame:
+    """(key, codes) from (key, ten) and (key, eleven) rows; each code with its own chapter."""
+    chapters = catalogue.select(F.col("icd_code").alias("eleven"), "chapter")
+    pairs = elevens.join(chapters, "eleven", "left").select(
+        key, F.struct(F.col("eleven").alias("code"), "chapter").alias("pair"))
+    both = tens.select(key, "ten").unionByName(pairs, allowMissingColumns=True)
+    return both.groupBy(key).agg(
+        F.struct(F.array_sort(F.collect_set("ten")).alias("icd_10"),
+                 F.array_sort(F.collect_set("pair")).alias("icd_11")).alias("codes"))
 
 
-def _code_struct(df: DataFrame, codes: DataFrame, key: str, catalogue: DataFrame) -> DataFrame:
-    pairs = _chaptered(codes, key, catalogue)
-    empty = F.array().cast("array<struct<code: string, chapter: string>>")
-    whole = codes.join(pairs, key, "left").select(key, F.struct(
-        F.col("icd_10_codes").alias("icd_10"), F.coalesce("icd_11", empty).alias("icd_11")).alias("codes"))
-    return df.join(whole, key, "left")
+def _with_codes(df: DataFrame, codes: DataFrame, key: str) -> DataFrame:
+    empty = F.struct(_none().alias("icd_10"),
+                     F.array().cast("array<struct<code: string, chapter: string>>").alias("icd_11"))
+    return df.join(codes, key, "left").withColumn("codes", F.coalesce("codes", empty))
 
 
-def _united(own: Column, more: Column) -> Column:
-    return F.array_sort(F.array_distinct(F.concat(F.coalesce(own, _none()), F.coalesce(more, _none()))))
-
-
-def ctis_codes(df: DataFrame, key: str, area: str, to_11: DataFrame, to_10: DataFrame,
-               catalogue: DataFrame, icd10: str = ICD10_PATTERN,
-               icd11: str = ICD11_PATTERN) -> DataFrame:
-    """Bracketed codes of ``area``, completed in both directions through crosswalks.
+def ctis_code_rows(df: DataFrame, key: str, area: str, to_11: DataFrame, to_10: DataFrame,
+                   catalogue: DataFrame, icd10: str = ICD10_PATTERN,
+                   icd11: str = ICD11_PATTERN) -> DataFrame:
+    """(key, codes): bracketed codes of ``area``, completed through crosswalks.
 
     ``to_11`` has (icd10Code, icd11Code), ``to_10`` (icd11Code, icd10Code), one
     row per pair. ICD-11 codes are extended from the ICD-10 codes, then ICD-10
     codes from all ICD-11 codes. A code that has the ICD-10 shape is taken as
     ICD-10 only. ``key`` is unique in ``df``.
     """
-    tens = _bracketed(F.col(area), icd10)
-    found = df.select(key, tens.alias("_10"),
-                      F.array_except(_bracketed(F.col(area), icd11), tens).alias("_11"))
-    more_11 = map_list(found, key, "_10", to_11, "icd10Code", "icd11Code", "_more", False)
-    with_11 = found.join(more_11, key, "left").select(
-        key, "_10", _united(F.col("_11"), F.col("_more")).alias("icd_11_codes"))
-    more_10 = map_list(with_11, key, "icd_11_codes", to_10, "icd11Code", "icd10Code", "_more", False)
-    both = with_11.join(more_10, key, "left").select(
-        key, "icd_11_codes", _united(F.col("_10"), F.col("_more")).alias("icd_10_codes"))
-    return _code_struct(df, both, key, catalogue)
+    found = _bracketed(F.col(area), icd10)
+    tens = explode_once(df, [key], found, "ten")
+    own = explode_once(df, [key], F.array_except(_bracketed(F.col(area), icd11), found), "eleven")
+    up = to_11.select(F.col("icd10Code").alias("ten"), F.col("icd11Code").alias("eleven"))
+    down = to_10.select(F.col("icd11Code").alias("eleven"), F.col("icd10Code").alias("ten"))
+    elevens = own.unionByName(tens.join(up, "ten").select(key, "eleven"))
+    more = elevens.join(down, "eleven").select(key, "ten")
+    return _code_struct(tens.unionByName(more), elevens, key, catalogue)
+
+
+def ctis_codes(df: DataFrame, key: str, area: str, to_11: DataFrame, to_10: DataFrame,
+               catalogue: DataFrame) -> DataFrame:
+    """``df`` with the codes of :func:`ctis_code_rows`; empty lists where there are none."""
+    return _with_codes(df, ctis_code_rows(df, key, area, to_11, to_10, catalogue), key)
 
 
 # ── US registry ──────────────────────────────────────────────────────────────
@@ -208,53 +210,55 @@ def ctus_age_ranges(df: DataFrame) -> DataFrame:
     })
 
 
-def ctus_codes(df: DataFrame, key: str, ids: str, to_11: DataFrame, catalogue: DataFrame,
-               prefix_len: int = 3) -> DataFrame:
-    """Prefixes of the subject ids taken as ICD-10 codes, extended to ICD-11.
+def ctus_code_rows(df: DataFrame, key: str, ids: str, to_11: DataFrame, catalogue: DataFrame,
+                   prefix_len: int = 3) -> DataFrame:
+    """(key, codes): prefixes of the subject ids taken as ICD-10 codes, extended to ICD-11.
 
     A proxy: the ids are headings of another vocabulary.
     """
-    prefixes = F.transform(F.coalesce(F.col(ids), _none()), lambda x: F.substring(x, 1, prefix_len))
-    tens = df.select(key, F.array_sort(F.array_distinct(prefixes)).alias("icd_10_codes"))
-    elevens = map_list(tens, key, "icd_10_codes", to_11, "icd10Code", "icd11Code", "_11", False)
-    both = tens.join(elevens, key, "left").select(
-        key, "icd_10_codes", F.array_sort(F.array_distinct("_11")).alias("icd_11_codes"))
-    return _code_struct(df, both, key, catalogue)
+    prefixes = F.array_distinct(F.transform(ids, lambda x: F.substring(x, 1, prefix_len)))
+    tens = explode_once(df, [key], prefixes, "ten")
+    up = to_11.select(F.col("icd10Code").alias("ten"), F.col("icd11Code").alias("eleven"))
+    return _code_struct(tens, tens.join(up, "ten").select(key, "eleven"), key, catalogue)
 
 
 # ── both ─────────────────────────────────────────────────────────────────────
 
-def countries_to_iso3(df: DataFrame, key: str, countries: DataFrame) -> DataFrame:
-    """ISO-3 codes in ``countries_status``; unknown names stay.
+def country_rows(df: DataFrame, key: str, countries: DataFrame) -> DataFrame:
+    """(key, countries_status): distinct places with ISO-3 codes; unknown names stay.
 
     ``countries`` has (name, iso3), one row per name. ``key`` is unique.
     """
-    rows = df.select(key, F.posexplode("countries_status").alias("_pos", "_c"))
+    rows = df.select(key, F.posexplode_outer("countries_status").alias("_pos", "_c")) \
+             .filter(F.col("_pos").isNotNull())
     named = rows.join(countries.select(F.col("name").alias("_name"), "iso3"),
                       F.col("_c.country") == F.col("_name"), "left")
     entry = F.struct(F.coalesce("iso3", "_c.country").alias("country"),
                      F.col("_c.approval").alias("approval"), F.col("_c.status").alias("status"))
-    lists = named.groupBy(key).agg(F.array_sort(F.collect_list(F.struct("_pos", entry.alias("e"))))
-                                   .alias("_list"))
-    plain = F.array_distinct(F.transform("_list", lambda x: x["e"]))
-    return df.join(lists, key, "left") \
-             .withColumn("countries_status", F.coalesce(plain, "countries_status")).drop("_list")
+    placed = F.array_sort(F.collect_list(F.struct("_pos", entry.alias("e"))))
+    return named.groupBy(key).agg(
+        F.array_distinct(F.transform(placed, lambda x: x["e"])).alias("countries_status"))
+
+
+def _assemble(core: DataFrame, codes: DataFrame, places: DataFrame) -> DataFrame:
+    """Row-local fields plus the two looked-up ones, in the common schema."""
+    listed = core.withColumnRenamed("countries_status", "_raw") \
+                 .join(places, "trial_id", "left") \
+                 .withColumn("countries_status", F.coalesce("countries_status", "_raw"))
+    return conform(_with_codes(listed, codes, "trial_id"), TRIALS)
 
 
 def harmonise_ctis(raw: DataFrame, to_11: DataFrame, to_10: DataFrame, catalogue: DataFrame,
                    countries: DataFrame) -> DataFrame:
     """EU export (one row per trial number) -> :data:`tidewell.schemas.TRIALS`."""
-    df = ctis_core(ctis_age_ranges(raw))
-    df = countries_to_iso3(df, "trial_id", countries)
-    df = ctis_codes(df, "trial_id", "Therapeutic area", to_11, to_10, catalogue)
-    return conform(df, TRIALS)
+    core = ctis_core(ctis_age_ranges(raw))
+    codes = ctis_code_rows(core, "trial_id", "Therapeutic area", to_11, to_10, catalogue)
+    return _assemble(core, codes, country_rows(core, "trial_id", countries))
 
 
 def harmonise_ctus(raw: DataFrame, to_11: DataFrame, catalogue: DataFrame,
                    countries: DataFrame) -> DataFrame:
     """US records (one row per ``nct_id``) -> :data:`tidewell.schemas.TRIALS`."""
-    df = null_tokens(raw)
-    df = ctus_core(ctus_age_ranges(df)).withColumn("methods", ctus_methods())
-    df = countries_to_iso3(df, "trial_id", countries)
-    df = ctus_codes(df, "trial_id", "mesh_ids", to_11, catalogue)
-    return conform(df, TRIALS)
+    core = ctus_core(ctus_age_ranges(null_tokens(raw))).withColumn("methods", ctus_methods())
+    codes = ctus_code_rows(core, "trial_id", "mesh_ids", to_11, catalogue)
+    return _assemble(core, codes, country_rows(core, "trial_id", countries))

@@ -100,22 +100,28 @@ def fact_candidates(health: DataFrame, gbd_metadata: DataFrame, gho_metadata: Da
                     dim_disease: DataFrame, dim_region: DataFrame, dim_time: DataFrame) -> DataFrame:
     """Mean burden per (disease, time, region, source).
 
-    Causes meet diseases by name once, as dimensions; facts then join on keys.
-    Where several causes hit one grain, the smallest cause id wins.
+    Causes meet disease names once, as dimensions; facts then join on keys.
+    Where several causes hit one grain, the smallest cause id wins, and the
+    smallest mean where sources without a key meet.
     """
     causes = _names(gbd_metadata, "cause", "cause_id", "cause_name")
-    diseases = name_match(causes, "cause_id", "cause_name", dim_disease, "disease_key", "disease_name")
+    named = dim_disease.select("disease_key", "disease_name")
+    matches = name_match(causes, "cause_id", "cause_name",
+                         named.select("disease_name").distinct(), "disease_name", "disease_name")
     regions = location_bridge(gho_metadata).select("location_id", F.trim("country_code").alias("country_code")) \
         .join(dim_region.select("region_key", F.trim("country_code").alias("country_code")), "country_code")
     times = dim_time.filter(F.col("month") == 1).select("time_key", "year")
-    return (
-        agg_burden(health)
-        .join(regions, "location_id").join(times, "year").join(diseases, "cause_id")
+    grain = ["time_key", "region_key", "source_key"]
+    by_cause = (
+        agg_burden(health).join(regions, "location_id").join(times, "year")
         .withColumn("source_key", source_key(F.col("source_data")))
-        .groupBy("disease_key", "time_key", "region_key", "source_key")
-        .agg(F.min_by("avg_daly", F.struct("cause_id", "location_id", "source_data")).alias("daly_value"))
-        .withColumn("daly_per_100k", F.col("daly_value"))
+        .groupBy("cause_id", *grain).agg(F.min("avg_daly").alias("avg_daly"))
     )
+    # Reduced per name; the diseases that share a name fan out afterwards.
+    by_name = by_cause.join(matches, "cause_id").groupBy("disease_name", *grain) \
+                      .agg(F.min_by("avg_daly", "cause_id").alias("daly_value"))
+    return by_name.join(named, "disease_name").select(
+        "disease_key", *grain, "daly_value", F.col("daly_value").alias("daly_per_100k"))
 
 
 def build_fact(old: DataFrame, candidates: DataFrame, now: str) -> DataFrame:

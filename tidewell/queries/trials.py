@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from tidewell.functions import clinical
 from tidewell.plans import trials
 from tidewell.queries import query, table
+from tidewell.session import cut_lineage
 
 SITE = "struct<facility: string, city: string, country: string, recruitment_status: string>"
 
@@ -247,7 +248,8 @@ def us_trials(spark, sf) -> DataFrame:
     to_11, _, catalogue = code_tables(spark, sf)
     countries = table(spark, sf, "nation").filter("n_regionkey <> 0").select(
         F.col("n_name").alias("name"), F.concat(F.lit("N"), F.lpad(_s("n_nationkey"), 2, "0")).alias("iso3"))
-    return trials.harmonise_ctus(trials.flatten_study(studies(spark, sf), "g"), to_11, catalogue, countries)
+    landed = cut_lineage(trials.flatten_study(studies(spark, sf), "g"))
+    return trials.harmonise_ctus(landed, to_11, catalogue, countries)
 
 
 @query("WITH " + LINES_SQL + """,
