@@ -26,8 +26,8 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
-def texts(spark: SparkSession, folder: str, name: str) -> DataFrame:
-    """A table of long texts, dealt out over the cores."""
+def dealt(spark: SparkSession, folder: str, name: str) -> DataFrame:
+    """A table for per-row work, dealt out over the cores."""
     return spread(table(spark, folder, name))
 
 

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from tidewell.functions.text import icd_chapter
 from tidewell.operators import crosswalk, dedup, lookups
 from tidewell.plans import burden, entities
-from tidewell.queries import query, table
+from tidewell.queries import dealt, query, table
 from tidewell.schemas import ICD_RECORD
 
 # ── crosswalks: part -> suppliers as ICD-10 -> ICD-11 ────────────────────────
@@ -261,7 +261,7 @@ def flatten_icd_hit(spark, sf):
 def burden_export(spark, sf) -> DataFrame:
     """Line items as a disease-burden export with id/name column pairs."""
     return (
-        table(spark, sf, "lineitem").join(table(spark, sf, "orders"), F.col("l_orderkey") == F.col("o_orderkey"))
+        dealt(spark, sf, "lineitem").join(table(spark, sf, "orders"), F.col("l_orderkey") == F.col("o_orderkey"))
         .join(table(spark, sf, "customer"), F.col("o_custkey") == F.col("c_custkey"))
         .join(table(spark, sf, "nation"), F.col("c_nationkey") == F.col("n_nationkey"))
         .join(table(spark, sf, "part"), F.col("l_partkey") == F.col("p_partkey"))

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from tidewell.operators import containment, lookups, sentiment
 from tidewell.plans import enrichment
-from tidewell.queries import query, table, texts
+from tidewell.queries import dealt, query, table
 
 LEXICON = {"idiot": -2.5, "pathetic": -1.9, "the": 0.2, "and": 0.1, "with": 0.4, "der": 0.3,
            "nicht": -1.1, "une": 0.5, "pour": 0.6, "por": -0.4, "license": 1.5, "spam": -1.3}
@@ -45,7 +45,7 @@ counts AS (SELECT t, count(*) AS n FROM low, documents WHERE contains(lower(text
 SELECT term AS disease_key, CAST(n AS BIGINT) AS publication_count FROM counts JOIN terms ON lower(term) = t
 """)
 def mention_counts(spark, sf):
-    docs = texts(spark, sf, "documents").select(F.col("doc_id").alias("work_id"), F.col("text").alias("title"))
+    docs = dealt(spark, sf, "documents").select(F.col("doc_id").alias("work_id"), F.col("text").alias("title"))
     return enrichment.publication_counts(docs, passage_terms(spark, sf))
 
 
@@ -55,7 +55,7 @@ FROM terms, (SELECT page_id, url, html, text FROM pages LEFT JOIN documents ON p
 WHERE contains(lower(html), lower(term)) OR contains(lower(coalesce(text, '')), lower(term)) GROUP BY term
 """)
 def media_counts(spark, sf):
-    pages, docs = texts(spark, sf, "pages"), texts(spark, sf, "documents")
+    pages, docs = dealt(spark, sf, "pages"), dealt(spark, sf, "documents")
     articles = pages.join(docs, F.col("page_id") == F.col("doc_id"), "left").select(
         F.col("page_id").alias("url"), F.col("html").alias("title"), F.col("text").alias("description"))
     return enrichment.media_counts(articles, part_terms(spark, sf))
@@ -80,7 +80,7 @@ SELECT doc_id, term FROM documents, terms WHERE contains(lower(text), lower(term
 """)
 def mention_pairs(spark, sf):
     terms = part_terms(spark, sf).select(F.col("disease_key").alias("term"), "disease_name")
-    return containment.mention_pairs(texts(spark, sf, "documents"), "doc_id", "text", terms, "term", "disease_name")
+    return containment.mention_pairs(dealt(spark, sf, "documents"), "doc_id", "text", terms, "term", "disease_name")
 
 
 LEXICON_SQL = "lex(word, score) AS (VALUES " + ", ".join(f"('{w}', {s})" for w, s in LEXICON.items()) + ")"
@@ -94,7 +94,7 @@ scored AS (SELECT doc_id, round(coalesce(s, 0) / sqrt(coalesce(s, 0) * coalesce(
 
 @query("WITH " + SCORE_SQL + "SELECT doc_id, round(score, 3) AS score FROM scored")
 def sentiment_scores(spark, sf):
-    docs = texts(spark, sf, "documents")
+    docs = dealt(spark, sf, "documents")
     return sentiment.score_sentiment(docs, "doc_id", "text", lexicon(spark)).select(
         "doc_id", F.round("media_sentiment_score", 3).alias("score"))
 
@@ -105,7 +105,7 @@ FROM scored JOIN documents USING (doc_id), terms
 WHERE contains(lower(source || ' ' || text), lower(term)) GROUP BY term
 """)
 def sentiment_by_term(spark, sf):
-    docs = texts(spark, sf, "documents").select(
+    docs = dealt(spark, sf, "documents").select(
         F.col("doc_id").alias("url"), F.col("source").alias("title"), F.col("text").alias("description"))
     # The source name holds no lexicon word, so it changes no score.
     return enrichment.mean_sentiment(docs, part_terms(spark, sf), lexicon(spark)).select(

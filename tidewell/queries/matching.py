@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from tidewell.functions.text import clean_text, words
 from tidewell.operators import containment, matching as m
-from tidewell.queries import query, table, texts
+from tidewell.queries import dealt, query, table
 
 LANGUAGE_CODES = r"\b(DE|EN|ES|FR)\b"
 
@@ -22,7 +22,7 @@ def passage_catalogue(spark, sf) -> DataFrame:
 
 def language_catalogue(spark, sf) -> DataFrame:
     """The document languages as catalogue codes."""
-    return texts(spark, sf, "documents").select(F.upper("lang").alias("icd_code")).distinct().select(
+    return dealt(spark, sf, "documents").select(F.upper("lang").alias("icd_code")).distinct().select(
         "icd_code", F.concat(F.lit("Language "), "icd_code").alias("title"), F.lit("language").alias("chapter"))
 
 
@@ -86,7 +86,7 @@ def build_terms(spark, sf):
 
 
 def dictionary_hits(spark, sf) -> DataFrame:
-    docs = texts(spark, sf, "documents")
+    docs = dealt(spark, sf, "documents")
     return m.match_dictionary(docs, "doc_id", F.col("source"), F.col("text"), passage_terms(spark, sf))
 
 
@@ -111,7 +111,7 @@ fuzzy AS (SELECT doc_id, icd_code, jaccard FROM (
 
 def jaccard_hits(spark, sf) -> DataFrame:
     tokens = m.code_tokens(passage_catalogue(spark, sf))
-    return m.match_jaccard(texts(spark, sf, "documents"), "doc_id", F.col("text"), tokens, min_score=0.2)
+    return m.match_jaccard(dealt(spark, sf, "documents"), "doc_id", F.col("text"), tokens, min_score=0.2)
 
 
 @query("WITH " + JACCARD_SQL + "SELECT doc_id, icd_code, round(jaccard, 6) AS jaccard FROM fuzzy")
@@ -141,7 +141,7 @@ resolved AS (
 
 
 def resolved(spark, sf) -> DataFrame:
-    docs = texts(spark, sf, "documents")
+    docs = dealt(spark, sf, "documents")
     languages = language_catalogue(spark, sf)
     by_code = m.match_codes(docs, "doc_id", F.col("text"), languages, "icd_code", [LANGUAGE_CODES])
     catalogue = passage_catalogue(spark, sf).select("icd_code", "title", "chapter").unionByName(languages)
@@ -197,6 +197,6 @@ FROM documents
 """)
 def word_sets(spark, sf):
     toks = words(clean_text(F.col("text")))
-    return texts(spark, sf, "documents").select(
+    return dealt(spark, sf, "documents").select(
         "doc_id", F.size(toks).cast("bigint").alias("n_words"),
         F.array_join(F.array_sort(toks), ",").alias("words"))

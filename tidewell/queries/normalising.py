@@ -10,7 +10,7 @@ from tidewell.functions.fixed_values import NEWS_TOPICS
 from tidewell.functions.text import absolute_url, canonical_url, null_tokens, row_key, tag_topic, title_case
 from tidewell.operators import lookups
 from tidewell.plans import articles, burden, publications
-from tidewell.queries import query, table, texts
+from tidewell.queries import dealt, query, table
 from tidewell.queries.codes import EXPORT_SQL, burden_export
 
 NOW = "2026-03-28T06:00:00+00:00"
@@ -51,7 +51,7 @@ SELECT doc_id, CASE {TOPIC_CASES} ELSE lang || '_general' END AS topic,
 """)
 def tag_topics(spark, sf):
     fallback = F.concat("lang", F.lit("_general"))
-    return texts(spark, sf, "documents").select(
+    return dealt(spark, sf, "documents").select(
         "doc_id", tag_topic(F.col("source"), F.col("text"), TOPICS, fallback).alias("topic"),
         tag_topic(F.col("source"), F.col("text"), NEWS_TOPICS, fallback).alias("news_topic"))
 
@@ -103,7 +103,7 @@ def null_and_title(spark, sf):
 
 def article_records(spark, sf) -> DataFrame:
     """Pages as article records of two services, by language."""
-    docs = texts(spark, sf, "documents")
+    docs = dealt(spark, sf, "documents")
     pages = table(spark, sf, "pages").join(docs, F.col("page_id") == F.col("doc_id"))
     headlines = F.col("lang") == "en"
     published = F.timestamp_seconds(F.lit(1700000000) + F.col("page_id") * 86_399)
@@ -190,7 +190,7 @@ WITH h AS (SELECT page_id, url, trim(' ' || source || ' ') AS title, text, lang,
 SELECT url, title, CASE {NEWS_CASES} ELSE lang || '_general' END AS topic, lang AS category, 'src' AS source FROM h
 """)
 def flatten_news(spark, sf):
-    docs = texts(spark, sf, "documents")
+    docs = dealt(spark, sf, "documents")
     raw = table(spark, sf, "pages").join(docs, F.col("page_id") == F.col("doc_id")).select(
         F.col("lang").alias("category"), F.struct(F.lit("src").alias("name")).alias("source"),
         F.lit(None).cast("string").alias("author"), F.concat(F.lit(" "), docs["source"], F.lit(" ")).alias("title"),
@@ -204,7 +204,7 @@ WITH h AS (SELECT doc_id, source, lang, lower(source || ' ' || text) AS hay FROM
 SELECT CAST(doc_id AS VARCHAR) AS id, source AS title, CASE {TOPIC_CASES} ELSE lang || '_general' END AS topic, lang AS language FROM h
 """)
 def flatten_currents(spark, sf):
-    raw = texts(spark, sf, "documents").select(
+    raw = dealt(spark, sf, "documents").select(
         text_of("doc_id").alias("id"), F.col("lang").alias("search"), F.concat(F.lit("  "), "source").alias("title"),
         F.col("text").alias("description"), F.lit("").alias("url"), F.lit("").alias("image"), F.lit("").alias("published"),
         F.lit("").alias("author"), F.array("lang").alias("category"), F.col("lang").alias("language"))
@@ -218,7 +218,7 @@ def work_records(spark, sf) -> DataFrame:
     def ident(kind, value) -> F.Column:
         return F.struct(kind.alias("type"), value.alias("identifier"))
     doc = text_of("doc_id")
-    return texts(spark, sf, "documents").select(
+    return dealt(spark, sf, "documents").select(
         F.lit("api.core.ac.uk").alias("source_api"),
         F.array(ident(F.lit("OAI"), doc), ident(F.when(F.col("lang") == "de", "OTHER").otherwise("CORE_ID"), doc),
                 ident(F.lit("DOI"), F.when(F.col("lang") != "fr", F.concat(F.lit("10.1/"), doc))),
