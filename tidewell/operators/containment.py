@@ -31,14 +31,6 @@ GRAM = 5
 TERM_BOUND = Bound(max_rows=1_000_000, max_bytes=64 * 1024 * 1024)
 
 
-def distinct_terms(terms: DataFrame, term: str) -> DataFrame:
-    """Distinct lower-case terms; blank terms are left out."""
-    return (
-        terms.select(F.lower(F.col(term)).alias("term_text"))
-        .filter(F.char_length("term_text") > 0).distinct()
-    )
-
-
 # ── bounded terms: one scan per text ─────────────────────────────────────────
 
 _BUILT: dict[str, object] = {}
@@ -101,43 +93,47 @@ def _terms_joined(low: DataFrame, key: str, distinct: DataFrame, gram: int) -> D
     return pairs.join(low, key).filter(F.contains("_text", "term_text")).select(key, "term_text")
 
 
-def contained_terms(texts: DataFrame, key: str, text: str, terms: DataFrame, term: str,
-                    bound: Bound = TERM_BOUND, gram: int = GRAM) -> DataFrame:
-    """Distinct (key, term_text) with ``term_text`` inside the lower-case text.
-
-    ``key`` is unique in ``texts``. Blank terms match nothing.
-    """
-    distinct = distinct_terms(terms, term)
+def _hits(texts: DataFrame, key: str, text: str, terms: DataFrame, term_key: str, term: str,
+          bound: Bound, gram: int = GRAM) -> tuple[DataFrame, DataFrame, bool]:
+    """Distinct (key, term_text), the (term_key, term_text) names, and whether these are few."""
+    names = (
+        terms.select(F.col(term_key).alias("_term_key"), F.lower(F.col(term)).alias("term_text"))
+        .filter(F.char_length("term_text") > 0).distinct()
+    )
     low = texts.filter(F.col(text).isNotNull()).select(F.col(key), F.lower(F.col(text)).alias("_text"))
-    words = bound.take(distinct) if ahocorasick else None
-    if words is None:
-        return _terms_joined(low, key, distinct, gram)
-    if not words:
-        return low.select(key, F.col("_text").alias("term_text")).limit(0)
-    return _terms_scanned(low, key, sorted(row[0] for row in words))
+    found = bound.take(names) if ahocorasick else None
+    if found is None:
+        return _terms_joined(low, key, names.select("term_text").distinct(), gram), names, False
+    if not found:
+        return low.select(key, F.col("_text").alias("term_text")).limit(0), names, True
+    return _terms_scanned(low, key, sorted({row["term_text"] for row in found})), names, True
 
 
 # ── uses ─────────────────────────────────────────────────────────────────────
 
 def mention_pairs(texts: DataFrame, key: str, text: str, terms: DataFrame, term_key: str,
                   term: str, bound: Bound = TERM_BOUND) -> DataFrame:
-    """Distinct (key, term_key) for every term whose name is mentioned in the text."""
-    hits = contained_terms(texts, key, text, terms, term, bound)
-    names = terms.select(term_key, F.lower(F.col(term)).alias("term_text")).distinct()
-    return hits.join(names, "term_text").select(key, term_key).distinct()
+    """Distinct (key, term_key) for every term whose name is mentioned in the text.
+
+    ``key`` is unique in ``texts``. Blank names match nothing.
+    """
+    hits, names, few = _hits(texts, key, text, terms, term_key, term, bound)
+    named = hits.join(F.broadcast(names), "term_text") if few else \
+        salted_join(hits, names, ["term_text"], F.col(key))
+    return named.select(key, F.col("_term_key").alias(term_key)).distinct()
 
 
 def mention_counts(texts: DataFrame, key: str, text: str, terms: DataFrame, term_key: str,
                    term: str, out: str, bound: Bound = TERM_BOUND) -> DataFrame:
     """Texts per term: (term_key, out); terms without a mention are absent.
 
-    Counted per distinct name first, so a name shared by several terms is
-    counted once, and a name that most texts mention is counted map-side.
+    ``terms`` has one name per key. Counted per distinct name first, so a name
+    shared by several terms is counted once, and a name that most texts mention
+    is counted map-side.
     """
-    hits = contained_terms(texts, key, text, terms, term, bound)
+    hits, names, _ = _hits(texts, key, text, terms, term_key, term, bound)
     counts = hits.groupBy("term_text").agg(F.count(F.lit(1)).alias(out))
-    names = terms.select(term_key, F.lower(F.col(term)).alias("term_text")).distinct()
-    return counts.join(names, "term_text").select(term_key, out)
+    return counts.join(names, "term_text").select(F.col("_term_key").alias(term_key), out)
 
 
 def name_match(a: DataFrame, a_key: str, a_name: str, b: DataFrame, b_key: str, b_name: str,
@@ -146,14 +142,10 @@ def name_match(a: DataFrame, a_key: str, a_name: str, b: DataFrame, b_key: str,
     def one_way(long: DataFrame, long_key: str, long_name: str,
                 short: DataFrame, short_key: str, short_name: str) -> DataFrame:
         # Work on distinct names: many keys may share one.
-        names = long.select(F.lower(F.col(long_name)).alias("_name")).distinct()
-        pairs = contained_terms(names.withColumn("_copy", F.col("_name")), "_name", "_copy",
-                                short, short_name, bound)
-        return (
-            pairs.join(long.select(long_key, F.lower(F.col(long_name)).alias("_name")), "_name")
-            .join(short.select(short_key, F.lower(F.col(short_name)).alias("term_text")), "term_text")
-            .select(a_key, b_key)
-        )
+        keyed = long.select(long_key, F.lower(F.col(long_name)).alias("_name"))
+        names = keyed.select("_name", F.col("_name").alias("_copy")).distinct()
+        pairs = mention_pairs(names, "_name", "_copy", short, short_key, short_name, bound)
+        return pairs.join(keyed, "_name").select(a_key, b_key)
 
     return one_way(a, a_key, a_name, b, b_key, b_name).unionByName(
         one_way(b, b_key, b_name, a, a_key, a_name)).distinct()

@@ -5,12 +5,11 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 BROADCAST_ROWS = 2_000_000
 BROADCAST_BYTES = 128 * 1024 * 1024
-SALTS = 32
 
 
 @dataclass(frozen=True)
@@ -48,14 +47,20 @@ def _row_bytes(df: DataFrame) -> Column:
     return size
 
 
+def salt_count(spark: SparkSession) -> int:
+    """How many parts a hot key is split into: more on a cluster with more partitions."""
+    return max(32, int(spark.conf.get("spark.sql.shuffle.partitions")) // 8)
+
+
 def salted_join(many: DataFrame, few: DataFrame, on: Sequence[str], spread: Column,
-                salts: int = SALTS, how: str = "inner") -> DataFrame:
+                how: str = "inner", salts: int | None = None) -> DataFrame:
     """Join where some keys of ``many`` may hold a large share of its rows.
 
     The rows of a key in ``many`` are spread over ``salts`` partitions by
     ``spread`` (a column that varies inside the key); ``few`` is repeated once
     per salt. ``how`` may be inner, left, left_semi or left_anti.
     """
+    salts = salts or salt_count(many.sparkSession)
     salted = many.withColumn("_salt", F.pmod(F.xxhash64(spread), F.lit(salts)).cast("int"))
     repeated = few.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
     return salted.join(repeated, [*on, "_salt"], how).drop("_salt")

@@ -159,10 +159,10 @@ def count_by(spark, sf):
 
 
 @query("""
-SELECT string_agg(DISTINCT event_type, ',' ORDER BY event_type) AS types,
-       string_agg(DISTINCT user_id, ',' ORDER BY user_id) AS users FROM events
+SELECT string_agg(DISTINCT o_orderstatus, ',' ORDER BY o_orderstatus) AS statuses,
+       string_agg(DISTINCT o_orderpriority, ',' ORDER BY o_orderpriority) AS priorities FROM orders
 """)
 def distinct_sets(spark, sf):
-    sets = lookups.distinct_sets(table(spark, sf, "events"), ["event_type", "user_id"])
-    return sets.select(F.array_join("available_event_type", ",").alias("types"),
-                       F.array_join("available_user_id", ",").alias("users"))
+    sets = lookups.distinct_sets(table(spark, sf, "orders"), ["o_orderstatus", "o_orderpriority"])
+    return sets.select(F.array_join("available_o_orderstatus", ",").alias("statuses"),
+                       F.array_join("available_o_orderpriority", ",").alias("priorities"))

@@ -101,4 +101,5 @@ def spread(df: DataFrame) -> DataFrame:
 def land(df: DataFrame, folder: str, stem: str, day: Column, stamp: str) -> None:
     """Write NDJSON under ``folder/<stem>_<stamp>/dt=YYYY-MM-DD/``."""
     dated = df.withColumn("dt", F.date_format(day, "yyyy-MM-dd"))
-    dated.write.mode("errorifexists").partitionBy("dt").json(f"{folder.rstrip('/')}/{stem}_{stamp}")
+    # Rebalanced by day: few files per day, and a large day is split over tasks.
+    dated.hint("rebalance", "dt").write.mode("errorifexists").partitionBy("dt").json(f"{folder.rstrip('/')}/{stem}_{stamp}")

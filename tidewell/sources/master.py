@@ -97,20 +97,24 @@ class Master:
 
         ``total`` counts the rows of the rewritten buckets.
         """
+        # Kept, since its buckets are asked for before it is merged.
         batch = collapse_incoming(
             incoming.select(*[c for c in incoming.columns if c in self.schema.names]),
-            self.key, self.date_col, self.source_col)
-        # The batch's buckets: at most `buckets` numbers.
-        touched = sorted(r[0] for r in batch.select(self._bucket()).distinct().collect())
-        if not touched:
-            return {"total": 0, "new": 0, "updated": 0, "source_only": 0}
-        current = self._current()
-        stored = self._read({b: v for b, v in current.items() if b in touched})
-        merged = merge_with_status(stored, batch, self.key, self.date_col, self.source_col)
-        seen = Observation("upsert")
-        version = self._write(merged.observe(seen, *status_counts()).drop(STATUS))
-        self._commit(version, {**current, **{b: version for b in touched}})
-        return dict(seen.get)
+            self.key, self.date_col, self.source_col).persist()
+        try:
+            # The batch's buckets: at most `buckets` numbers.
+            touched = sorted(r[0] for r in batch.select(self._bucket()).distinct().collect())
+            if not touched:
+                return {"total": 0, "new": 0, "updated": 0, "source_only": 0}
+            current = self._current()
+            stored = self._read({b: v for b, v in current.items() if b in touched})
+            merged = merge_with_status(stored, batch, self.key, self.date_col, self.source_col)
+            seen = Observation("upsert")
+            version = self._write(merged.observe(seen, *status_counts()).drop(STATUS))
+            self._commit(version, {**current, **{b: version for b in touched}})
+            return dict(seen.get)
+        finally:
+            batch.unpersist()
 
 
 def write_table(df: DataFrame, path: str) -> None:
