@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 from tidewell.functions.text import clean_text, words
 from tidewell.operators import containment, dedup, matching
 from tidewell.operators.sizing import Bound
-from tidewell.operators.sentiment import score_sentiment
+from tidewell.operators.sentiment import library_sentiment, score_sentiment
 
 NONE = Bound(max_rows=0, max_bytes=0)
 BOUNDS = pytest.mark.parametrize("bound", [Bound(), NONE], ids=["small", "large"])
@@ -152,3 +152,13 @@ def test_sentiment_formula(spark, bound):
     df = spark.createDataFrame([(1, "Good, GOOD news"), (2, "bad"), (3, "nothing"), (4, None), (5, ""), (6, "...")], "id int, t string")
     found = {r[0]: r[1] for r in score_sentiment(df, "id", "t", lexicon, bound).collect()}
     assert found == {1: 0.7003, 2: -0.5423, 3: 0.0, 6: 0.0}
+
+
+def test_library_sentiment_takes_any_analyser(spark):
+    def analyser():
+        class Fake:
+            def polarity_scores(self, text):
+                return {"compound": len(text) / 10}
+        return Fake()
+    df = spark.createDataFrame([(1, "good"), (2, ""), (3, None)], "id int, t string")
+    assert {r[0]: r[1] for r in df.select("id", library_sentiment(F.col("t"), analyser)).collect()} == {1: 0.4, 2: None, 3: None}

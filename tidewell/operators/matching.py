@@ -135,8 +135,6 @@ def match_jaccard(docs: DataFrame, key: str, title: Column, tokens_by_code: Data
     longest, shortest = cats.agg(F.max("cat_n")).scalar(), cats.agg(F.min("cat_n")).scalar()
     base = base.filter((longest >= n * F.lit(min_score) - 1e-9) & (n >= shortest * F.lit(min_score) - 1e-9))
     length_ok = (m >= n * F.lit(min_score) - 1e-9) & (n >= m * F.lit(min_score) - 1e-9)
-    shared = F.size(F.array_intersect("_tokens", "cat_tokens"))
-    score = (shared / (n + m - shared)).alias("jaccard")
     probes = F.explode("_tokens").alias("token")
     if bound.holds(index) and bound.holds(cats):
         pairs = (
@@ -151,8 +149,16 @@ def match_jaccard(docs: DataFrame, key: str, title: Column, tokens_by_code: Data
             found.filter(fits).select(key, "icd_code").distinct()
             .join(base, key).join(cats, "icd_code")
         )
-    scored = pairs.select(key, "icd_code", score).filter(F.col("jaccard") >= min_score).distinct()
-    return keep_max(scored, [key], "jaccard")
+    # Generated, so that the shared words are counted once per pair.
+    shared = F.size(F.array_intersect("_tokens", "cat_tokens"))
+    sizes = F.struct(shared.alias("_shared"), (n + F.size("cat_tokens")).alias("_both"))
+    scored = (
+        pairs.select(key, "icd_code", F.inline(F.array(sizes)))
+        .withColumn("jaccard", F.col("_shared") / (F.col("_both") - F.col("_shared")))
+        .filter(F.col("jaccard") >= min_score).select(key, "icd_code", "jaccard")
+    )
+    # A pair found by several words is still several rows; they share one partition after the ranking.
+    return keep_max(scored, [key], "jaccard").distinct()
 
 
 def keep_max(df: DataFrame, part: Sequence[str], score: str) -> DataFrame:

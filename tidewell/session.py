@@ -33,12 +33,11 @@ def shared_dir(spark: SparkSession) -> str:
     lost with its machine.
     """
     context = spark.sparkContext
-    named = context.getConf().get("spark.checkpoint.dir") or context.getCheckpointDir()
+    named = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
     if named is None:
         if not context.master.startswith("local"):
             raise ValueError("set spark.checkpoint.dir to a folder all executors share")
         named = tempfile.mkdtemp(prefix="tidewell-")
-    if context.getCheckpointDir() is None:
         context.setCheckpointDir(named)
     return named
 

@@ -95,7 +95,9 @@ class Master:
     def upsert(self, incoming: DataFrame) -> dict[str, int]:
         """Merge a batch (one or more rows per key) and return the run's counts.
 
-        ``total`` counts the rows of the rewritten buckets.
+        ``total`` counts the rows of the rewritten buckets. The counts ride on
+        the write itself: stages that run again after a lost executor can raise
+        them, the written rows are not affected.
         """
         # Kept, since its buckets are asked for before it is merged.
         batch = collapse_incoming(
