@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from tidewell.operators.containment import mention_counts, mention_pairs
 from tidewell.operators.sentiment import score_sentiment
 from tidewell.operators.upsert import enrich_fact
+from tidewell.session import cut_lineage
 
 # A control character that no name holds keeps two texts apart in one scan.
 _BETWEEN = "\u0000"
@@ -70,7 +71,10 @@ def enrich_sentiment(fact: DataFrame, articles: DataFrame, diseases: DataFrame,
 
 
 def enrich_norms(fact: DataFrame) -> DataFrame:
-    """Set both normalised scores; rows without a count keep theirs."""
+    """Set both normalised scores; rows without a count keep theirs.
+
+    ``fact`` is read three times, so it should be a stored table.
+    """
     def scored(count: str, old: str) -> Column:
         return F.when(F.col(count).isNotNull(), norm_score(fact, count)).otherwise(F.col(old)).alias(old)
     return fact.withColumns({
@@ -78,6 +82,13 @@ def enrich_norms(fact: DataFrame) -> DataFrame:
         "norm_research_score": scored("publication_count", "norm_research_score")})
 
 
+def enrich(fact: DataFrame, trials: DataFrame, articles: DataFrame, publications: DataFrame,
+           diseases: DataFrame, lexicon: DataFrame, reset: bool = False) -> DataFrame:
+    """The whole enrichment: counts, sentiment, then scores over the stored result."""
+    counted = enrich_counts(fact, trials, articles, publications, diseases, reset)
+    return enrich_norms(cut_lineage(enrich_sentiment(counted, articles, diseases, lexicon, reset)))
+
+
 def flag_neglected(dim: DataFrame, scores: DataFrame, level: str = "Low",
                    burden: float = 10.0) -> DataFrame:
     """Reset the flag, then set it where attention is low and burden is high.

@@ -130,32 +130,38 @@ def build_fact(old: DataFrame, candidates: DataFrame, now: str) -> DataFrame:
                        ["daly_value", "daly_per_100k"], stamp).select(*FACT.names)
 
 
-def trial_rows(trials: DataFrame) -> DataFrame:
-    """Distinct (trial, country, code) with stage, status and activity."""
-    countries = trials.select(
+def trial_diseases(trials: DataFrame, dim_disease: DataFrame) -> DataFrame:
+    """(trial_id, disease_key): the smallest disease key among a trial's codes."""
+    diseases = dim_disease.groupBy("icd11_code").agg(F.min("disease_key").alias("disease_key"))
+    codes = trials.select("trial_id", F.explode("codes.icd_11").alias("c")) \
+                  .select("trial_id", F.col("c.code").alias("icd11_code"))
+    return codes.join(diseases, "icd11_code").groupBy("trial_id").agg(F.min("disease_key").alias("disease_key"))
+
+
+def trial_places(trials: DataFrame) -> DataFrame:
+    """One row per (trial, country) with stage, activity and the first status."""
+    places = trials.select(
         "trial_id", F.array_join(F.transform("phases", lambda p: p.cast("string")), ",").alias("stage"),
-        F.col("end_date").isNull().alias("active"), "codes",
-        F.explode(F.array_distinct("countries_status")).alias("cs"))
-    codes = F.array_distinct(F.transform("codes.icd_11", lambda x: x["code"]))
+        F.col("end_date").isNull().alias("active"), F.explode("countries_status").alias("cs"))
     return (
-        countries.filter(F.trim("cs.country") != "")
-        .select("trial_id", "stage", "active", F.trim("cs.country").alias("country"),
-                F.col("cs.status").alias("status"), F.explode_outer(codes).alias("icd11_code"))
+        places.filter(F.trim("cs.country") != "")
+        .groupBy("trial_id", "stage", "active", F.trim("cs.country").alias("country"))
+        .agg(F.min("cs.status").alias("status"))
     )
 
 
 def build_dim_trials(trials: DataFrame, dim_region: DataFrame, dim_disease: DataFrame,
                      now: str) -> DataFrame:
-    """One row per (trial, region): the smallest disease key, trials without one last."""
+    """One row per (trial, region): the smallest disease key, null where no code is known.
+
+    The disease is chosen per trial and the status per place, so places and
+    codes of a trial are never paired. ``trial_id`` is unique in ``trials``.
+    """
     regions = dim_region.select("region_key", F.trim("country_code").alias("country"))
-    diseases = dim_disease.groupBy("icd11_code").agg(F.min("disease_key").alias("disease_key"))
-    joined = trial_rows(trials).join(regions, "country").join(diseases, "icd11_code", "left")
-    order = F.struct(F.col("disease_key").isNull(), F.col("disease_key"), F.col("status").isNull(),
-                     F.col("status"), F.col("stage"), F.col("active"))
     return (
-        joined.groupBy("trial_id", "region_key")
-        .agg(F.min_by(F.struct("disease_key", "stage", "status", "active"), order).alias("r"))
-        .select("trial_id", "region_key", "r.*", F.to_timestamp(F.lit(now)).alias("loaded_at"))
+        trial_places(trials).join(regions, "country")
+        .join(trial_diseases(trials, dim_disease), "trial_id", "left")
+        .withColumn("loaded_at", F.to_timestamp(F.lit(now)))
         .select(*DIM_TRIALS.names)
     )
 
