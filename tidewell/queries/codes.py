@@ -11,25 +11,24 @@ from tidewell.plans import burden, entities
 from tidewell.queries import dealt, query, table
 from tidewell.schemas import ICD_RECORD
 
-# ── crosswalks: part -> suppliers as ICD-10 -> ICD-11 ────────────────────────
+# ── crosswalks: part and line -> suppliers as ICD-10 -> ICD-11 ────────────────────────
 
 
 def code_maps(spark, sf) -> tuple[DataFrame, DataFrame, DataFrame]:
     """(multi, one, reverse) maps from the line items, by return flag."""
     items = table(spark, sf, "lineitem")
     rows = items.select(
-        F.concat(F.lit("P"), F.col("l_partkey").cast("string")).alias("icd10Code"),
+        F.concat_ws("-", F.lit("P"), "l_partkey", "l_linenumber").alias("icd10Code"),
         F.when(F.col("l_tax") > 0, F.concat(F.lit("S"), F.col("l_suppkey").cast("string")))
         .otherwise("").alias("icd11Code"),
-        F.col("l_linestatus").alias("icd11Chapter"), "l_returnflag", "l_discount")
-    return (rows.filter("l_returnflag = 'R' and l_discount > 0.08"), rows.filter("l_returnflag = 'A'"),
-            rows.filter("l_returnflag = 'N'"))
+        F.col("l_linestatus").alias("icd11Chapter"), "l_returnflag")
+    return tuple(rows.filter(F.col("l_returnflag") == flag) for flag in ("R", "A", "N"))
 
 
 MAPS_SQL = """
-rows AS (SELECT 'P' || l_partkey AS c10, CASE WHEN l_tax > 0 THEN 'S' || l_suppkey ELSE '' END AS c11,
-                l_linestatus AS ch, l_returnflag AS flag, l_discount AS disc FROM lineitem),
-multi AS (SELECT * FROM rows WHERE flag = 'R' AND disc > 0.08 AND c11 <> ''),
+rows AS (SELECT 'P-' || l_partkey || '-' || l_linenumber AS c10, CASE WHEN l_tax > 0 THEN 'S' || l_suppkey ELSE '' END AS c11,
+                l_linestatus AS ch, l_returnflag AS flag FROM lineitem),
+multi AS (SELECT * FROM rows WHERE flag = 'R' AND c11 <> ''),
 one AS (SELECT * FROM rows WHERE flag = 'A' AND c11 <> '' AND c10 NOT IN (SELECT c10 FROM multi)),
 pairs AS (SELECT c10, c11, ch FROM multi UNION ALL SELECT c10, c11, ch FROM one)
 """
