@@ -12,7 +12,6 @@ without wildcards; a nested loop over texts and terms is never formed.
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Iterator
 
 import pandas as pd
@@ -33,30 +32,20 @@ TERM_BOUND = Bound(max_rows=1_000_000, max_bytes=64 * 1024 * 1024)
 
 # ── bounded terms: one scan per text ─────────────────────────────────────────
 
-_BUILT: dict[str, object] = {}
-
-
-def _automaton(name: str, terms: list[str]):
-    """The automaton of one term list, built once per worker process."""
-    if name not in _BUILT:
-        automaton = ahocorasick.Automaton()
-        for number, term in enumerate(terms):
-            automaton.add_word(term, number)
-        automaton.make_automaton()
-        _BUILT.clear()
-        _BUILT[name] = automaton
-    return _BUILT[name]
-
-
 def _terms_scanned(low: DataFrame, key: str, words: list[str]) -> DataFrame:
-    terms, name = low.sparkSession.sparkContext.broadcast(words), uuid.uuid4().hex
+    built = ahocorasick.Automaton()
+    for word in words:
+        built.add_word(word, word)
+    built.make_automaton()
+    # Loaded once per worker process. The function names nothing of this
+    # package, so workers need not have it.
+    automaton = low.sparkSession.sparkContext.broadcast(built)
 
     @F.pandas_udf("array<string>")
     def scan(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        words = terms.value
-        automaton = _automaton(name, words)
+        find = automaton.value.iter
         for texts in batches:
-            yield texts.map(lambda text: [words[n] for n in {n for _, n in automaton.iter(text)}])
+            yield texts.map(lambda text: list({word for _, word in find(text)}))
 
     return low.select(key, F.explode(scan("_text")).alias("term_text"))
 

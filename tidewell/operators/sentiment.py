@@ -46,20 +46,19 @@ def with_sentiment(df: DataFrame, key: str, text: str, lexicon: DataFrame) -> Da
     return df.join(score_sentiment(df, key, text, lexicon), key, "left")
 
 
-def _installed_analyser():
-    from vaderSentiment.vaderSentiment import SentimentIntensityAnalyzer
-
-    return SentimentIntensityAnalyzer()
-
-
-def library_sentiment(text: Column, analyser: Callable[[], object] = _installed_analyser) -> Column:
+def library_sentiment(text: Column, analyser: Callable[[], object] | None = None) -> Column:
     """Compound score by the full rule set, where its library is installed on the workers.
 
     For users who need its exact scores. Null and empty texts give null.
+    ``analyser`` makes an object with ``polarity_scores``.
     """
     @F.pandas_udf("double")
     def scores(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        made = analyser()
+        if analyser is None:
+            from vaderSentiment.vaderSentiment import SentimentIntensityAnalyzer as make
+        else:
+            make = analyser
+        made = make()
         for texts in batches:
             yield texts.map(lambda t: made.polarity_scores(t)["compound"] if t else None).astype("float64")
 
