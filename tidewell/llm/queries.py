@@ -5,7 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tidewell.llm.ctph import compare_with_next
 from tidewell.llm.line_dedup import dedup_lines
+from tidewell.llm.mixing import mix_sources
 
 QUERIES, ORACLES = {}, {}
 
@@ -48,3 +50,46 @@ SELECT doc_id, n_lines, n_dropped, sha256(kept) AS kept_sha256 FROM docs JOIN ke
 def op7_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return dedup_lines(table(spark, folder, "documents")).select(
         "row.doc_id", "n_lines", "n_dropped", F.sha2("kept", 256).alias("kept_sha256"))
+
+
+OP9_SQL = """
+WITH sized AS (
+  SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+'))::BIGINT AS size FROM documents),
+sources AS (
+  SELECT source, sum(size)::BIGINT AS source_size,
+    [3, 1, 2][(row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3 + 1] AS weight
+  FROM sized GROUP BY source),
+levels AS (
+  SELECT *, (sum(source_size) OVER () * 1.5::DOUBLE - coalesce(sum(source_size) OVER b, 0) * 2)
+    / (sum(weight) OVER () - coalesce(sum(weight) OVER b, 0)) AS level
+  FROM sources
+  WINDOW b AS (ORDER BY source_size / weight, source NULLS LAST ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)),
+targets AS (
+  SELECT source, source_size, least((source_size * 2)::DOUBLE, max(level) OVER () * weight) AS target FROM levels),
+grouped AS (SELECT doc_id, source, size, count(*) AS copies FROM sized GROUP BY ALL),
+queued AS (
+  SELECT g.*, target, pass, size * copies AS words,
+    md5(coalesce(g.doc_id::VARCHAR, 'null') || ':' || pass) AS place
+  FROM grouped g JOIN targets t ON g.source IS NOT DISTINCT FROM t.source, range(2) p(pass) WHERE size > 0),
+finish AS (
+  SELECT *, (sum(words) OVER (PARTITION BY source ORDER BY pass, place, size ROWS UNBOUNDED PRECEDING))::DOUBLE / target AS finish
+  FROM queued),
+served AS (
+  SELECT *, sum(words) OVER (ORDER BY finish, source NULLS LAST, pass, place, size ROWS UNBOUNDED PRECEDING) AS running FROM finish),
+taken AS (
+  SELECT doc_id, source, size, sum(size) AS taken FROM served
+  WHERE running * 2 - words <= (SELECT sum(source_size) FROM targets) * 3 GROUP BY ALL)
+SELECT s.doc_id, s.size, t.source_size, t.target, coalesce(k.taken, 0)::BIGINT AS taken
+FROM sized s JOIN targets t ON s.source IS NOT DISTINCT FROM t.source
+LEFT JOIN taken k ON s.doc_id IS NOT DISTINCT FROM k.doc_id AND s.source IS NOT DISTINCT FROM k.source AND s.size = k.size
+"""
+
+
+@query(OP9_SQL)
+def op9_mixing(spark: SparkSession, folder: str) -> DataFrame:
+    return mix_sources(table(spark, folder, "documents")).select("doc_id", "size", "source_size", "target", "taken")
+
+
+@query()
+def op10_fingerprints(spark: SparkSession, folder: str) -> DataFrame:
+    return compare_with_next(table(spark, folder, "documents"))
