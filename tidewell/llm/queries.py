@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tidewell.llm.bpe import decode, encode, share_tables
 from tidewell.llm.ctph import compare_with_next
 from tidewell.llm.line_dedup import dedup_lines
 from tidewell.llm.mixing import mix_sources
@@ -93,3 +95,13 @@ def op9_mixing(spark: SparkSession, folder: str) -> DataFrame:
 @query()
 def op10_fingerprints(spark: SparkSession, folder: str) -> DataFrame:
     return compare_with_next(table(spark, folder, "documents"))
+
+
+@query()
+def op6_byte_bpe(spark: SparkSession, folder: str) -> DataFrame:
+    shared = share_tables(spark, public_tokenizers.path("byte_bpe_50k.tiktoken"))
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    return decode(encode(docs, shared).drop("text"), shared).select(
+        "doc_id", F.size("ids").cast("long").alias("n_tokens"),
+        F.sha2(F.array_join(F.col("ids").cast("array<string>"), " "), 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"))
