@@ -11,6 +11,7 @@ from tidewell.llm.bpe import decode, encode, share_tables
 from tidewell.llm.ctph import compare_with_next
 from tidewell.llm.labelled import held_out
 from tidewell.llm.line_dedup import dedup_lines
+from tidewell.llm.minhash import near_duplicate_classes
 from tidewell.llm.mixing import mix_sources
 
 QUERIES, ORACLES = {}, {}
@@ -116,3 +117,8 @@ def op8_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     return toxicity.score(docs, model).select(
         "doc_id", held_out(F.col("doc_id")).alias("held_out"), F.col("toxicity").alias("score"),
         (F.col("toxicity") >= 0.5).cast("int").alias("predicted"))
+
+
+@query()
+def op1_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return near_duplicate_classes(table(spark, folder, "documents")).select("doc_id", "class_id")
