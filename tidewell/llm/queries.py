@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidewell.llm import toxicity
+from tidewell.llm import crf, toxicity
 from tidewell.llm.bpe import decode, encode, share_tables
 from tidewell.llm.ctph import compare_with_next
 from tidewell.llm.labelled import held_out
@@ -122,3 +122,12 @@ def op8_toxicity(spark: SparkSession, folder: str) -> DataFrame:
 @query()
 def op1_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return near_duplicate_classes(table(spark, folder, "documents")).select("doc_id", "class_id")
+
+
+@query()
+def op5_quality(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    model = crf.train(docs, table(spark, folder, "labels"))
+    return crf.score(docs, model).select(
+        "doc_id", held_out(F.col("doc_id")).alias("held_out"), F.col("quality").alias("score"),
+        (F.col("quality") >= 0.3).cast("int").alias("predicted"))
