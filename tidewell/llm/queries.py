@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from tidewell.llm import crf, toxicity
 from tidewell.llm.bpe import decode, encode, share_tables
 from tidewell.llm.ctph import compare_with_next
+from tidewell.llm.html_text import extract_text
 from tidewell.llm.labelled import held_out
 from tidewell.llm.line_dedup import dedup_lines
 from tidewell.llm.minhash import near_duplicate_classes
@@ -131,3 +132,9 @@ def op5_quality(spark: SparkSession, folder: str) -> DataFrame:
     return crf.score(docs, model).select(
         "doc_id", held_out(F.col("doc_id")).alias("held_out"), F.col("quality").alias("score"),
         (F.col("quality") >= 0.3).cast("int").alias("predicted"))
+
+
+@query()
+def op3_html_text(spark: SparkSession, folder: str) -> DataFrame:
+    pages = table(spark, folder, "pages").select("page_id", "url", "html")
+    return extract_text(pages).withColumn("n_chars", F.char_length("text").cast("long"))
