@@ -14,6 +14,7 @@ from tidewell.llm.labelled import held_out
 from tidewell.llm.line_dedup import dedup_lines
 from tidewell.llm.minhash import near_duplicate_classes
 from tidewell.llm.mixing import mix_sources
+from tidewell.llm.topk import top_k
 
 QUERIES, ORACLES = {}, {}
 
@@ -138,3 +139,21 @@ def op5_quality(spark: SparkSession, folder: str) -> DataFrame:
 def op3_html_text(spark: SparkSession, folder: str) -> DataFrame:
     pages = table(spark, folder, "pages").select("page_id", "url", "html")
     return extract_text(pages).withColumn("n_chars", F.char_length("text").cast("long"))
+
+
+OP4_SQL = """
+WITH whole AS (
+  SELECT vec_id, list_transform(embedding, lambda x: floor(1024 * x::DOUBLE)::BIGINT) AS v FROM embeddings
+  WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+scored AS (
+  SELECT q.vec_id AS query_id, d.vec_id,
+    list_sum(list_transform(list_zip(q.v, d.v), lambda p: p[1] * p[2]))::BIGINT AS score
+  FROM whole q JOIN whole d ON q.vec_id % 100 = 0 AND q.vec_id <> d.vec_id)
+SELECT query_id, rank::INTEGER AS rank, vec_id, score
+FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM scored) WHERE rank <= 10
+"""
+
+
+@query(OP4_SQL)
+def op4_top_k(spark: SparkSession, folder: str) -> DataFrame:
+    return top_k(table(spark, folder, "embeddings"), F.col("vec_id") % 100 == 0)
