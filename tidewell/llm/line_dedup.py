@@ -136,7 +136,8 @@ def dedup_lines(docs: DataFrame, min_chars: int = 20, min_docs: int = 3) -> Data
         .select(
             "row", F.size(lines).cast("long").alias("n_lines"),
             F.coalesce(F.size("dropped"), F.lit(0)).cast("long").alias("n_dropped"),
-            F.when(F.col("dropped").isNull(), text).otherwise(F.array_join(F.transform(
-                F.array_except(numbers, "dropped"), lambda i: F.get(lines, i)), "\n")).alias("kept"),
+            # The outer transform holds the split lines, which the inner one would split anew for every number.
+            F.when(F.col("dropped").isNull(), text).otherwise(F.transform(F.array(lines), lambda held: F.array_join(
+                F.transform(F.array_except(numbers, "dropped"), lambda i: F.get(held, i)), "\n"))[0]).alias("kept"),
         )
     )
