@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidewell.llm import crf, toxicity
+from tidewell.llm import crf, licences, toxicity
 from tidewell.llm.bpe import decode, encode, share_tables
 from tidewell.llm.ctph import compare_with_next
 from tidewell.llm.html_text import extract_text
@@ -157,3 +157,34 @@ FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, ve
 @query(OP4_SQL)
 def op4_top_k(spark: SparkSession, folder: str) -> DataFrame:
     return top_k(table(spark, folder, "embeddings"), F.col("vec_id") % 100 == 0)
+
+
+def _op2_sql() -> str:
+    quoted = ", ".join(f"({i}, '{name}', '{wording}')" for i, (name, wording) in enumerate(licences.TEMPLATES))
+    plain = "string_split(trim(regexp_replace(lower(words), '[^a-z0-9]+', ' ', 'g')), ' ')"
+    pairs = "list_distinct(list_transform(list_zip(plain[:-2], plain[2:]), lambda p: p[1] || ' ' || p[2]))"
+    return f"""
+WITH templates(template, licence, words) AS (VALUES {quoted}),
+t AS (SELECT template, licence, {pairs} AS pairs FROM (SELECT *, {plain} AS plain FROM templates)),
+docs AS (SELECT row_number() OVER () AS r, doc_id, coalesce(text, '') AS text FROM documents),
+cut AS (
+  SELECT r, unnest(string_split(text, chr(10)) || list_filter(regexp_split_to_array(text, '\\n[ \\t\\r]*\\n'), lambda p: contains(p, chr(10)))) AS words,
+    generate_subscripts(string_split(text, chr(10)) || list_filter(regexp_split_to_array(text, '\\n[ \\t\\r]*\\n'), lambda p: contains(p, chr(10))), 1) AS segment
+  FROM docs),
+s AS (SELECT r, segment, {pairs} AS pairs FROM (SELECT *, {plain} AS plain FROM cut)),
+scored AS (
+  SELECT r, segment, template, licence,
+    2 * len(list_intersect(s.pairs, t.pairs))::DOUBLE / (len(s.pairs) + len(t.pairs)) AS dice
+  FROM s JOIN t ON len(s.pairs) BETWEEN len(t.pairs) * 0.6 AND len(t.pairs) * 1.6),
+best AS (
+  SELECT * FROM scored WHERE dice >= 0.8
+  QUALIFY row_number() OVER (PARTITION BY r, segment ORDER BY dice DESC, licence, template) = 1),
+per_doc AS (
+  SELECT r, count(*) AS n_notices, string_agg(DISTINCT licence, ',' ORDER BY licence) AS licences, max(dice) AS best FROM best GROUP BY r)
+SELECT doc_id, coalesce(n_notices, 0) AS n_notices, coalesce(licences, '') AS licences, best FROM docs LEFT JOIN per_doc USING (r)
+"""
+
+
+@query(_op2_sql())
+def op2_licences(spark: SparkSession, folder: str) -> DataFrame:
+    return licences.scan_licences(table(spark, folder, "documents")).withColumn("licences", F.array_join("licences", ","))
