@@ -28,7 +28,7 @@ LETTER, NUMBER, OTHER, SPACE, LAST_BLANK, BLANK, SHORT, LONG = range(8)
 START, LETTERS, NUMBERS, OTHERS, JOINER, BLANKS, ONE, TWO, OVER = range(9)
 
 #: Distinct pieces whose merges a worker remembers, and the length above which a piece is merged by a heap.
-CACHE_PIECES = 250_000
+CACHE_PIECES = 150_000
 LONG_PIECE = 128
 
 _NONE = np.int32(2**31 - 1)
@@ -283,6 +283,33 @@ def _list_array(values: np.ndarray, counts: np.ndarray):
     return pa.ListArray.from_arrays(pa.array(bounds), pa.array(values))
 
 
+def _fields(df: DataFrame) -> str:
+    return "".join(f"`{f.name}` {f.dataType.simpleString()}, " for f in df.schema)
+
+
+def _encoded(batches, column: str, tables: dict):
+    for batch in text_batches(batches, column):
+        data, offsets = flat_text(batch.column(column))
+        ids, counts = encode_texts(data, offsets, tables)
+        ends = np.cumsum(tables["token_lengths"][ids]) - np.repeat(offsets[:-1], counts)
+        yield batch.append_column("ids", _list_array(ids, counts)).append_column(
+            "token_ends", _list_array(ends.astype(np.int32), counts))
+
+
+def _decoded(batches, tables: dict):
+    for whole in batches:
+        for start in range(0, whole.num_rows, 256):
+            batch = whole.slice(start, 256)
+            ids, ends = batch.column("ids"), batch.column("token_ends")
+            data, _ = decode_ids(ids.flatten().to_numpy(), tables)
+            counts = np.diff(ids.offsets.to_numpy())
+            flat_ends = ends.flatten().to_numpy()
+            sizes = np.where(counts > 0, flat_ends[np.maximum(np.cumsum(counts) - 1, 0)] if len(flat_ends) else 0, 0)
+            bounds = np.concatenate([[0], np.cumsum(sizes)]).astype(np.int64)
+            array = pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(sizes), [None, pa.py_buffer(bounds), pa.py_buffer(data)])
+            yield batch.append_column("decoded", array.cast(pa.binary()))
+
+
 def encode(docs: DataFrame, shared, column: str = "text") -> DataFrame:
     """``docs`` with ``ids`` and ``token_ends`` (byte offset in the text's UTF-8 at which each token ends).
 
@@ -290,38 +317,17 @@ def encode(docs: DataFrame, shared, column: str = "text") -> DataFrame:
     Columns of docs named ids or token_ends are replaced.
     """
     docs = docs.drop("ids", "token_ends")
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema)
-
-    def run(batches):
-        tables = shared.value
-        for batch in text_batches(batches, column):
-            data, offsets = flat_text(batch.column(column))
-            ids, counts = encode_texts(data, offsets, tables)
-            ends = np.cumsum(tables["token_lengths"][ids]) - np.repeat(offsets[:-1], counts)
-            yield batch.append_column("ids", _list_array(ids, counts)).append_column(
-                "token_ends", _list_array(ends.astype(np.int32), counts))
-
-    return docs.mapInArrow(run, f"{schema}, ids array<int>, token_ends array<int>")
+    return docs.mapInArrow(lambda batches: _encoded(batches, column, shared.value), _fields(docs) + "ids array<int>, token_ends array<int>")
 
 
 def decode(encoded: DataFrame, shared) -> DataFrame:
     """``encoded`` with ``decoded``, the bytes of its ids; ``token_ends`` give the size of each text."""
     encoded = encoded.drop("decoded")
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in encoded.schema)
-
-    def run(batches):
-        tables = shared.value
-        for whole in batches:
-            for start in range(0, whole.num_rows, 256):
-                batch = whole.slice(start, 256)
-                ids, ends = batch.column("ids"), batch.column("token_ends")
-                data, _ = decode_ids(ids.flatten().to_numpy(), tables)
-                counts = np.diff(ids.offsets.to_numpy())
-                last = np.cumsum(counts) - 1
-                flat_ends = ends.flatten().to_numpy()
-                sizes = np.where(counts > 0, flat_ends[np.maximum(last, 0)] if len(flat_ends) else 0, 0)
-                bounds = np.concatenate([[0], np.cumsum(sizes)]).astype(np.int64)
-                array = pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(sizes), [None, pa.py_buffer(bounds), pa.py_buffer(data)])
-                yield batch.append_column("decoded", array.cast(pa.binary()))
-
-    return encoded.mapInArrow(run, f"{schema}, decoded binary")
+    return encoded.mapInArrow(lambda batches: _decoded(batches, shared.value), _fields(encoded) + "decoded binary")
+
+
+def round_trip(docs: DataFrame, shared, column: str = "text") -> DataFrame:
+    """``encode`` and ``decode`` one after the other on each batch, so that ids do not leave the worker in between."""
+    docs = docs.drop("ids", "token_ends", "decoded")
+    return docs.mapInArrow(lambda batches: _decoded(_encoded(batches, column, shared.value), shared.value),
+                           _fields(docs) + "ids array<int>, token_ends array<int>, decoded binary")

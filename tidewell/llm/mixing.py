@@ -99,3 +99,12 @@ def mix_sources(docs: DataFrame) -> DataFrame:
         "j.doc_id", "j.source", "j.size", "j.source_size", "j.target",
         F.coalesce("k.taken", F.lit(0)).alias("taken"),
         F.explode(F.array_repeat(F.lit(0), F.col("j.copies").cast("int"))).alias("copy")).drop("copy")
+
+
+def repeat_as_taken(docs: DataFrame, mix: DataFrame) -> DataFrame:
+    """The rows of ``docs`` as often as ``mix`` (of ``mix_sources``) takes them, columns as they are."""
+    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row")).withColumns({
+        "own_id": F.col("row.doc_id").cast("long"), "own_source": F.col("row.source").cast("string"), "own_size": word_count(F.col("row.text"))})
+    times = mix.where("taken > 0").groupBy("doc_id", "source", "size").agg(F.max(F.expr("taken div size")).cast("int").alias("times"))
+    same = (rows.own_id.eqNullSafe(times.doc_id) & rows.own_source.eqNullSafe(times.source) & (rows.own_size == times.size))
+    return rows.join(times, same).select("row", F.explode(F.sequence(F.lit(1), F.col("times"))).alias("copy")).select("row.*")
