@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import itertools
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -107,17 +109,18 @@ def build_catalogue(raw: DataFrame) -> DataFrame:
     )
 
 
-def reachable(edges: DataFrame, roots: DataFrame, max_depth: int = 1000) -> DataFrame:
+def reachable(edges: DataFrame, roots: DataFrame) -> DataFrame:
     """(node, depth) for every node reached from ``roots`` (column ``node``).
 
     ``edges`` has (parent, child). Each node appears once, at its least depth.
-    One join per level; each level is written to the checkpoint folder, so a
-    lost executor costs at most that level.
+    One join per level; edges and each level are written to the checkpoint
+    folder, so a lost executor costs at most that level. The walk ends by
+    itself, as no node is visited twice.
     """
-    links = edges.select("parent", "child").distinct()
+    links = cut_lineage(edges.select("parent", "child").distinct())
     level = cut_lineage(roots.select("node").distinct().withColumn("depth", F.lit(0)))
     visited = level
-    for depth in range(1, max_depth + 1):
+    for depth in itertools.count(1):
         step = (
             links.join(level.select(F.col("node").alias("parent")), "parent", "left_semi")
             .select(F.col("child").alias("node")).distinct()
@@ -128,7 +131,6 @@ def reachable(edges: DataFrame, roots: DataFrame, max_depth: int = 1000) -> Data
         if level.isEmpty():
             return visited
         visited = visited.unionByName(level)
-    raise RuntimeError(f"hierarchy is deeper than {max_depth}")
 
 
 def reachable_of_kind(edges: DataFrame, roots: DataFrame, kinds: DataFrame,

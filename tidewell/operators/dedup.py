@@ -3,11 +3,13 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from tidewell.operators.graph import stars
 from tidewell.session import cut_lineage
 
 
@@ -75,30 +77,64 @@ def merge_categories(df: DataFrame, key: str, category: str,
     )
 
 
+#: Rows of one group of entangled ids and urls that a single task settles, one after the other.
+TASK_ROWS = 1_000_000
+
+
 def dedup_id_or_url(df: DataFrame, id_col: str, url_col: str, order: Sequence[str],
-                    max_rounds: int = 1000) -> DataFrame:
+                    task_rows: int = TASK_ROWS) -> DataFrame:
     """Rows a first-come reader would keep: a row is dropped if an earlier kept
     row has its id or its url. Empty ids and urls count as absent.
 
-    Each round keeps the rows that come first under both of their keys and
-    drops the rows they cover, until no row is open. ``order`` must be unique.
+    Rows decide about each other only if a chain of shared ids and urls joins
+    them. Such a group is read in order by one task, as long as it has up to
+    ``task_rows`` rows; larger groups are settled in rounds, see
+    :func:`_settle_in_rounds`. ``order`` must be unique.
     """
     def present(name: str) -> Column:
-        return F.when(F.col(name) != "", F.col(name))
+        return F.when(F.col(name) != "", F.col(name).cast("string"))
 
     # Of the copies of one (id, url) pair only the first can ever be kept.
-    rows = df.withColumn("_ord", F.struct(*order)) \
-             .withColumn("_id", present(id_col)).withColumn("_url", present(url_col))
+    rows = df.withColumn("_ord", F.struct(*order)).withColumn("_id", present(id_col)).withColumn("_url", present(url_col))
     bare = rows.filter(F.col("_id").isNull() & F.col("_url").isNull()).select("_ord")
-    open_rows = (
-        rows.filter(F.col("_id").isNotNull() | F.col("_url").isNotNull())
-        .groupBy("_id", "_url").agg(F.min("_ord").alias("_ord"))
-    )
-    open_rows = cut_lineage(open_rows)
-    kept = [bare]
-    for _ in range(max_rounds):
-        if open_rows.isEmpty():
-            break
+    pairs = cut_lineage(rows.filter(F.col("_id").isNotNull() | F.col("_url").isNotNull())
+                        .groupBy("_id", "_url").agg(F.min("_ord").alias("_ord")))
+    id_node, url_node = F.concat(F.lit("i"), "_id"), F.concat(F.lit("u"), "_url")
+    tied = stars(pairs.where("_id IS NOT NULL AND _url IS NOT NULL").select(id_node.alias("a"), url_node.alias("b")))
+    grouped = pairs.withColumn("a", F.coalesce(id_node, url_node)).join(tied, "a", "left").select(
+        "_id", "_url", "_ord", F.coalesce("b", "a").alias("_group"))
+    sizes = grouped.groupBy("_group").agg(F.count(F.lit(1)).alias("_size"))
+    sized = cut_lineage(grouped.join(sizes, "_group"))
+
+    def read_in_order(pdf):
+        pdf = pdf.sort_values(list(order))
+        ids, urls, kept = set(), set(), []
+        for one, other in zip(pdf["_id"], pdf["_url"]):
+            new = (one is None or one not in ids) and (other is None or other not in urls)
+            kept.append(new)
+            if new:
+                ids.add(one)
+                urls.add(other)
+        return pdf.loc[kept, list(order)]
+
+    small = sized.where(F.col("_size").between(2, task_rows)).select("_group", "_id", "_url", "_ord.*")
+    keys = ", ".join(f"`{c}` {sized.schema['_ord'].dataType[c].dataType.simpleString()}" for c in order)
+    settled = small.groupBy("_group").applyInPandas(read_in_order, keys).select(F.struct(*order).alias("_ord"))
+    winners = bare.unionByName(sized.where("_size = 1").select("_ord")).unionByName(settled)
+    large = sized.where(F.col("_size") > task_rows)
+    if not large.isEmpty():
+        winners = winners.unionByName(_settle_in_rounds(large.select("_id", "_url", "_ord")))
+    return rows.join(winners, "_ord", "left_semi").drop("_ord", "_id", "_url")
+
+
+def _settle_in_rounds(open_rows: DataFrame) -> DataFrame:
+    """``_ord`` of the rows kept. Each round keeps the rows that come first
+    under both of their keys and drops the rows they cover, until none is open.
+
+    Rounds are as many as the longest chain of rows that wait for each other.
+    """
+    kept = []
+    while not open_rows.isEmpty():
         lead = open_rows
         for key in ("_id", "_url"):
             first = open_rows.filter(F.col(key).isNotNull()).groupBy(key) \
@@ -110,11 +146,6 @@ def dedup_id_or_url(df: DataFrame, id_col: str, url_col: str, order: Sequence[st
         kept.append(lead.select("_ord"))
         for key in ("_id", "_url"):
             covered = lead.filter(F.col(key).isNotNull()).select(key).distinct()
-            open_rows = open_rows.join(covered, key, "left_anti")
+            open_rows = open_rows.join(covered, key, "left_anti").select("_id", "_url", "_ord")
         open_rows = cut_lineage(open_rows)
-    else:
-        raise RuntimeError("dedup_id_or_url did not settle")
-    winners = kept[0]
-    for part in kept[1:]:
-        winners = winners.unionByName(part)
-    return rows.join(winners, "_ord", "left_semi").drop("_ord", "_id", "_url")
+    return reduce(DataFrame.unionByName, kept)

@@ -8,6 +8,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from tidewell.session import cut_lineage
+
 STATUS = "_status"
 NEW, UPDATED, SOURCE_ONLY, UNTOUCHED = "new", "updated", "source_only", "untouched"
 
@@ -188,27 +190,23 @@ def enrich_fact(fact: DataFrame, values: DataFrame, key: str, column: str,
     )
 
 
-def assign_keys(df: DataFrame, old: DataFrame, natural: Sequence[str], key: str,
-                buckets: int = 64) -> DataFrame:
-    """Number rows that are not in ``old`` from ``max(key) + 1`` on, without gaps.
+def assign_keys(df: DataFrame, old: DataFrame, natural: Sequence[str], key: str) -> DataFrame:
+    """Number rows that are not in ``old`` from ``max(key) + 1`` on, without gaps, in the order of ``natural``.
 
-    Rows are numbered inside hash buckets; a bucket starts where the counts of
-    the buckets before it end. Only the bucket counts meet in one task.
-    Existing rows keep their key. ``df`` holds one row per natural key.
+    Rows are dealt into ranges and numbered inside each; a range starts where
+    the counts of the ranges before it end, one row per range. Existing rows
+    keep their key. ``df`` holds one row per natural key.
     """
     known = old.select(*natural, F.col(key).cast("bigint").alias("_old"))
-    tagged = df.drop(key).join(known, list(natural), "left").withColumn(
-        "_bucket", F.pmod(F.xxhash64(*natural), F.lit(buckets)).cast("int"))
-    is_fresh = F.col("_old").isNull()
-    sizes = tagged.groupBy("_bucket").agg(F.count_if(is_fresh).alias("_n"))
-    before = Window.orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
-    starts = sizes.select("_bucket", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_start"))
+    tagged = df.drop(key).join(known, list(natural), "left")
+    ranges = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    # Written, so that a row stays in its range if a task runs again.
+    fresh = cut_lineage(tagged.where("_old IS NULL").repartitionByRange(ranges, *natural).withColumn("_range", F.spark_partition_id()))
+    before = Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
+    starts = fresh.groupBy("_range").agg(F.count(F.lit(1)).alias("_n")).select(
+        "_range", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_start"))
     top = old.agg(F.coalesce(F.max(key), F.lit(0)).alias("top")).scalar()
-    inside = Window.partitionBy("_bucket").orderBy(*natural).rowsBetween(Window.unboundedPreceding, 0)
-    # `starts` holds one row per bucket.
-    return (
-        tagged.withColumn("_rank", F.count_if(is_fresh).over(inside))
-        .join(F.broadcast(starts), "_bucket")
-        .withColumn(key, F.coalesce("_old", (top + F.col("_start") + F.col("_rank")).cast("bigint")))
-        .select(key, *[c for c in df.columns if c != key])
-    )
+    numbered = fresh.withColumn("_rank", F.row_number().over(Window.partitionBy("_range").orderBy(*natural))).join(
+        F.broadcast(starts), "_range").withColumn(key, (top + F.col("_start") + F.col("_rank")).cast("bigint"))
+    columns = [key, *[c for c in df.columns if c != key]]
+    return numbered.select(*columns).unionByName(tagged.where("_old IS NOT NULL").withColumn(key, F.col("_old")).select(*columns))

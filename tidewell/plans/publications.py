@@ -67,20 +67,19 @@ def flatten_award(raw: DataFrame, categories: DataFrame) -> DataFrame:
     def trimmed(items: Column) -> Column:
         return F.filter(F.transform(items, lambda x: F.trim(x)), lambda n: n != "")
 
-    ids = raw.select("appl_id", F.posexplode("spending_categories").alias("_pos", "_id"))
-    named = lookup(ids, F.col("_id"), categories, "category_id", ["category_name"])
-    label = F.coalesce("category_name", F.concat(F.lit("Category "), F.col("_id").cast("string")))
-    by_id = named.groupBy("appl_id").agg(
-        F.transform(F.array_sort(F.collect_set(F.struct("_pos", label.alias("n")))),
-                    lambda x: x["n"]).alias("_by_id"))
+    # The service's list of categories: a few hundred names, as one map.
+    by_category = categories.where("category_id IS NOT NULL").groupBy("category_id").agg(F.min("category_name").alias("name"))
+    known = by_category.agg(F.map_from_entries(F.collect_list(F.struct(F.col("category_id").cast("bigint"), "name")))).scalar()
+    by_id = F.transform("spending_categories", lambda i: F.coalesce(
+        F.try_element_at(F.col("_known"), i.cast("bigint")), F.concat(F.lit("Category "), i.cast("string"))))
     desc = F.col("spending_categories_desc")
     listed = F.from_json(desc, "array<string>")
     spending = (
-        F.when(desc.startswith("[") & listed.isNotNull(), trimmed(listed))
-        .when(F.coalesce(desc, F.lit("")) != "", trimmed(F.split(desc, ";")))
-        .otherwise(F.coalesce("_by_id", F.array().cast("array<string>")))
+        F.when(desc.startswith("[") & listed.isNotNull() & (F.size(listed) > 0), trimmed(listed))
+        .when((F.coalesce(desc, F.lit("")) != "") & ~(desc.startswith("[") & listed.isNotNull()), trimmed(F.split(desc, ";")))
+        .otherwise(F.coalesce(by_id, F.array().cast("array<string>")))
     )
-    return raw.join(by_id, "appl_id", "left").select(
+    return raw.withColumn("_known", known).select(
         "appl_id", "project_num", text("project_title").alias("title"),
         text("abstract_text").alias("abstract"), text("phr_text").alias("public_health_relevance"),
         "fiscal_year", F.col("project_start_date").alias("project_start"),

@@ -81,7 +81,7 @@ def build_dim_time(old: DataFrame, years: DataFrame) -> DataFrame:
     new = years.select(F.col("year").cast("int").alias("year")).filter(F.col("year").isNotNull()) \
                .distinct().select("year", F.lit(1).alias("month"), F.lit(1).alias("quarter"),
                                   first_month(F.col("year")).alias("year_month"))
-    keyed = assign_keys(new, old, ["year_month"], "time_key", buckets=1)
+    keyed = assign_keys(new, old, ["year_month"], "time_key")
     return insert_missing(old, keyed.select(*DIM_TIME.names), ["year_month"])
 
 

@@ -51,13 +51,13 @@ def mention_counts(spark, sf):
 
 @query("WITH " + PART_TERMS_SQL + """
 SELECT term AS disease_key, CAST(count(*) AS BIGINT) AS media_mention_count
-FROM terms, (SELECT page_id, url, html, text FROM pages LEFT JOIN documents ON page_id = doc_id)
-WHERE contains(lower(html), lower(term)) OR contains(lower(coalesce(text, '')), lower(term)) GROUP BY term
+FROM terms, (SELECT page_id, url, html, text FROM pages FULL JOIN documents ON page_id = doc_id)
+WHERE contains(lower(coalesce(html, '')), lower(term)) OR contains(lower(coalesce(text, '')), lower(term)) GROUP BY term
 """)
 def media_counts(spark, sf):
     pages, docs = dealt(spark, sf, "pages"), dealt(spark, sf, "documents")
-    articles = pages.join(docs, F.col("page_id") == F.col("doc_id"), "left").select(
-        F.col("page_id").alias("url"), F.col("html").alias("title"), F.col("text").alias("description"))
+    articles = pages.join(docs, F.col("page_id") == F.col("doc_id"), "full").select(
+        F.coalesce("page_id", "doc_id").alias("url"), F.col("html").alias("title"), F.col("text").alias("description"))
     return enrichment.media_counts(articles, part_terms(spark, sf))
 
 

@@ -30,7 +30,7 @@ SELECT page_id, regexp_replace(regexp_replace(url, '\?.*', ''), '/$', '') AS url
 FROM pages
 """)
 def canonical_urls(spark, sf):
-    rest = F.substring("url", 6, 10_000)
+    rest = F.expr("substring(url, 6)")
     return table(spark, sf, "pages").select(
         "page_id", canonical_url(F.col("url")).alias("url"),
         absolute_url(rest, "https://base.example").alias("absolute"))
@@ -102,9 +102,10 @@ def null_and_title(spark, sf):
 # ── news ─────────────────────────────────────────────────────────────────────
 
 def article_records(spark, sf) -> DataFrame:
-    """Pages as article records of two services, by language."""
+    """Documents, with their page's url if they have a page, as article records of two services, by language."""
     docs = dealt(spark, sf, "documents")
-    pages = table(spark, sf, "pages").join(docs, F.col("page_id") == F.col("doc_id"))
+    pages = docs.join(table(spark, sf, "pages"), F.col("page_id") == F.col("doc_id"), "left").withColumns({
+        "page_id": F.col("doc_id"), "url": F.coalesce("url", F.concat(F.lit("https://docs.example/"), text_of("doc_id")))})
     headlines = F.col("lang") == "en"
     published = F.timestamp_seconds(F.lit(1700000000) + F.col("page_id") * 86_399)
     return pages.select(
@@ -119,13 +120,15 @@ def article_records(spark, sf) -> DataFrame:
 
 
 @query(r"""
+WITH d AS (SELECT d.*, doc_id AS page_id, coalesce(url, 'https://docs.example/' || doc_id) AS url
+           FROM documents d LEFT JOIN pages p ON p.page_id = doc_id)
 SELECT regexp_replace(regexp_replace(url, '\?.*', ''), '/$', '') AS url, 't_' || lang AS topic,
        CASE WHEN lang <> 'de' THEN source END AS author, string_split(text, '.')[1] AS title,
        CASE WHEN lang <> 'fr' THEN strftime(to_timestamp(1700000000 + page_id * 86399) AT TIME ZONE 'UTC', '%Y-%m-%d %H:%M:%S') END AS published_at,
        lang AS language, source AS category,
        CASE WHEN lang = 'en' THEN 'newsapi.org/v2' ELSE 'api.currentsapi.services/v1' END AS source_apis,
        '2026-03-28T06:00:00+00:00' AS first_seen_at, CAST(1 AS BIGINT) AS version
-FROM pages JOIN documents ON page_id = doc_id
+FROM d
 """)
 def normalise_articles(spark, sf):
     return articles.normalise_articles(article_records(spark, sf), NOW).select(
@@ -185,16 +188,18 @@ def flatten_who(spark, sf):
 
 
 @query(f"""
-WITH h AS (SELECT page_id, url, trim(' ' || source || ' ') AS title, text, lang, lower(' ' || source || '  ' || text) AS hay
-           FROM pages JOIN documents ON page_id = doc_id)
+WITH h AS (SELECT coalesce(url, 'https://docs.example/' || doc_id) AS url, trim(' ' || source || ' ') AS title, text, lang,
+                  lower(' ' || source || '  ' || text) AS hay
+           FROM documents LEFT JOIN pages ON page_id = doc_id)
 SELECT url, title, CASE {NEWS_CASES} ELSE lang || '_general' END AS topic, lang AS category, 'src' AS source FROM h
 """)
 def flatten_news(spark, sf):
     docs = dealt(spark, sf, "documents")
-    raw = table(spark, sf, "pages").join(docs, F.col("page_id") == F.col("doc_id")).select(
+    url = F.coalesce("url", F.concat(F.lit("https://docs.example/"), text_of("doc_id")))
+    raw = docs.join(table(spark, sf, "pages"), F.col("page_id") == F.col("doc_id"), "left").select(
         F.col("lang").alias("category"), F.struct(F.lit("src").alias("name")).alias("source"),
         F.lit(None).cast("string").alias("author"), F.concat(F.lit(" "), docs["source"], F.lit(" ")).alias("title"),
-        F.col("text").alias("description"), "url", F.lit(None).cast("string").alias("urlToImage"),
+        F.col("text").alias("description"), url.alias("url"), F.lit(None).cast("string").alias("urlToImage"),
         F.lit(None).cast("string").alias("publishedAt"), F.lit(None).cast("string").alias("content"))
     return articles.flatten_news(raw, NEWS_TOPICS).select("url", "title", "topic", "category", "source")
 
@@ -246,7 +251,7 @@ def normalise_works(spark, sf):
 
 
 @query("""
-SELECT o_orderkey AS appl_id, o_orderpriority AS title,
+SELECT CASE WHEN o_orderkey % 3 <> 0 THEN o_orderkey END AS appl_id, o_orderpriority AS title,
        CASE WHEN o_orderstatus = 'F' THEN 'Aging,' || o_orderpriority
             WHEN o_orderstatus = 'O' THEN n_name || ',Category ' || (n_nationkey + 100)
             ELSE '' END AS spending_categories, c_name AS principal_investigators, round(o_totalprice, 2) AS award_amount
@@ -259,7 +264,7 @@ def flatten_award(spark, sf):
     none, person = F.lit(None).cast("string"), "struct<full_name: string>"
     status = F.col("o_orderstatus")
     raw = rows.select(
-        F.col("o_orderkey").alias("appl_id"), none.alias("project_num"), F.concat(F.lit(" "), "o_orderpriority").alias("project_title"),
+        F.when(F.col("o_orderkey") % 3 != 0, F.col("o_orderkey")).alias("appl_id"), none.alias("project_num"), F.concat(F.lit(" "), "o_orderpriority").alias("project_title"),
         none.alias("abstract_text"), none.alias("phr_text"), F.year("o_orderdate").alias("fiscal_year"),
         *[none.alias(c) for c in ("project_start_date", "project_end_date", "org_name", "org_city", "org_state", "org_country",
                                   "agency_code", "activity_code", "funding_mechanism", "rcdc_terms", "project_terms",
@@ -267,7 +272,8 @@ def flatten_award(spark, sf):
         F.col("o_totalprice").alias("award_amount"), F.lit(0.0).alias("direct_cost_amt"), F.lit(0.0).alias("indirect_cost_amt"),
         F.array(F.struct(F.col("c_name").alias("full_name")), F.struct(F.lit("").alias("full_name"))).alias("principal_investigators"),
         F.lit(None).cast(f"array<{person}>").alias("program_officers"),
-        F.when(status == "F", F.concat(F.lit("Aging; "), "o_orderpriority", F.lit(" ;"))).otherwise("").alias("spending_categories_desc"),
+        F.when(status == "F", F.concat(F.lit("Aging; "), "o_orderpriority", F.lit(" ;")))
+        .when(F.col("o_orderkey") % 2 == 0, "[]").otherwise("").alias("spending_categories_desc"),
         F.when(status == "P", F.lit(None)).otherwise(F.array(F.col("nat"), F.col("nat") + 100)).alias("spending_categories"))
     categories = nation.select(F.col("n_nationkey").alias("category_id"), F.col("n_name").alias("category_name"))
     return publications.flatten_award(raw, categories).select(

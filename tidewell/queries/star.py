@@ -184,7 +184,7 @@ def numbered_diseases(spark, sf) -> DataFrame:
     word = table(spark, sf, "part").select(F.explode(F.split("p_name", " ")).alias("icd11_code")).distinct() \
         .filter(F.col("icd11_code") > "c")
     return upsert.assign_keys(word, word.select(F.lit(0).cast("bigint").alias("disease_key"), "icd11_code").limit(0),
-                              ["icd11_code"], "disease_key", buckets=1)
+                              ["icd11_code"], "disease_key")
 
 
 @query("""

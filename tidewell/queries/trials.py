@@ -284,13 +284,14 @@ def ctus_trials(spark, sf):
 
 
 @query("WITH " + LINES_SQL + """
-SELECT l_orderkey AS k, string_agg(DISTINCT place, '|' ORDER BY place) AS places FROM (
+SELECT o_orderkey AS k, coalesce(string_agg(DISTINCT place, '|' ORDER BY place), '') AS places FROM orders LEFT JOIN (
   SELECT l_orderkey, CASE WHEN n_regionkey <> 0 THEN 'N' || lpad(CAST(n_nationkey AS VARCHAR), 2, '0') ELSE n_name END || '/' ||
          CASE l_returnflag WHEN 'R' THEN 'Ongoing/recruiting' ELSE 'Ended/ended' END AS place
-  FROM lineitem JOIN supplier ON s_suppkey = l_suppkey JOIN nation ON n_nationkey = s_nationkey) GROUP BY 1
+  FROM lineitem JOIN supplier ON s_suppkey = l_suppkey JOIN nation ON n_nationkey = s_nationkey) ON l_orderkey = o_orderkey GROUP BY 1
 """)
 def trial_countries(spark, sf):
-    """Sites of each trial as distinct ISO-3 / approval / status."""
+    """Sites of each trial as distinct ISO-3 / approval / status; empty for trials without sites."""
     place = F.transform("countries_status", lambda p: F.concat_ws("/", p["country"], p["approval"], p["status"]))
-    return us_trials(spark, sf).filter(F.size("countries_status") > 0).select(
-        F.substring("trial_id", 4, 20).cast("bigint").alias("k"), F.array_join(F.array_sort(place), "|").alias("places"))
+    return us_trials(spark, sf).select(
+        F.expr("substring(trial_id, 4)").cast("bigint").alias("k"),
+        F.coalesce(F.array_join(F.array_sort(place), "|"), F.lit("")).alias("places"))

@@ -129,9 +129,23 @@ def dedup_first_source(spark, sf):
     return dedup.dedup_first(keyed, "appl_id", [F.col("o_orderpriority"), F.col("o_orderkey")])
 
 
-@query()
+@query("""
+WITH RECURSIVE r AS (
+  SELECT o_orderkey, CAST(o_custkey AS VARCHAR) AS id, strftime(o_orderdate, '%Y-%m-%d') || '/' || o_orderpriority AS url,
+         row_number() OVER (ORDER BY o_orderkey) AS n
+  FROM orders),
+s(k, n, ids, urls, kept) USING KEY (k) AS (
+  SELECT 1, CAST(0 AS BIGINT), CAST([] AS VARCHAR[]), CAST([] AS VARCHAR[]), CAST([] AS BIGINT[])
+  UNION
+  SELECT 1, r.n,
+         CASE WHEN list_contains(ids, id) OR list_contains(urls, url) THEN ids ELSE list_append(ids, id) END,
+         CASE WHEN list_contains(ids, id) OR list_contains(urls, url) THEN urls ELSE list_append(urls, url) END,
+         CASE WHEN list_contains(ids, id) OR list_contains(urls, url) THEN kept ELSE list_append(kept, o_orderkey) END
+  FROM s JOIN r ON r.n = s.n + 1)
+SELECT o_orderkey, id, url FROM r WHERE o_orderkey IN (SELECT unnest(kept) FROM s)
+""")
 def dedup_id_or_url(spark, sf):
-    """First-come rule over two keys; no SQL twin, tested against a plain loop."""
+    """First-come rule over two keys; the SQL reads the rows one by one."""
     rows = table(spark, sf, "orders").select(
         "o_orderkey", F.col("o_custkey").cast("string").alias("id"),
         F.concat_ws("/", F.date_format("o_orderdate", "yyyy-MM-dd"), "o_orderpriority").alias("url"))
@@ -192,7 +206,7 @@ def _dim_sides(customer: DataFrame) -> tuple[DataFrame, DataFrame]:
     named = customer.select(F.col("c_name").alias("name"), F.col("c_mktsegment").alias("segment"),
                             F.col("c_acctbal").alias("balance"))
     empty = named.limit(0).select(F.lit(0).cast("bigint").alias("dim_key"), "name")
-    old = upsert.assign_keys(named.filter("segment = 'BUILDING'"), empty, ["name"], "dim_key", buckets=1)
+    old = upsert.assign_keys(named.filter("segment = 'BUILDING'"), empty, ["name"], "dim_key")
     mean = named.agg(F.avg("balance")).scalar()
     new = named.select("name", F.concat(F.lit("SEG-"), "segment").alias("segment"),
                        F.when(F.col("balance") > mean, F.col("balance")).alias("balance"))
@@ -217,18 +231,16 @@ def surrogate_keys(spark, sf):
 
 
 @query("""
-WITH f AS (SELECT l_suppkey AS k, sum(l_quantity) AS q FROM lineitem WHERE l_returnflag = 'R'
-           GROUP BY 1 HAVING sum(l_quantity) > (SELECT sum(l_quantity) / count(DISTINCT l_suppkey)
-                                                FROM lineitem WHERE l_returnflag = 'R'))
+WITH f AS (SELECT l_suppkey AS k, sum(l_quantity) AS q FROM lineitem
+           GROUP BY 1 HAVING sum(l_quantity) > (SELECT sum(l_quantity) / count(DISTINCT l_suppkey) FROM lineitem))
 SELECT s_suppkey AS disease_key, round(coalesce(q, s_acctbal), 2) AS kept, round(q, 2) AS reset
 FROM supplier LEFT JOIN f ON k = s_suppkey
 """)
 def enrich_keep_old(spark, sf):
     supplier, lineitem = table(spark, sf, "supplier"), table(spark, sf, "lineitem")
     fact = supplier.select(F.col("s_suppkey").alias("disease_key"), F.col("s_acctbal").alias("score"))
-    returned = lineitem.filter("l_returnflag = 'R'")
-    mean = returned.agg(F.sum("l_quantity") / F.countDistinct("l_suppkey")).scalar()
-    sums = returned.groupBy(F.col("l_suppkey").alias("disease_key")).agg(F.sum("l_quantity").alias("score"))
+    mean = lineitem.agg(F.sum("l_quantity") / F.countDistinct("l_suppkey")).scalar()
+    sums = lineitem.groupBy(F.col("l_suppkey").alias("disease_key")).agg(F.sum("l_quantity").alias("score"))
     values = sums.filter(F.col("score") > mean)
     kept = upsert.enrich_fact(fact, values, "disease_key", "score")
     reset = upsert.enrich_fact(fact, values, "disease_key", "score", reset=True)
@@ -240,16 +252,16 @@ def enrich_keep_old(spark, sf):
 WITH old AS (SELECT o_custkey AS d, year(o_orderdate) AS t, round(sum(o_totalprice), 2) AS v
              FROM orders WHERE o_orderstatus = 'F' GROUP BY 1, 2),
 new AS (SELECT o_custkey AS d, year(o_orderdate) AS t, round(sum(o_totalprice), 2) AS v
-        FROM orders WHERE o_orderstatus = 'O' GROUP BY 1, 2)
+        FROM orders WHERE o_orderstatus <> 'F' GROUP BY 1, 2)
 SELECT CAST(coalesce(old.d, new.d) AS BIGINT) AS cust, CAST(coalesce(old.t, new.t) AS BIGINT) AS year,
        coalesce(new.v, old.v) AS value,
        CASE WHEN new.d IS NOT NULL THEN '2002-01-01' ELSE '2000-01-01' END AS loaded_at
 FROM old FULL JOIN new ON old.d = new.d AND old.t = new.t
 """)
 def fact_upsert(spark, sf):
-    def sums(status: str) -> DataFrame:
-        return table(spark, sf, "orders").filter(F.col("o_orderstatus") == status).groupBy(
+    def sums(side: str) -> DataFrame:
+        return table(spark, sf, "orders").filter(side).groupBy(
             F.col("o_custkey").alias("cust"), F.year("o_orderdate").cast("bigint").alias("year")
         ).agg(F.round(F.sum("o_totalprice"), 2).alias("value"))
-    old = sums("F").withColumn("loaded_at", F.lit("2000-01-01"))
-    return upsert.upsert_fact(old, sums("O"), ["cust", "year"], ["value"], F.lit("2002-01-01"))
+    old = sums("o_orderstatus = 'F'").withColumn("loaded_at", F.lit("2000-01-01"))
+    return upsert.upsert_fact(old, sums("o_orderstatus <> 'F'"), ["cust", "year"], ["value"], F.lit("2002-01-01"))

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import csv
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, DoubleType, LongType, StringType, StructField, StructType
@@ -68,9 +71,38 @@ def read_ctis_csv(spark: SparkSession, path: str) -> DataFrame:
     return null_tokens(raw.toDF(*[c.lstrip("\ufeff").strip() for c in raw.columns]))
 
 
-def read_icd_map(spark: SparkSession, path: str) -> DataFrame:
-    """Tab-separated code map; codes and chapters stay text, columns found by header."""
-    header = spark.read.option("sep", "\t").option("header", True).csv(path)
+def files_by_header(spark: SparkSession, path: str | list[str]) -> dict[str, list[str]]:
+    """First line -> the files that begin with it; one short row per file reaches the driver.
+
+    Rows of a file are read in order, so its first line has the least id in the
+    task that holds its start.
+    """
+    lines = spark.read.text(path).select(
+        F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("start"),
+        F.monotonically_increasing_id().alias("n"), "value")
+    firsts = lines.where("start = 0").groupBy("file").agg(F.min_by("value", "n").alias("header")).orderBy("file")
+    found: dict[str, list[str]] = {}
+    for row in firsts.collect():
+        found.setdefault(row["header"].removeprefix("\ufeff").rstrip("\r"), []).append(row["file"])
+    return found
+
+
+def read_by_header(spark: SparkSession, path: str | list[str], sep: str, kinds: Callable[[list[str]], StructType]) -> DataFrame:
+    """Files whose columns stand in any order, bound by name; ``kinds`` gives the types of a header's columns.
+
+    A column that a file lacks is null there. A file without lines adds nothing.
+    """
+    whole = None
+    for header, group in files_by_header(spark, path).items():
+        columns = next(csv.reader([header], delimiter=sep), [])
+        part = spark.read.schema(kinds(columns)).option("sep", sep).option("header", True).option("enforceSchema", False).csv(group)
+        whole = part if whole is None else whole.unionByName(part, allowMissingColumns=True)
+    return spark.createDataFrame([], kinds([])) if whole is None else whole
+
+
+def read_icd_map(spark: SparkSession, path: str | list[str]) -> DataFrame:
+    """Tab-separated code map; codes and chapters stay text, columns found by header in each file."""
+    header = read_by_header(spark, path, "\t", lambda names: StructType([StructField(n, StringType()) for n in names or ICD_MAP.names]))
     return header.select(*[F.col(f.name).cast(f.dataType) for f in ICD_MAP.fields])
 
 
@@ -83,10 +115,9 @@ def gbd_schema(columns: list[str]) -> StructType:
     return StructType([StructField(c, kind(c)) for c in columns])
 
 
-def read_gbd_csv(spark: SparkSession, path: str) -> DataFrame:
-    """Disease-burden export; its dimension columns are taken from the header."""
-    columns = spark.read.option("header", True).csv(path).columns
-    return spark.read.schema(gbd_schema(columns)).option("header", True).csv(path)
+def read_gbd_csv(spark: SparkSession, path: str | list[str]) -> DataFrame:
+    """Disease-burden export; each file's columns are taken from its own header."""
+    return read_by_header(spark, path, ",", gbd_schema)
 
 
 def spread(df: DataFrame) -> DataFrame:

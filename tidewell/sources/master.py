@@ -2,7 +2,9 @@
 
 A master is a folder of versions. A version holds the rewritten hash buckets
 as Parquet partitions and, written last, a small ``current`` table that names
-the version in which each bucket was last written. A reader takes the newest
+the version in which each bucket was last written, and the number of buckets.
+That number is the master's for good: opened with another, it refuses, and
+opened without one it takes the stored one. A reader takes the newest
 version that has its ``current`` table, so a job that dies half-way leaves the
 previous version in place. An upsert reads and rewrites only the buckets that
 its batch touches. There is one writer per master.
@@ -19,13 +21,18 @@ from pyspark.sql.types import StructType
 from tidewell.operators.upsert import STATUS, collapse_incoming, merge_with_status, status_counts
 
 BUCKET = "_bucket"
+DEFAULT_BUCKETS = 64
 
 
 class Master:
     def __init__(self, spark: SparkSession, path: str, schema: StructType, key: str, date_col: str,
-                 source_col: str | None = None, buckets: int = 64):
+                 source_col: str | None = None, buckets: int | None = None):
         self.spark, self.path, self.schema = spark, path.rstrip("/"), schema
-        self.key, self.date_col, self.source_col, self.buckets = key, date_col, source_col, buckets
+        self.key, self.date_col, self.source_col = key, date_col, source_col
+        stored = self._places()[1]
+        if stored and buckets and stored != buckets:
+            raise ValueError(f"the master at {path} has {stored} buckets, not {buckets}")
+        self.buckets = stored or buckets or DEFAULT_BUCKETS
 
     def _files(self):
         jvm = self.spark._jvm
@@ -39,14 +46,21 @@ class Master:
                 if fs.exists(jvm.org.apache.hadoop.fs.Path(f"{self.path}/v={v}/current/_SUCCESS"))]
         return sorted(done)
 
-    def _current(self) -> dict[int, int]:
-        """bucket -> version of its data; at most ``buckets`` entries."""
+    def _places(self) -> tuple[dict[int, int], int | None]:
+        """bucket -> version of its data (at most ``buckets`` entries), and the stored number of buckets."""
         done = self.versions()
         if not done:
-            return {}
-        rows = self.spark.read.schema("bucket int, version int") \
+            return {}, None
+        rows = self.spark.read.schema("bucket int, version int, buckets int") \
                    .parquet(f"{self.path}/v={done[-1]}/current").collect()
-        return {r["bucket"]: r["version"] for r in rows}
+        places = {r["bucket"]: r["version"] for r in rows if r["bucket"] is not None}
+        return places, next((r["buckets"] for r in rows), None)
+
+    def _current(self) -> dict[int, int]:
+        places, stored = self._places()
+        if stored and stored != self.buckets:
+            raise ValueError(f"the master at {self.path} has {stored} buckets, not {self.buckets}")
+        return places
 
     def _bucket(self) -> Column:
         return F.pmod(F.xxhash64(self.key), F.lit(self.buckets)).cast("int")
@@ -81,7 +95,8 @@ class Master:
         return version
 
     def _commit(self, version: int, places: dict[int, int]) -> None:
-        self.spark.createDataFrame(sorted(places.items()), "bucket int, version int") \
+        rows = [(b, v, self.buckets) for b, v in sorted(places.items())] or [(None, None, self.buckets)]
+        self.spark.createDataFrame(rows, "bucket int, version int, buckets int") \
             .coalesce(1).write.parquet(f"{self.path}/v={version}/current")
 
     def overwrite(self, rows: DataFrame) -> int:

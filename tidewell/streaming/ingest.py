@@ -48,7 +48,7 @@ def open_files(spark: SparkSession, folder: str, route: Route, schema: StructTyp
                max_files: int = 1000, multi_line: bool = True) -> DataFrame:
     """Stream of the files under ``folder`` that fit the route.
 
-    CSV routes need their ``schema``, since columns are found by header order.
+    CSV routes need their ``schema``; a file whose header differs from it fails.
     """
     reader = (
         spark.readStream.schema(schema or route.schema())
@@ -56,7 +56,7 @@ def open_files(spark: SparkSession, folder: str, route: Route, schema: StructTyp
         .option("maxFilesPerTrigger", max_files).option("multiLine", multi_line)
     )
     if route.file_format == "csv":
-        return reader.option("header", True).option("escape", '"').csv(folder)
+        return reader.option("header", True).option("enforceSchema", False).option("escape", '"').csv(folder)
     return reader.json(folder)
 
 
@@ -68,7 +68,7 @@ def read_files(spark: SparkSession, folder: str, route: Route, schema: StructTyp
         .option("recursiveFileLookup", True).option("multiLine", multi_line)
     )
     if route.file_format == "csv":
-        return reader.option("header", True).option("escape", '"').csv(folder)
+        return reader.option("header", True).option("enforceSchema", False).option("escape", '"').csv(folder)
     return reader.json(folder)
 
 
