@@ -3,64 +3,32 @@
 The result is exactly that of ``lower(text) LIKE '%' || lower(term) || '%'``
 without wildcards; a nested loop over texts and terms is never formed.
 
-* Terms within a measured bound travel to the tasks as one automaton, and each
-  text is scanned once where it lies: no shuffle of texts, no pairs to check.
-* Beyond the bound every term is anchored at one of its character grams, the
-  one that the fewest terms share. Texts meet terms by a salted equi join on
-  grams, and candidates are checked against the text.
+* Every term is anchored at one of its character grams, the one that the
+  fewest terms share. Texts meet terms by an equi join on grams of the sizes
+  that terms have, and candidates are checked against the text.
+* Anchors within a measured bound come to the texts, which then stay where they
+  are: grams that no term is anchored at are dropped before any shuffle.
+  Beyond the bound grams and anchors meet by a salted join.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
-import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidewell.operators.dedup import first_per_key
 from tidewell.operators.sizing import Bound, salted_join
-
-try:
-    import ahocorasick
-except ImportError:  # the gram join then serves every size
-    ahocorasick = None
+from tidewell.session import cut_lineage
 
 GRAM = 5
 TERM_BOUND = Bound(max_rows=1_000_000, max_bytes=64 * 1024 * 1024)
 
 
-# ── bounded terms: one scan per text ─────────────────────────────────────────
-
-def _terms_scanned(low: DataFrame, key: str, words: list[str]) -> DataFrame:
-    built = ahocorasick.Automaton()
-    for word in words:
-        built.add_word(word, word)
-    built.make_automaton()
-    # Loaded once per worker process. The function names nothing of this
-    # package, so workers need not have it.
-    automaton = low.sparkSession.sparkContext.broadcast(built)
-
-    @F.pandas_udf("array<string>")
-    def scan(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        find = automaton.value.iter
-        for texts in batches:
-            yield texts.map(lambda text: list({word for _, word in find(text)}))
-
-    return low.select(key, F.explode(scan("_text")).alias("term_text"))
-
-
-# ── any number of terms: gram join ───────────────────────────────────────────
-
 def _grams(text: Column, size: int) -> Column:
     """All character grams of one size; linear in the text."""
     return F.regexp_extract_all(text, F.lit(f"(?s)(?=(.{{{size}}}))"), F.lit(1))
 
 
-def _distinct_grams(text: Column, sizes: list[int]) -> Column:
-    return F.array_distinct(F.concat(*[_grams(text, s) for s in sizes]))
-
-
 def anchored_terms(distinct: DataFrame, gram: int = GRAM) -> DataFrame:
     """Terms with their anchor gram: (term_text, anchor).
 
@@ -74,14 +42,6 @@ def anchored_terms(distinct: DataFrame, gram: int = GRAM) -> DataFrame:
                          [F.col("_shared"), F.col("anchor")]).select("term_text", "anchor")
 
 
-def _terms_joined(low: DataFrame, key: str, distinct: DataFrame, gram: int) -> DataFrame:
-    anchors = anchored_terms(distinct, gram)
-    probes = low.select(key, F.explode(_distinct_grams(F.col("_text"), list(range(1, gram + 1))))
-                        .alias("anchor"))
-    pairs = salted_join(probes, anchors, ["anchor"], F.col(key)).select(key, "term_text").distinct()
-    return pairs.join(low, key).filter(F.contains("_text", "term_text")).select(key, "term_text")
-
-
 def _hits(texts: DataFrame, key: str, text: str, terms: DataFrame, term_key: str, term: str,
           bound: Bound, gram: int = GRAM) -> tuple[DataFrame, DataFrame, bool]:
     """Distinct (key, term_text), the (term_key, term_text) names, and whether these are few."""
@@ -89,13 +49,19 @@ def _hits(texts: DataFrame, key: str, text: str, terms: DataFrame, term_key: str
         terms.select(F.col(term_key).alias("_term_key"), F.lower(F.col(term)).alias("term_text"))
         .filter(F.char_length("term_text") > 0).distinct()
     )
+    anchors = cut_lineage(anchored_terms(names.select("term_text").distinct(), gram))
+    # At most ``gram`` numbers.
+    sizes = [r[0] for r in anchors.select(F.char_length("anchor")).distinct().collect()]
     low = texts.filter(F.col(text).isNotNull()).select(F.col(key), F.lower(F.col(text)).alias("_text"))
-    found = bound.take(names) if ahocorasick else None
-    if found is None:
-        return _terms_joined(low, key, names.select("term_text").distinct(), gram), names, False
-    if not found:
-        return low.select(key, F.col("_text").alias("term_text")).limit(0), names, True
-    return _terms_scanned(low, key, sorted({row["term_text"] for row in found})), names, True
+    grams = F.concat(*[_grams(F.col("_text"), s) for s in sizes]) if sizes else F.array().cast("array<string>")
+    few = bound.holds(anchors) and bound.holds(names)
+    if few:
+        probes = low.select(key, "_text", F.explode_outer(grams).alias("anchor"))
+        pairs = probes.join(F.broadcast(anchors), "anchor").filter(F.contains("_text", "term_text"))
+        return pairs.select(key, "term_text").distinct(), names, True
+    probes = low.select(key, F.explode_outer(F.array_distinct(grams)).alias("anchor"))
+    pairs = salted_join(probes, anchors, ["anchor"], F.col(key)).select(key, "term_text").distinct()
+    return pairs.join(low, key).filter(F.contains("_text", "term_text")).select(key, "term_text"), names, False
 
 
 # ── uses ─────────────────────────────────────────────────────────────────────

@@ -18,9 +18,15 @@ def make_lookup(metadata: DataFrame, dimension: str, alias: str) -> DataFrame:
 
 def lookup(df: DataFrame, key: Column, table: DataFrame, table_key: str,
            columns: Sequence[str]) -> DataFrame:
-    """Left join on one key. ``table`` holds one row per key."""
-    slim = table.select(F.col(table_key).alias("_lookup_key"), *columns)
-    return df.join(slim, key == F.col("_lookup_key"), "left").drop("_lookup_key")
+    """Left join on one key. ``table`` holds one row per key.
+
+    Rows without a key match nothing. So that they do not all meet in one task
+    where the table is shuffled, they are spread by the task they come from.
+    """
+    slim = table.select(F.col(table_key).alias("_lookup_key"), (F.hash(table_key) * 0).alias("_lookup_spread"), *columns)
+    keyed = df.withColumn("_key", key).withColumn("_spread", F.when(F.col("_key").isNull(), F.spark_partition_id()).otherwise(0))
+    same = (F.col("_key") == F.col("_lookup_key")) & (F.col("_spread") == F.col("_lookup_spread"))
+    return keyed.join(slim, same, "left").drop("_key", "_spread", "_lookup_key", "_lookup_spread")
 
 
 def lookup_when(df: DataFrame, condition: Column, key: str, table: DataFrame, table_key: str,

@@ -78,13 +78,11 @@ def match_dictionary(docs: DataFrame, key: str, title: Column, text: Column, ter
     base = docs.select(key, padded(text).alias("_text"), padded(title).alias("_title"))
     probe, hit = words(F.col("_text")), F.contains("_text", "search_name")
     slim = terms.select("first_word", "search_name", "name", "icd_code", "wc")
-    if bound.holds(slim):
-        # Texts stay where they are; the dictionary comes to them.
-        hits = explode_once(base, [key, "_text", "_title"], probe, "first_word") \
-            .join(F.broadcast(slim), "first_word").filter(hit)
-    else:
-        pairs = salted_join(explode_once(base, [key], probe, "first_word"), slim, ["first_word"], F.col(key))
-        hits = pairs.join(base, key).filter(hit)
+    # Only keys go with the words; a text joins its candidates once.
+    probes = explode_once(base, [key], probe, "first_word")
+    pairs = probes.join(F.broadcast(slim), "first_word") if bound.holds(slim) else \
+        salted_join(probes, slim, ["first_word"], F.col(key))
+    hits = pairs.join(base, key).filter(hit)
     rank = F.struct(
         (-F.col("wc")).alias("wc"), (~F.contains("_title", "search_name")).alias("t"), F.col("name"))
     return (
@@ -134,21 +132,15 @@ def match_jaccard(docs: DataFrame, key: str, title: Column, tokens_by_code: Data
     # A text far longer or shorter than every code cannot reach the score.
     longest, shortest = cats.agg(F.max("cat_n")).scalar(), cats.agg(F.min("cat_n")).scalar()
     base = base.filter((longest >= n * F.lit(min_score) - 1e-9) & (n >= shortest * F.lit(min_score) - 1e-9))
-    length_ok = (m >= n * F.lit(min_score) - 1e-9) & (n >= m * F.lit(min_score) - 1e-9)
-    probes = F.explode("_tokens").alias("token")
-    if bound.holds(index) and bound.holds(cats):
-        pairs = (
-            base.select(key, "_tokens", probes)
-            .join(F.broadcast(index), "token").filter(length_ok).drop("cat_n")
-            .join(F.broadcast(cats), "icd_code")
-        )
-    else:
-        found = salted_join(base.select(key, n.alias("_n"), probes), index, ["token"], F.col(key))
-        fits = (m >= F.col("_n") * F.lit(min_score) - 1e-9) & (F.col("_n") >= m * F.lit(min_score) - 1e-9)
-        pairs = (
-            found.filter(fits).select(key, "icd_code").distinct()
-            .join(base, key).join(cats, "icd_code")
-        )
+    # Only keys and sizes go with the words; word lists join the candidates once per pair.
+    probes = base.select(key, n.alias("_n"), F.explode("_tokens").alias("token"))
+    few = bound.holds(index) and bound.holds(cats)
+    found = probes.join(F.broadcast(index), "token") if few else salted_join(probes, index, ["token"], F.col(key))
+    fits = (m >= F.col("_n") * F.lit(min_score) - 1e-9) & (F.col("_n") >= m * F.lit(min_score) - 1e-9)
+    pairs = (
+        found.filter(fits).select(key, "icd_code").distinct()
+        .join(base, key).join(F.broadcast(cats) if few else cats, "icd_code")
+    )
     # Generated, so that the shared words are counted once per pair.
     shared = F.size(F.array_intersect("_tokens", "cat_tokens"))
     sizes = F.struct(shared.alias("_shared"), (n + F.size("cat_tokens")).alias("_both"))

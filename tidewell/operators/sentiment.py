@@ -2,9 +2,6 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
-
-import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -44,22 +41,3 @@ def score_sentiment(df: DataFrame, key: str, text: str, lexicon: DataFrame,
 def with_sentiment(df: DataFrame, key: str, text: str, lexicon: DataFrame) -> DataFrame:
     """``df`` plus ``media_sentiment_score``; null where there is no text."""
     return df.join(score_sentiment(df, key, text, lexicon), key, "left")
-
-
-def library_sentiment(text: Column, analyser: Callable[[], object] | None = None) -> Column:
-    """Compound score by the full rule set, where its library is installed on the workers.
-
-    For users who need its exact scores. Null and empty texts give null.
-    ``analyser`` makes an object with ``polarity_scores``.
-    """
-    @F.pandas_udf("double")
-    def scores(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        if analyser is None:
-            from vaderSentiment.vaderSentiment import SentimentIntensityAnalyzer as make
-        else:
-            make = analyser
-        made = make()
-        for texts in batches:
-            yield texts.map(lambda t: made.polarity_scores(t)["compound"] if t else None).astype("float64")
-
-    return scores(text)

@@ -20,24 +20,10 @@ class Bound:
     max_bytes: int = BROADCAST_BYTES
 
     def holds(self, df: DataFrame) -> bool:
-        """True if ``df`` is counted to be within the bound.
-
-        Reads at most ``max_rows + 1`` rows and returns two numbers.
-        """
-        rows, used = (
-            df.limit(self.max_rows + 1)
-            .agg(F.count(F.lit(1)), F.coalesce(F.sum(_row_bytes(df)), F.lit(0))).first()
-        )
+        """True if ``df`` is counted to be within the bound; two numbers per task reach the last one."""
+        rows, used = df.agg(F.count(F.lit(1)), F.coalesce(F.sum(_row_bytes(df)), F.lit(0))).first()
         return rows <= self.max_rows and used <= self.max_bytes
 
-    def take(self, df: DataFrame) -> list | None:
-        """The rows of ``df`` if they are within the bound, else None."""
-        kept = df.persist()
-        try:
-            return kept.collect() if self.holds(kept) else None
-        finally:
-            kept.unpersist()
-
 
 def _row_bytes(df: DataFrame) -> Column:
     size = F.lit(16).cast("bigint")

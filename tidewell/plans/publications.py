@@ -7,7 +7,6 @@ from pyspark.sql import functions as F
 
 from tidewell.functions.dates import ISO_LOCAL, parse_time
 from tidewell.operators import matching as m
-from tidewell.operators.lookups import lookup
 from tidewell.schemas import AWARD, PUBLICATIONS
 
 

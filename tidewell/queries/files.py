@@ -98,6 +98,36 @@ def gbd_csv(spark, sf):
     return files.read_gbd_csv(spark, path)
 
 
+@query("SELECT l_partkey AS cause_id, l_suppkey AS location_id, CASE WHEN l_returnflag = 'R' THEN year(l_shipdate) END AS year, l_extendedprice AS val FROM lineitem")
+def gbd_csv_mixed_headers(spark, sf):
+    """Three exports in one folder: columns in two orders, and one without a year."""
+    path = scratch_path(spark, "gbd-mixed")
+    lines = table(spark, sf, "lineitem").select(
+        F.col("l_partkey").alias("cause_id"), F.col("l_suppkey").alias("location_id"), F.year("l_shipdate").alias("year"),
+        F.col("l_extendedprice").alias("val"), "l_returnflag")
+    orders = {"R": ["year", "val", "cause_id", "location_id"], "A": ["cause_id", "location_id", "val"], "N": ["location_id", "cause_id", "val"]}
+    for flag, columns in orders.items():
+        lines.where(F.col("l_returnflag") == flag).select(*columns).write.mode("append").option("header", True).csv(path)
+    return files.read_gbd_csv(spark, path).select("cause_id", "location_id", "year", "val")
+
+
+@query("""
+SELECT 'P' || l_partkey AS "icd10Code", '0' || l_suppkey AS "icd11Code", lpad(CAST(l_linenumber AS VARCHAR), 2, '0') AS "icd11Chapter"
+FROM lineitem
+""")
+def icd_map_mixed_headers(spark, sf):
+    path = scratch_path(spark, "map-mixed")
+    lines = table(spark, sf, "lineitem").select(
+        F.lpad(F.col("l_linenumber").cast("string"), 2, "0").alias("icd11Chapter"),
+        F.concat(F.lit("P"), F.col("l_partkey").cast("string")).alias("icd10Code"),
+        F.concat(F.lit("0"), F.col("l_suppkey").cast("string")).alias("icd11Code"), "l_returnflag")
+    for flag, columns in (("R", ["icd10Code", "icd11Code", "icd11Chapter"]), ("A", ["icd11Code", "icd11Chapter", "icd10Code"]),
+                          ("N", ["icd11Chapter", "icd10Code", "icd11Code"])):
+        lines.where(F.col("l_returnflag") == flag).select(*columns).write.mode("append") \
+            .option("sep", "\t").option("header", True).csv(path)
+    return files.read_icd_map(spark, path)
+
+
 @query("""
 SELECT o_orderkey AS id, CASE WHEN o_totalprice <= 400000 THEN o_totalprice END AS price,
        '[' || o_orderkey || ',' || o_custkey || ']' AS keys, '{"p":"' || o_orderpriority || '"}' AS detail
@@ -147,6 +177,21 @@ def master_upsert(spark, sf):
     return day_only(master.read())
 
 
+@query(MASTER_SQL.replace("i.o_orderdate > e.o_orderdate", "(i.o_orderdate, i.o_orderkey) > (e.o_orderdate, e.o_orderkey)"))
+def master_reopened(spark, sf):
+    """A master opened without a number of buckets goes on with the stored one; another number is refused."""
+    orders, path = table(spark, sf, "orders"), scratch_path(spark, "reopened")
+    customers(spark, path).overwrite(dated_text(customer_master(orders)))
+    try:
+        Master(spark, path, CUSTOMER, "custkey", "dated", "sources", buckets=8)
+        raise AssertionError("another number of buckets was taken")
+    except ValueError:
+        pass
+    master = Master(spark, path, CUSTOMER, "custkey", "dated", "sources")
+    master.upsert(dated_text(customer_batch(orders)))
+    return day_only(master.read())
+
+
 @query("""
 WITH s AS (
   SELECT o_custkey AS custkey, o_orderdate, o_orderkey, o_totalprice, o_orderpriority, o_orderstatus,
