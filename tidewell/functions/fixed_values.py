@@ -140,19 +140,6 @@ BURDEN_KEY = (
     "metric", "population_group", "sex", "year",
 )
 
-# Location names of the burden data that a country list misses.
-LOCATION_ISO3 = {
-    "Bolivia (Plurinational State of)": "BOL",
-    "Democratic Republic of the Congo": "COD",
-    "Iran (Islamic Republic of)": "IRN",
-    "Micronesia (Federated States of)": "FSM",
-    "United States Virgin Islands": "VIR",
-    "Venezuela (Bolivarian Republic of)": "VEN",
-    "Democratic People's Republic of Korea": "PRK",
-    "Republic of Korea": "KOR",
-    "Turkey (Türkiye)": "TUR",
-}
-
 # Fact source name -> source key.
 SOURCE_KEY = {"IHME": 9, "GHO": 7}
 

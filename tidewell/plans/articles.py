@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidewell.functions.dates import BLANK_OFFSET, ZULU, day_text, parse_time
-from tidewell.functions.fixed_values import AUTHOR_PLACEHOLDER
+from tidewell.functions.fixed_values import AUTHOR_PLACEHOLDER, CURRENTS_TOPICS
 from tidewell.functions.text import absolute_url, blank_to_null, canonical_url, tag_topic
 from tidewell.operators.sentiment import with_sentiment
 from tidewell.operators.upsert import collapse_incoming
@@ -89,7 +89,7 @@ def flatten_news(raw: DataFrame, topics: Mapping[str, Sequence[str]]) -> DataFra
         F.col("urlToImage").alias("image_url"), F.col("publishedAt").alias("published_at"), "content")
 
 
-def flatten_currents(raw: DataFrame, topics: Mapping[str, Sequence[str]]) -> DataFrame:
+def flatten_currents(raw: DataFrame, topics: Mapping[str, Sequence[str]] = CURRENTS_TOPICS) -> DataFrame:
     """Raw search records (with their requested ``search``) -> article records."""
     title = F.trim(_text("title"))
     topic = tag_topic(title, F.col("description"), topics, F.concat("search", F.lit("_general")))

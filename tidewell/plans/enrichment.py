@@ -16,8 +16,9 @@ _BETWEEN = "\u0000"
 
 def trial_counts(trials: DataFrame, diseases: DataFrame) -> DataFrame:
     """(disease_key, trial_count): trials whose conditions mention the disease."""
-    texts = trials.select("trial_id", F.array_join("conditions", " ; ").alias("text")) \
-                  .filter(F.col("trial_id").isNotNull())
+    # Trials are counted by id: what several rows of one say is one text.
+    texts = trials.filter(F.col("trial_id").isNotNull()).groupBy("trial_id").agg(
+        F.array_join(F.array_sort(F.flatten(F.collect_list("conditions"))), " ; ").alias("text"))
     return mention_counts(texts, "trial_id", "text", diseases, "disease_key", "disease_name", "trial_count")
 
 
@@ -73,10 +74,14 @@ def enrich_sentiment(fact: DataFrame, articles: DataFrame, diseases: DataFrame,
 def enrich_norms(fact: DataFrame) -> DataFrame:
     """Set both normalised scores; rows without a count keep theirs.
 
-    ``fact`` is read three times, so it should be a stored table.
+    ``fact`` is read twice, so it should be a stored table.
     """
+    tops = fact.agg(F.struct(F.max("media_mention_count").alias("media"), F.max("publication_count").alias("research"))).scalar()
+
     def scored(count: str, old: str) -> Column:
-        return F.when(F.col(count).isNotNull(), norm_score(fact, count)).otherwise(F.col(old)).alias(old)
+        top = tops[{"media_mention_count": "media", "publication_count": "research"}[count]]
+        share = F.round(F.col(count) / F.nullif(top, F.lit(0)), 4)
+        return F.when(F.col(count).isNotNull(), share).otherwise(F.col(old)).alias(old)
     return fact.withColumns({
         "norm_media_score": scored("media_mention_count", "norm_media_score"),
         "norm_research_score": scored("publication_count", "norm_research_score")})

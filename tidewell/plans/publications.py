@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidewell.functions.dates import ISO_LOCAL, parse_time
+from tidewell.functions.fixed_values import SPENDING_CATEGORIES
 from tidewell.operators import matching as m
 from tidewell.schemas import AWARD, PUBLICATIONS
 
@@ -49,12 +50,16 @@ def code_works(works: DataFrame, catalogue: DataFrame, min_score: float = 0.45,
             .select(*PUBLICATIONS.names)
 
 
-def flatten_award(raw: DataFrame, categories: DataFrame) -> DataFrame:
+def flatten_award(raw: DataFrame, categories: DataFrame | None = None) -> DataFrame:
     """Raw award records -> flat awards.
 
-    ``categories`` has (category_id, category_name). Category names come from
-    the ``;`` text, else from the name list, else from the ids.
+    ``categories`` has (category_id, category_name); without it the service's
+    known categories count. Category names come from the ``;`` text, else from
+    the name list unless it is empty, else from the ids.
     """
+    if categories is None:
+        categories = raw.sparkSession.createDataFrame(list(SPENDING_CATEGORIES.items()), "category_id bigint, category_name string")
+
     def names(people: str) -> Column:
         full = F.transform(F.coalesce(people, F.array().cast("array<struct<full_name: string>>")),
                            lambda p: p["full_name"])

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tidewell.functions.fixed_values import INDICATOR_CAUSE, SEX_ID
 from tidewell.functions.text import icd_chapter
 from tidewell.operators import crosswalk, dedup, lookups
 from tidewell.plans import burden, entities
@@ -117,6 +118,26 @@ def catalogue_links(spark, sf):
         F.array_join("exclusion_labels", "|").alias("labels"), F.array_join(dash, "|").alias("codes"), "chapter")
 
 
+@query("""
+WITH pairs AS (SELECT DISTINCT l_suppkey, 'P' || l_partkey AS code FROM lineitem),
+joined AS (SELECT l_suppkey, string_agg(code, '&' ORDER BY code) AS codes FROM pairs GROUP BY 1)
+SELECT 'http://id/mms/' || s_suppkey AS icd_uri, 'no ' || s_name AS labels, coalesce(codes, '-') AS codes
+FROM supplier LEFT JOIN joined ON l_suppkey = s_suppkey % 90 + 1
+""")
+def exclusions_of_many_codes(spark, sf):
+    """Exclusions that name an entity with several codes get them joined by &."""
+    uri = F.concat(F.lit("http://id/mms/"), F.col("l_suppkey").cast("string"))
+    pairs = crosswalk.entity_codes(table(spark, sf, "lineitem").select(
+        uri.alias("icd_uri"), F.concat(F.lit("P"), F.col("l_partkey").cast("string")).alias("icd_code")))
+    other = F.concat(F.lit("http://id/mms/"), (F.col("s_suppkey") % 90 + 1).cast("string"))
+    raw = table(spark, sf, "supplier").select(
+        F.concat(F.lit("http://id/mms/"), F.col("s_suppkey").cast("string")).alias("icd_uri"),
+        F.array(F.struct(F.concat(F.lit("no "), "s_name").alias("label"), other.alias("linearization_uri"))).alias("exclusion"))
+    dash = F.transform("exclusion_codes", lambda x: F.coalesce(x, F.lit("-")))
+    return crosswalk.resolve_exclusions(raw, pairs).select(
+        "icd_uri", F.array_join("exclusion_labels", "|").alias("labels"), F.array_join(dash, "|").alias("codes"))
+
+
 @query("""
 SELECT l_orderkey AS id, string_agg(CASE WHEN s_acctbal > 0 THEN s_name ELSE 'S' || l_suppkey END, ','
                                     ORDER BY pos) AS mapped
@@ -336,12 +357,14 @@ def geo_with_parent(spark, sf):
         F.col("code").cast("bigint").alias("id"), "name", F.col("region_name").alias("parent_name"))
 
 
-@query("""
+@query(f"""
 SELECT 'SA_' || p_partkey AS id, p_name AS name, 'indicator' AS dimension FROM part
 UNION ALL SELECT 'N' || n_nationkey, n_name, 'country' FROM nation
+UNION ALL SELECT * FROM (VALUES {', '.join(f"('{k}', '{v}', 'gho_ihme_cause')" for k, v in INDICATOR_CAUSE.items())})
+UNION ALL SELECT * FROM (VALUES {', '.join(f"('{k}', '{v}', 'gho_ihme_sex')" for k, v in SEX_ID.items())})
 """)
 def gho_metadata(spark, sf):
-    """Catalogue documents with a record list and a code map; the fixed maps are left out here."""
+    """Catalogue documents with a record list and a code map, and the fixed maps."""
     part, nation = table(spark, sf, "part"), table(spark, sf, "nation")
     docs = part.select(
         F.array(F.struct(F.concat(F.lit("SA_"), F.col("p_partkey").cast("string")).alias("code"),
@@ -352,8 +375,7 @@ def gho_metadata(spark, sf):
         F.lit(None).cast("array<struct<code: string, name: string>>").alias("indicator_catalogue"),
         F.create_map(code, F.struct(code.alias("code"), F.col("n_name").alias("name"), F.lit("COUNTRY").alias("type"),
                                     F.lit("").alias("region_code"), F.lit("").alias("region_name"))).alias("geo_catalogue"))
-    built = burden.build_gho_metadata(spark, docs.unionByName(geo))
-    return built.filter(~F.col("dimension").startswith("gho_ihme")).select("id", "name", "dimension")
+    return burden.build_gho_metadata(spark, docs.unionByName(geo)).select("id", "name", "dimension")
 
 
 @query("""

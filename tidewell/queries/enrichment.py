@@ -166,3 +166,32 @@ def distinct_sets(spark, sf):
     sets = lookups.distinct_sets(table(spark, sf, "orders"), ["o_orderstatus", "o_orderpriority"])
     return sets.select(F.array_join("available_o_orderstatus", ",").alias("statuses"),
                        F.array_join("available_o_orderpriority", ",").alias("priorities"))
+
+
+@query("WITH " + SCORE_SQL + "," + PART_TERMS_SQL + """,
+t AS (SELECT l_orderkey, lower(string_agg(p_name, ' ; ')) AS txt FROM lineitem JOIN part ON p_partkey = l_partkey GROUP BY 1),
+tc AS (SELECT term, count(*) AS n FROM terms, t WHERE contains(txt, lower(term)) GROUP BY term),
+mc AS (SELECT term, count(*) AS n, avg(score) AS s FROM terms, documents LEFT JOIN scored USING (doc_id)
+       WHERE contains(lower(source || ' ' || text), lower(term)) GROUP BY term),
+pc AS (SELECT term, count(*) AS n FROM terms, documents WHERE contains(lower(text), lower(term)) GROUP BY term)
+SELECT term AS disease_key, CAST(tc.n AS BIGINT) AS trial_count, CAST(mc.n AS BIGINT) AS media_mention_count,
+       CAST(pc.n AS BIGINT) AS publication_count, round(mc.s, 2) AS sentiment,
+       round(mc.n / (SELECT max(n) FROM mc), 4) AS norm_media_score, round(pc.n / (SELECT max(n) FROM pc), 4) AS norm_research_score
+FROM terms LEFT JOIN tc USING (term) LEFT JOIN mc USING (term) LEFT JOIN pc USING (term)
+""")
+def enrich_fact_table(spark, sf):
+    """Counts, sentiment and scores set on one fact table, as the enrichment job does."""
+    terms = part_terms(spark, sf)
+    docs = dealt(spark, sf, "documents")
+    items = table(spark, sf, "lineitem").join(table(spark, sf, "part"), F.col("l_partkey") == F.col("p_partkey"))
+    # One row per item: the job gathers the rows of a trial itself.
+    trials = items.select(F.col("l_orderkey").alias("trial_id"), F.array("p_name").alias("conditions"))
+    articles = docs.select(F.col("doc_id").alias("url"), F.col("source").alias("title"), F.col("text").alias("description"))
+    works = docs.select(F.col("doc_id").alias("work_id"), F.col("text").alias("title"))
+    whole, part_ = F.lit(None).cast("bigint"), F.lit(None).cast("double")
+    fact = terms.select("disease_key").withColumns({
+        "trial_count": whole, "media_mention_count": whole, "publication_count": whole,
+        "media_sentiment_score": part_, "norm_media_score": part_, "norm_research_score": part_})
+    return enrichment.enrich(fact, trials, articles, works, terms, lexicon(spark)).select(
+        "disease_key", "trial_count", "media_mention_count", "publication_count",
+        F.round("media_sentiment_score", 2).alias("sentiment"), "norm_media_score", "norm_research_score")

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidewell.functions import dates
-from tidewell.functions.fixed_values import NEWS_TOPICS
+from tidewell.functions.fixed_values import CURRENTS_TOPICS, NEWS_TOPICS, SPENDING_CATEGORIES
 from tidewell.functions.text import absolute_url, canonical_url, null_tokens, row_key, tag_topic, title_case
 from tidewell.operators import lookups
 from tidewell.plans import articles, burden, publications
@@ -204,6 +204,45 @@ def flatten_news(spark, sf):
     return articles.flatten_news(raw, NEWS_TOPICS).select("url", "title", "topic", "category", "source")
 
 
+@query("""
+SELECT c_name AS title, CASE WHEN c_acctbal > 5000 THEN c_mktsegment ELSE '' END AS news_type,
+       CASE WHEN c_acctbal > 0 THEN 'shown' ELSE c_mktsegment END AS published,
+       'https://agency.example/' || c_custkey AS url, 'k' || c_nationkey AS source_key, '' AS provider
+FROM customer
+""")
+def flatten_who_general(spark, sf):
+    segment, none = F.col("c_mktsegment"), F.lit(None).cast("string")
+    raw = table(spark, sf, "customer").select(
+        F.concat("c_name", F.lit("  ")).alias("Title"), F.when(F.col("c_acctbal") > 5000, segment).alias("NewsType"),
+        F.when(F.col("c_acctbal") > 0, "shown").otherwise("").alias("FormatedDate"), segment.alias("PublicationDateAndTime"),
+        F.concat(F.lit("/"), text_of("c_custkey")).alias("ItemDefaultUrl"),
+        F.concat(F.lit("k"), text_of("c_nationkey")).alias("SystemSourceKey"), none.alias("Provider"))
+    return articles.flatten_who(raw, "general", "https://agency.example")
+
+
+CURRENTS_CASES = "".join(
+    f"WHEN {' OR '.join(f'contains(hay, $t${p}$t$)' for p in phrases)} THEN '{label}' " for label, phrases in CURRENTS_TOPICS.items())
+
+
+@query(f"""
+WITH phrases AS (SELECT unnest([{', '.join(f"$t${p}$t$" for group in CURRENTS_TOPICS.values() for p in group)}]) AS phrase,
+                        unnest(range({sum(map(len, CURRENTS_TOPICS.values()))})) AS n),
+h AS (SELECT o_orderkey, o_orderpriority, lower(trim('On ' || coalesce(phrase, 'nothing')) || ' ' || o_orderpriority) AS hay
+      FROM orders LEFT JOIN phrases ON n = o_orderkey % 90)
+SELECT CAST(o_orderkey AS VARCHAR) AS id, CASE {CURRENTS_CASES} ELSE o_orderpriority || '_general' END AS topic FROM h
+""")
+def flatten_currents_topics(spark, sf):
+    """The service's own topics, each phrase of them in some titles."""
+    phrases = [p for group in CURRENTS_TOPICS.values() for p in group]
+    phrase = F.coalesce(F.get(F.array(*map(F.lit, phrases)), (F.col("o_orderkey") % 90).cast("int")), F.lit("nothing"))
+    none = F.lit(None).cast("string")
+    raw = table(spark, sf, "orders").select(
+        text_of("o_orderkey").alias("id"), F.col("o_orderpriority").alias("search"), F.concat(F.lit("On "), phrase).alias("title"),
+        F.col("o_orderpriority").alias("description"), none.alias("url"), none.alias("image"), none.alias("published"),
+        none.alias("author"), F.array("o_orderstatus").alias("category"), F.lit("en").alias("language"))
+    return articles.flatten_currents(raw).select("id", "topic")
+
+
 @query(f"""
 WITH h AS (SELECT doc_id, source, lang, lower(source || ' ' || text) AS hay FROM documents)
 SELECT CAST(doc_id AS VARCHAR) AS id, source AS title, CASE {TOPIC_CASES} ELSE lang || '_general' END AS topic, lang AS language FROM h
@@ -250,6 +289,26 @@ def normalise_works(spark, sf):
         F.char_length("abstract").cast("bigint").alias("abstract_length"))
 
 
+@query(f"""
+WITH known(id, name) AS (VALUES {', '.join(f"({i}, $t${name}$t$)" for i, name in SPENDING_CATEGORIES.items())})
+SELECT p_partkey AS appl_id, coalesce(a.name, 'Category ' || p_size) || '|' || coalesce(b.name, 'Category ' || (p_size + 100)) AS spending_categories
+FROM part LEFT JOIN known a ON a.id = p_size LEFT JOIN known b ON b.id = p_size + 100
+""")
+def flatten_award_known(spark, sf):
+    """Category ids by the service's own list."""
+    none = F.lit(None).cast("string")
+    people = F.lit(None).cast("array<struct<full_name: string>>")
+    raw = table(spark, sf, "part").select(
+        F.col("p_partkey").alias("appl_id"), F.array("p_size", F.col("p_size") + 100).alias("spending_categories"),
+        *[none.alias(c) for c in ("project_num", "project_title", "abstract_text", "phr_text", "project_start_date", "project_end_date",
+                                  "org_name", "org_city", "org_state", "org_country", "agency_code", "activity_code", "funding_mechanism",
+                                  "rcdc_terms", "project_terms", "award_notice_date", "budget_start", "budget_end", "project_detail_url",
+                                  "spending_categories_desc")],
+        F.lit(2020).alias("fiscal_year"), *[F.lit(0.0).alias(c) for c in ("award_amount", "direct_cost_amt", "indirect_cost_amt")],
+        people.alias("principal_investigators"), people.alias("program_officers"))
+    return publications.flatten_award(raw).select("appl_id", F.array_join("spending_categories", "|").alias("spending_categories"))
+
+
 @query("""
 SELECT CASE WHEN o_orderkey % 3 <> 0 THEN o_orderkey END AS appl_id, o_orderpriority AS title,
        CASE WHEN o_orderstatus = 'F' THEN 'Aging,' || o_orderpriority
