@@ -203,3 +203,11 @@ def test_gho_record_with_odd_value(spark):
     meta = lookups.static_rows(spark, {"DEU": 81}, "gho_ihme_country")
     got = burden.normalise_gho(spark.createDataFrame([tuple(row.values())], GHO_RECORD), meta).first()
     assert got["val"] is None and got["location"] is None and got["row_key"] == "27|2|3|1|2020"
+
+
+def test_headers_in_any_order(spark, tmp_path):
+    for name, text in (("a.csv", "cause_id,location_id,val\n1,2,3.5\n"), ("b.csv", "location_id,cause_id,val\n20,10,7.5\n"),
+                       ("c.csv", "year,val,cause_id\n1990,1.5,5\n"), ("d.csv", "")):
+        (tmp_path / name).write_text(text)
+    got = {tuple(r) for r in files.read_gbd_csv(spark, str(tmp_path)).select("cause_id", "location_id", "year", "val").collect()}
+    assert got == {(1, 2, None, 3.5), (10, 20, None, 7.5), (5, None, 1990, 1.5)}

@@ -152,3 +152,11 @@ def test_sentiment_formula(spark, bound):
     df = spark.createDataFrame([(1, "Good, GOOD news"), (2, "bad"), (3, "nothing"), (4, None), (5, ""), (6, "...")], "id int, t string")
     found = {r[0]: r[1] for r in score_sentiment(df, "id", "t", lexicon, bound).collect()}
     assert found == {1: 0.7003, 2: -0.5423, 3: 0.0, 6: 0.0}
+
+
+@pytest.mark.parametrize("task_rows", [1_000_000, 5], ids=["one task", "rounds"])
+def test_dedup_id_or_url_on_chains(spark, task_rows):
+    n = 5_000 if task_rows > 5 else 12
+    rows = [(i, f"i{i // 2}", f"u{(i + 1) // 2}") for i in range(n)]  # each row shares a key with the next
+    got = dedup.dedup_id_or_url(spark.createDataFrame(rows, "pos int, id string, url string"), "id", "url", ["pos"], task_rows)
+    assert sorted(r["pos"] for r in got.collect()) == list(range(0, n, 2))

@@ -116,6 +116,25 @@ def test_assigned_keys_are_dense(spark):
     assert sorted(v for k, v in keyed.items() if k not in ("n3", "n5")) == list(range(10, 208))
 
 
+def test_master_refuses_another_number_of_buckets_and_compacts(spark, tmp_path):
+    schema = record(url=S, published_at=S, title=S, source_apis=many(S), first_seen_at=S, last_seen_at=S, version=INT)
+
+    def opened(buckets=None):
+        return Master(spark, str(tmp_path / "m"), schema, "url", "published_at", "source_apis", buckets=buckets)
+    opened(4).overwrite(rows(spark, *[(f"u{i}", "2024-01-01", "a", ["A"], "t", "t", 1) for i in range(40)]))
+    with pytest.raises(ValueError):
+        opened(8)
+    master = opened()
+    assert master.buckets == 4
+    for day in range(2, 5):
+        counts = master.upsert(rows(spark, ("u7", f"2024-01-0{day}", "b", ["B"], "t", "t", 1), ("new", "2024-01-01", "c", ["C"], "t", "t", 1)))
+        assert counts["total"] == 2  # what is written follows the batch
+    before = by_url(master.read())
+    assert before["u7"]["version"] == 4 and len(before) == 41
+    assert master.compact() == 5 and master.compact() is None
+    assert by_url(opened().read()) == before
+
+
 def test_master_rewrites_touched_buckets_and_skips_unfinished_versions(spark, tmp_path):
     schema = record(url=S, published_at=S, title=S, source_apis=many(S), first_seen_at=S, last_seen_at=S, version=INT)
     master = Master(spark, str(tmp_path / "m"), schema, "url", "published_at", "source_apis", buckets=8)

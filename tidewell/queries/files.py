@@ -169,7 +169,7 @@ def customers(spark, path: str) -> Master:
 
 @query(MASTER_SQL.replace("i.o_orderdate > e.o_orderdate", "(i.o_orderdate, i.o_orderkey) > (e.o_orderdate, e.o_orderkey)"))
 def master_upsert(spark, sf):
-    """A stored master takes one batch; only touched buckets are rewritten."""
+    """A stored master takes one batch: only rows of its keys are written."""
     orders = table(spark, sf, "orders")
     master = customers(spark, scratch_path(spark, "master"))
     master.overwrite(dated_text(customer_master(orders)))
@@ -189,6 +189,7 @@ def master_reopened(spark, sf):
         pass
     master = Master(spark, path, CUSTOMER, "custkey", "dated", "sources")
     master.upsert(dated_text(customer_batch(orders)))
+    master.compact()
     return day_only(master.read())
 
 

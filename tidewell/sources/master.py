@@ -1,13 +1,15 @@
 """Versioned master tables on plain Parquet.
 
-A master is a folder of versions. A version holds the rewritten hash buckets
-as Parquet partitions and, written last, a small ``current`` table that names
-the version in which each bucket was last written, and the number of buckets.
-That number is the master's for good: opened with another, it refuses, and
-opened without one it takes the stored one. A reader takes the newest
-version that has its ``current`` table, so a job that dies half-way leaves the
-previous version in place. An upsert reads and rewrites only the buckets that
-its batch touches. There is one writer per master.
+A master is a folder of versions. A version holds rows in hash buckets, as
+Parquet partitions: all rows, or only those that a batch added or changed.
+Written last, a small ``current`` table names the versions that make up each
+bucket, and the number of buckets. A reader takes the newest version that has
+its ``current`` table, so a job that dies half-way leaves the previous version
+in place; of several rows with one key the newest version's counts. What an
+upsert writes grows with its batch, not with the master; ``compact`` folds the
+versions of a bucket into one. The number of buckets is the master's for good:
+opened with another, it refuses, and opened without one it takes the stored
+one. There is one writer per master.
 """
 
 from __future__ import annotations
@@ -18,6 +20,7 @@ from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from tidewell.operators.dedup import first_per_key
 from tidewell.operators.upsert import STATUS, collapse_incoming, merge_with_status, status_counts
 
 BUCKET = "_bucket"
@@ -46,17 +49,19 @@ class Master:
                 if fs.exists(jvm.org.apache.hadoop.fs.Path(f"{self.path}/v={v}/current/_SUCCESS"))]
         return sorted(done)
 
-    def _places(self) -> tuple[dict[int, int], int | None]:
-        """bucket -> version of its data (at most ``buckets`` entries), and the stored number of buckets."""
+    def _places(self) -> tuple[dict[int, list[int]], int | None]:
+        """bucket -> versions of its data, oldest first (few for each of at most ``buckets``), and the stored number of buckets."""
         done = self.versions()
         if not done:
             return {}, None
         rows = self.spark.read.schema("bucket int, version int, buckets int") \
                    .parquet(f"{self.path}/v={done[-1]}/current").collect()
-        places = {r["bucket"]: r["version"] for r in rows if r["bucket"] is not None}
+        places: dict[int, list[int]] = {}
+        for r in sorted((r["bucket"], r["version"]) for r in rows if r["bucket"] is not None):
+            places.setdefault(r[0], []).append(r[1])
         return places, next((r["buckets"] for r in rows), None)
 
-    def _current(self) -> dict[int, int]:
+    def _current(self) -> dict[int, list[int]]:
         places, stored = self._places()
         if stored and stored != self.buckets:
             raise ValueError(f"the master at {self.path} has {stored} buckets, not {self.buckets}")
@@ -65,11 +70,19 @@ class Master:
     def _bucket(self) -> Column:
         return F.pmod(F.xxhash64(self.key), F.lit(self.buckets)).cast("int")
 
-    def _read(self, places: dict[int, int]) -> DataFrame:
-        if not places:
-            return self.spark.createDataFrame([], self.schema)
-        paths = [f"{self.path}/v={v}/data/{BUCKET}={b}" for b, v in sorted(places.items())]
-        return self.spark.read.schema(self.schema).parquet(*paths)
+    def _read(self, places: dict[int, list[int]]) -> DataFrame:
+        """Rows of the buckets; only those of several versions are shuffled to find each key's newest row."""
+        parts = [self.spark.createDataFrame([], self.schema)] if not places else []
+        for many in (False, True):
+            paths = [f"{self.path}/v={v}/data/{BUCKET}={b}" for b, vs in sorted(places.items()) for v in vs if (len(vs) > 1) == many]
+            if not paths:
+                continue
+            rows = self.spark.read.schema(self.schema).parquet(*paths)
+            if many:
+                version = F.regexp_extract("_metadata.file_path", r"/v=(\d+)/data/", 1).cast("int")
+                rows = first_per_key(rows.withColumn("_version", version), [self.key], [F.col("_version").desc()]).drop("_version")
+            parts.append(rows)
+        return parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
 
     def read(self) -> DataFrame:
         """All rows of the newest version; an absent master is an empty table."""
@@ -94,8 +107,8 @@ class Master:
         )
         return version
 
-    def _commit(self, version: int, places: dict[int, int]) -> None:
-        rows = [(b, v, self.buckets) for b, v in sorted(places.items())] or [(None, None, self.buckets)]
+    def _commit(self, version: int, places: dict[int, list[int]]) -> None:
+        rows = [(b, v, self.buckets) for b, vs in sorted(places.items()) for v in vs] or [(None, None, self.buckets)]
         self.spark.createDataFrame(rows, "bucket int, version int, buckets int") \
             .coalesce(1).write.parquet(f"{self.path}/v={version}/current")
 
@@ -104,14 +117,24 @@ class Master:
         version = self._write(rows.select(*[
             F.col(f.name).cast(f.dataType) for f in self.schema.fields]))
         held = self._folders(rf"{BUCKET}=(\d+)", f"v={version}", "data")
-        self._commit(version, {bucket: version for bucket in held})
+        self._commit(version, {bucket: [version] for bucket in held})
+        return version
+
+    def compact(self, least: int = 2) -> int | None:
+        """Fold every bucket of ``least`` versions or more into one; returns the version written, if any."""
+        current = self._current()
+        split = {b: vs for b, vs in current.items() if len(vs) >= least}
+        if not split:
+            return None
+        version = self._write(self._read(split))
+        self._commit(version, {**current, **{b: [version] for b in split}})
         return version
 
     def upsert(self, incoming: DataFrame) -> dict[str, int]:
         """Merge a batch (one or more rows per key) and return the run's counts.
 
-        ``total`` counts the rows of the rewritten buckets. The counts ride on
-        the write itself: stages that run again after a lost executor can raise
+        ``total`` counts the rows written, one per key of the batch. The counts
+        ride on the write itself: stages that run again after a lost executor can raise
         them, the written rows are not affected.
         """
         # Kept, since its buckets are asked for before it is merged.
@@ -124,11 +147,12 @@ class Master:
             if not touched:
                 return {"total": 0, "new": 0, "updated": 0, "source_only": 0}
             current = self._current()
-            stored = self._read({b: v for b, v in current.items() if b in touched})
+            stored = self._read({b: vs for b, vs in current.items() if b in touched}).join(
+                batch.select(self.key), self.key, "left_semi").select(*self.schema.names)
             merged = merge_with_status(stored, batch, self.key, self.date_col, self.source_col)
             seen = Observation("upsert")
             version = self._write(merged.observe(seen, *status_counts()).drop(STATUS))
-            self._commit(version, {**current, **{b: version for b in touched}})
+            self._commit(version, {**current, **{b: [*current.get(b, []), version] for b in touched}})
             return dict(seen.get)
         finally:
             batch.unpersist()
