@@ -7,7 +7,9 @@ from pyspark.sql import functions as F
 
 from tidewell.functions.text import clean_text, words
 from tidewell.operators import containment, matching as m
+from tidewell.plans import publications
 from tidewell.queries import dealt, query, table
+from tidewell.schemas import PUBLICATIONS
 
 LANGUAGE_CODES = r"\b(DE|EN|ES|FR)\b"
 
@@ -162,6 +164,51 @@ def match_stats(spark, sf):
     return m.match_stats(resolved(spark, sf))
 
 
+@query(r"""
+WITH works AS (
+  SELECT p_partkey, p_name AS title,
+         CASE p_partkey % 4 WHEN 0 THEN 'Seen as ' || chr(CAST(65 + p_size % 26 AS INTEGER)) || lpad(CAST(p_size AS VARCHAR), 2, '0') || ' here'
+              WHEN 1 THEN 'A case of supplier illness ' || (p_partkey % 120) || ' again' ELSE '' END AS abstract
+  FROM part),
+cat AS (
+  SELECT chr(CAST(65 + s_suppkey % 26 AS INTEGER)) || lpad(CAST(s_suppkey % 100 AS VARCHAR), 2, '0') AS code, s_suppkey,
+         'supplier illness ' || s_suppkey AS title,
+         CASE WHEN s_suppkey % 10 = 3 THEN 'x' ELSE 'chapter ' || s_nationkey END AS chapter
+  FROM supplier),
+usable AS (SELECT * FROM cat WHERE chapter <> 'x'),
+regex AS (SELECT DISTINCT p_partkey, code FROM works JOIN usable
+          ON abstract = 'Seen as ' || code || ' here'),
+sub AS (
+  SELECT p_partkey, code FROM (
+    SELECT p_partkey, code, row_number() OVER (PARTITION BY p_partkey ORDER BY u.title) AS rn
+    FROM works w JOIN usable u ON contains(' ' || w.title || ' ' || abstract || ' ', u.title)
+    WHERE abstract LIKE 'A case%') WHERE rn = 1),
+best AS (SELECT p_partkey, code, 'regex' AS how FROM regex
+         UNION ALL SELECT p_partkey, code, 'substring' FROM sub WHERE p_partkey NOT IN (SELECT p_partkey FROM regex))
+SELECT CAST(w.p_partkey AS VARCHAR) AS work_id, coalesce(string_agg(DISTINCT best.code, ',' ORDER BY best.code), '') AS codes,
+       coalesce(string_agg(DISTINCT cat.title, '|' ORDER BY cat.title), '') AS titles, coalesce(min(how), 'none') AS match_method
+FROM works w LEFT JOIN best USING (p_partkey) LEFT JOIN cat ON cat.code = best.code GROUP BY w.p_partkey
+""")
+def code_works(spark, sf):
+    """The publication job: default patterns, excluded chapters and all three matches on one catalogue."""
+    size, suppkey = F.col("p_size"), F.col("s_suppkey")
+    def code(n, digits) -> F.Column:
+        return F.concat(F.char((65 + n % 26).cast("int")), F.lpad(digits.cast("string"), 2, "0"))
+    abstract = F.when(F.col("p_partkey") % 4 == 0, F.concat(F.lit("Seen as "), code(size, size), F.lit(" here"))).when(
+        F.col("p_partkey") % 4 == 1, F.concat(F.lit("A case of supplier illness "), (F.col("p_partkey") % 120).cast("string"), F.lit(" again"))).otherwise("")
+    works = table(spark, sf, "part").select(
+        F.col("p_partkey").cast("string").alias("work_id"), F.col("p_name").alias("title"), abstract.alias("abstract"))
+    for field in PUBLICATIONS.fields:
+        if field.name not in (*works.columns, "icd_11_codes", "icd_11_titles", "icd_chapters", "match_method"):
+            works = works.withColumn(field.name, F.lit(None).cast(field.dataType))
+    catalogue = table(spark, sf, "supplier").select(
+        code(suppkey, suppkey % 100).alias("icd_code"), F.concat(F.lit("supplier illness "), suppkey.cast("string")).alias("title"),
+        F.array().cast("array<string>").alias("index_terms"),
+        F.when(suppkey % 10 == 3, "x").otherwise(F.concat(F.lit("chapter "), F.col("s_nationkey").cast("string"))).alias("chapter"))
+    return publications.code_works(works, catalogue).select(
+        "work_id", F.array_join("icd_11_codes", ",").alias("codes"), F.array_join(F.array_sort("icd_11_titles"), "|").alias("titles"), "match_method")
+
+
 @query("""
 WITH names AS (SELECT DISTINCT p_name AS a FROM part),
 words AS (SELECT DISTINCT unnest(string_split(p_name, ' ')) AS b FROM part

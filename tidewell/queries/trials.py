@@ -176,6 +176,32 @@ def _pairs() -> F.Column:
     return F.array_join(pairs, ",")
 
 
+@query(CODES_SQL.replace("n_name, n_regionkey", "n_name, c_nationkey, c_mktsegment, c_custkey, n_regionkey") + """
+SELECT trial_id, 'C' || nn || CASE WHEN known THEN ',D' || nn ELSE '' END AS icd_10,
+       '2A' || nn || ':' || n_name || CASE WHEN known THEN ',5B' || nn || ':endocrine' ELSE '' END AS icd_11,
+       CASE c_mktsegment WHEN 'BUILDING' THEN '2,3' WHEN 'MACHINERY' THEN '1' ELSE '' END AS phases,
+       CASE c_mktsegment WHEN 'BUILDING' THEN '0:28,4380:6570,6570:23725'
+            WHEN 'MACHINERY' THEN '6570:23725,23725:,23725:31025,31025:' ELSE '23725:' END AS ranges,
+       CASE WHEN known THEN 'N' || lpad(CAST(c_nationkey AS VARCHAR), 2, '0') ELSE n_name END || '/Ongoing/recruiting|France/ended/ended' AS places,
+       '2024-03-05' AS last_updated, c_custkey AS enrollment
+FROM c
+""")
+def harmonise_ctis(spark, sf):
+    """The whole EU job: dates, ages, codes and countries in the common schema."""
+    def side(x) -> F.Column:
+        return F.coalesce(x.cast("string"), F.lit(""))
+    to_11, to_10, catalogue = code_tables(spark, sf)
+    countries = table(spark, sf, "nation").filter("n_regionkey <> 0").select(
+        F.col("n_name").alias("name"), F.concat(F.lit("N"), F.lpad(_s("n_nationkey"), 2, "0")).alias("iso3"))
+    done = trials.harmonise_ctis(cut_lineage(ctis_export(spark, sf)), to_11, to_10, catalogue, countries)
+    place = F.transform("countries_status", lambda p: F.concat_ws("/", p["country"], p["approval"], p["status"]))
+    ranges = F.transform("range_in_days", lambda r: F.concat(side(r["min"]), F.lit(":"), side(r["max"])))
+    return done.select(
+        "trial_id", F.array_join("codes.icd_10", ",").alias("icd_10"), _pairs().alias("icd_11"),
+        F.array_join(F.transform("phases", lambda p: p.cast("string")), ",").alias("phases"), F.array_join(ranges, ",").alias("ranges"),
+        F.array_join(place, "|").alias("places"), F.date_format("last_updated", "yyyy-MM-dd").alias("last_updated"), "enrollment")
+
+
 # ── US records ───────────────────────────────────────────────────────────────
 
 def studies(spark, sf) -> DataFrame:
