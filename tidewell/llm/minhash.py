@@ -2,19 +2,26 @@
 
 from __future__ import annotations
 
+import itertools
+
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidewell.llm.arrays import flat_text, mix, shingle_hashes, text_batches
-from tidewell.llm.components import stars
+from tidewell.operators.graph import stars
 from tidewell.session import cut_lineage
 
 WORDS = 5
 THRESHOLD = 0.8
 #: 64 slots in 16 bands of 4: a pair of similarity 0.8 shares a band with probability 0.9998.
 SLOTS, ROWS = 64, 4
+#: Slots, of one byte each, by which pairs within a bucket are sifted, and how far below the threshold a pair may be estimated.
+FINE_SLOTS = 256
+SIGMAS = 4
+#: What one task compares of a bucket: so many rows that are still open with so many of all, or these bytes of either.
+OPEN_ROWS, ALL_ROWS, TILE_BYTES = 1_024, 2_048, 16 << 20
 
 _TICK = np.uint64(0xA0761D6478BD642F)
 _PLACE = np.uint64(0xE7037ED1A0B428DB)
@@ -118,6 +125,97 @@ def _verified(pairs: DataFrame, texts: DataFrame, words: int, threshold: float)
     return both.select("a", "b", "text_a", "text_b").mapInArrow(run, "a binary, b binary")
 
 
+def _profiles(texts: DataFrame, words: int) -> DataFrame:
+    """What a node is compared by: its bands, the low byte of FINE_SLOTS slots, and its shingles with their weights."""
+    def run(batches):
+        for batch in text_batches(batches, "normal"):
+            owner, hashes, weights = weighted_shingles(*flat_text(batch.column("normal")), words)
+            n = batch.num_rows
+            bands = band_keys(sketch(owner, hashes, weights, n))
+            fine = sketch(owner, hashes, weights, n, FINE_SLOTS).astype(np.uint8)
+            cuts = np.searchsorted(owner, np.arange(n + 1))
+            held = [[row.tobytes() for row in bands], [row.tobytes() for row in fine],
+                    [hashes[a:b].tobytes() for a, b in zip(cuts, cuts[1:])], [weights[a:b].astype(np.float32).tobytes() for a, b in zip(cuts, cuts[1:])]]
+            yield pa.RecordBatch.from_arrays([batch.column("node"), *(pa.array(x, pa.binary()) for x in held)], names=["node", *_PROFILE])
+
+    return texts.mapInArrow(run, "node binary, " + ", ".join(f"{c} binary" for c in _PROFILE))
+
+
+_PROFILE = ["own_bands", "fine", "shingles", "weights"]
+
+
+def _tile_links(key: int, rows: list[dict], threshold: float):
+    """Verified links between the open rows of a tile and all its rows, one to each component that a row reaches.
+
+    Two nodes that share several bands meet in several buckets; they are
+    compared in that of the least key.
+    """
+    left, right = [r for r in rows if r["is_open"]], [r for r in rows if not r["is_open"]]
+    if not left or not right:
+        return
+    least = (threshold - SIGMAS * np.sqrt(threshold * (1 - threshold) / FINE_SLOTS)) * FINE_SLOTS
+    ours, theirs = (np.frombuffer(b"".join(r["fine"] for r in side), np.uint8).reshape(len(side), -1) for side in (left, right))
+    bands, other_bands = (np.frombuffer(b"".join(r["own_bands"] for r in side), np.int64).reshape(len(side), -1) for side in (left, right))
+    names = {root: i for i, root in enumerate(dict.fromkeys(r["root"] for r in rows))}
+    roots = np.array([names[r["root"]] for r in right])
+    parts = [(np.frombuffer(r["shingles"], np.uint64), np.frombuffer(r["weights"], np.float32).astype(np.float64)) for r in right]
+    for i, row in enumerate(left):
+        equal = (theirs == ours[i]).sum(axis=1)
+        likely = np.flatnonzero((equal >= least) & (roots != names[row["root"]]))
+        shared = np.where(other_bands[likely] == bands[i], bands[i], np.iinfo(np.int64).max).min(axis=1)
+        likely = likely[shared == key]
+        reached = set()
+        mine = np.frombuffer(row["shingles"], np.uint64), np.frombuffer(row["weights"], np.float32).astype(np.float64)
+        for j in likely[np.argsort(-equal[likely], kind="stable")].tolist():
+            if roots[j] not in reached and probability_jaccard(*mine, *parts[j]) >= threshold:
+                reached.add(roots[j])
+                yield row["node"], right[j]["node"]
+
+
+def _links_between(members: DataFrame, profiles: DataFrame, threshold: float) -> DataFrame:
+    """Links (a, b) between nodes of one bucket but different roots, enough to join all components that links join.
+
+    ``members`` has key, node, root. In each bucket the rows of its most
+    frequent root have each other already; only the others are open. Open rows
+    meet all rows in tiles of bounded size, so a large bucket fills many tasks,
+    and links alone leave them.
+    """
+    rows = members.join(profiles, "node").withColumn("bytes", F.length("shingles") * 2)
+    held = rows.groupBy("key", "root").agg(F.count(F.lit(1)).alias("n"), F.sum("bytes").alias("bytes"))
+    main = held.groupBy("key").agg(F.max_by("root", F.struct("n", "root")).alias("main"), F.sum("n").alias("n_all"), F.max("n").alias("n_main"),
+                                   F.sum("bytes").alias("all_bytes"))
+    rows = rows.join(main, "key").withColumns({
+        "open_tiles": F.greatest(F.ceil((F.col("n_all") - F.col("n_main")) / OPEN_ROWS), F.ceil(F.col("all_bytes") / TILE_BYTES)),
+        "all_tiles": F.greatest(F.ceil(F.col("n_all") / ALL_ROWS), F.ceil(F.col("all_bytes") / TILE_BYTES))})
+    place, columns = F.xxhash64("node"), ["key", "node", "root", *_PROFILE]
+    every = rows.select(*columns, F.lit(False).alias("is_open"), F.pmod(place, "all_tiles").alias("right"),
+                        F.explode(F.sequence(F.lit(0).cast("long"), F.col("open_tiles") - 1)).alias("left"))
+    some = rows.where("root != main").select(
+        *columns, F.lit(True).alias("is_open"), F.explode(F.sequence(F.lit(0).cast("long"), F.col("all_tiles") - 1)).alias("right"),
+        F.pmod(place, "open_tiles").alias("left"))
+    tiles = every.unionByName(some).repartition("key", "left", "right").sortWithinPartitions("key", "left", "right")
+
+    def run(batches):
+        def links():
+            now, held = None, []
+            for batch in batches:
+                for row in batch.to_pylist():
+                    tile = row["key"], row["left"], row["right"]
+                    if tile != now:
+                        if held:
+                            yield from _tile_links(now[0], held, threshold)
+                        now, held = tile, []
+                    held.append(row)
+            if held:
+                yield from _tile_links(now[0], held, threshold)
+
+        found = links()
+        while some_links := list(itertools.islice(found, 10_000)):
+            yield pa.RecordBatch.from_arrays([pa.array(side, pa.binary()) for side in zip(*some_links)], names=["a", "b"])
+
+    return tiles.mapInArrow(run, "a binary, b binary")
+
+
 def near_duplicate_classes(docs: DataFrame, words: int = WORDS, threshold: float = THRESHOLD) -> DataFrame:
     """doc_id, node (digest of the normal text) and class_id of every row.
 
@@ -127,14 +225,15 @@ def near_duplicate_classes(docs: DataFrame, words: int = WORDS, threshold: float
     doc_id of the class (null only if all are null). Null text is empty; all
     texts without words are one class; a text of fewer words is one shingle.
 
-    Equal texts are one node. In each bucket of nodes that share a band, the
-    node with most neighbours in its buckets leads: all others are verified
-    against it. Buckets whose nodes are then in several components go on with
-    their next leaders, twice as many each time, until every two nodes of a
-    bucket were compared or are in one component. So a group of copies costs
-    its size, not its square, and no candidate link is given up.
+    Equal texts are one node. Nodes that share a band are a bucket, and are
+    linked in two steps. (1) In each bucket the node with most neighbours
+    leads, and all others are verified against it: a group of copies costs its
+    size, not its square. (2) In buckets that still hold several components,
+    the nodes outside the largest are sifted against all of the bucket by finer
+    sketches. Pairs within SIGMAS standard deviations of the threshold are
+    verified where they meet, until a node has a link to each component it can
+    be linked to; further links to that component would change nothing.
     """
-    spark = docs.sparkSession
     own = (docs.select(F.col("doc_id").cast("long").alias("doc_id"), normal_text(F.col("text")).alias("normal"))
            .withColumn("node", F.unhex(F.md5("normal"))))
     sketches = cut_lineage(_sketched(own, words))
@@ -143,33 +242,18 @@ def near_duplicate_classes(docs: DataFrame, words: int = WORDS, threshold: float
     shared = rows.groupBy("key").agg(F.count(F.lit(1)).alias("size")).where("size > 1")
     buckets = cut_lineage(rows.join(shared, "key"))
     popular = buckets.groupBy("node").agg(F.sum("size").alias("neighbours"))
-    buckets = cut_lineage(buckets.select("key", "node").join(popular, "node"))
     texts = cut_lineage(own.select("node", "normal").join(popular.select("node"), "node", "left_semi").dropDuplicates(["node"]))
 
-    tied = spark.createDataFrame([], "a binary, b binary")
-    tried = None
-    low, high = 0, 1
-    ranked = Window.partitionBy("key").orderBy(F.col("neighbours").desc(), "node")
-    while True:
-        labelled = buckets.join(tied.select(F.col("a").alias("node"), F.col("b").alias("root")), "node", "left").withColumn(
-            "root", F.coalesce("root", "node"))
-        open_keys = labelled.groupBy("key").agg(F.min("root").alias("one"), F.max("root").alias("other")).where("one != other").select("key")
-        buckets_open = cut_lineage(labelled.join(open_keys, "key"))
-        leaders = (buckets_open.withColumn("place", F.row_number().over(ranked)).where(F.col("place") <= high).where(F.col("place") > low)
-                   .select("key", F.col("node").alias("a"), F.col("root").alias("root_a")))
-        pairs = (buckets_open.select("key", F.col("node").alias("b"), F.col("root").alias("root_b")).join(leaders, "key")
-                 .where("root_a != root_b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct())
-        if tried is not None:
-            pairs = pairs.join(tried, ["a", "b"], "left_anti")
-        pairs = cut_lineage(pairs)
-        n_open = buckets_open.groupBy("key").count().agg(F.max("count")).first()[0]
-        if n_open is None or low >= n_open:
-            break
-        links = _verified(pairs, texts, words, threshold)
-        tied = stars(tied.unionByName(links))
-        tried = pairs if tried is None else cut_lineage(tried.unionByName(pairs))
-        buckets = buckets_open.drop("root")
-        low, high = high, high * 2
+    leaders = buckets.join(popular, "node").groupBy("key").agg(F.max_by("node", F.struct("neighbours", "node")).alias("leader"))
+    led = cut_lineage(buckets.select("key", "node").join(leaders, "key").where("node != leader"))
+    pairs = cut_lineage(led.select(F.least("node", "leader").alias("a"), F.greatest("node", "leader").alias("b")).distinct())
+    tied = stars(_verified(pairs, texts, words, threshold))
+    members = led.select("key", "node").join(tied.select(F.col("a").alias("node"), F.col("b").alias("root")), "node", "left").withColumn(
+        "root", F.coalesce("root", "node"))
+    several = members.groupBy("key").agg(F.min("root").alias("one"), F.max("root").alias("other")).where("one != other").select("key")
+    members = cut_lineage(members.join(several, "key"))
+    profiles = cut_lineage(_profiles(texts.join(members.select("node").distinct(), "node", "left_semi"), words))
+    tied = stars(tied.unionByName(_links_between(members, profiles, threshold)))
     roots = nodes.select("node", "first_id").join(tied.select(F.col("a").alias("node"), F.col("b").alias("root")), "node", "left").withColumn(
         "root", F.coalesce("root", "node"))
     classes = roots.join(roots.groupBy("root").agg(F.min("first_id").alias("class_id")), "root").select("node", "class_id")
