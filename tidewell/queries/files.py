@@ -9,9 +9,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidewell.operators import upsert
+from tidewell.plans.articles import normalise_articles
 from tidewell.queries import query, table
 from tidewell.queries.upserts import MERGED_SQL, customer_batch, customer_master
-from tidewell.schemas import DBL, INT, LONG, S, many, record
+from tidewell.schemas import ARTICLES, DBL, INT, LONG, S, many, record
 from tidewell.session import scratch_path
 from tidewell.sources import files, relational
 from tidewell.sources.master import Master
@@ -193,6 +194,17 @@ def master_reopened(spark, sf):
     return day_only(master.read())
 
 
+CUSTOMER_ROUTE = ingest.Route("part-*.json", "customers", lists={"records": record(custkey=LONG, price=DBL, priority=S, dated=S)})
+
+
+def customer_rows(documents: DataFrame) -> DataFrame:
+    """Landed documents -> dated records of customers."""
+    return files.explode_envelope(documents, "records").select(
+        "custkey", "price", "priority", "dated", F.lit(0).cast("bigint").alias("orderkey"),
+        F.array("source_api").alias("sources"), F.col("fetched_at").alias("first_seen_at"),
+        F.col("fetched_at").alias("last_seen_at"), F.lit(1).alias("version"))
+
+
 @query("""
 WITH s AS (
   SELECT o_custkey AS custkey, o_orderdate, o_orderkey, o_totalprice, o_orderpriority, o_orderstatus,
@@ -214,17 +226,9 @@ def stream_upsert(spark, sf):
         F.concat(F.date_format("o_orderdate", "yyyy-MM-dd"), F.lit("/"), F.lpad(F.col("o_orderkey").cast("string"), 12, "0")).alias("dated"))
     table(spark, sf, "orders").select(
         F.lit("2001-09-01").alias("fetched_at"), F.concat(F.lit("feed-"), "o_orderstatus").alias("source_api"),
-        F.struct(F.array(rec).alias("records")).alias("data")).repartition(3, "source_api").write.json(landed)
-    route = ingest.Route("part-*.json", "customers", lists={"records": record(custkey=LONG, price=DBL, priority=S, dated=S)})
+        F.struct(F.array(rec).alias("records")).alias("data")).repartition(3).write.json(landed)
     master = customers(spark, path)
-
-    def normalise(documents: DataFrame) -> DataFrame:
-        return files.explode_envelope(documents, "records").select(
-            "custkey", "price", "priority", "dated", F.lit(0).cast("bigint").alias("orderkey"),
-            F.array("source_api").alias("sources"), F.col("fetched_at").alias("first_seen_at"),
-            F.col("fetched_at").alias("last_seen_at"), F.lit(1).alias("version"))
-
-    ingest.ingest_stream(spark, landed, route, normalise, master, scratch_path(spark, "stream-state"),
+    ingest.ingest_stream(spark, landed, CUSTOMER_ROUTE, customer_rows, master, scratch_path(spark, "stream-state"),
                          max_files=1, multi_line=False).awaitTermination()
     return day_only(master.read()).select("custkey", "price", "priority", "dated", "sources")
 
@@ -242,3 +246,64 @@ def replay(spark, sf):
     counts = master.upsert(batch)
     return day_only(master.read()).select(
         "custkey", "price", "version", F.lit(counts[upsert.NEW] + counts[upsert.UPDATED]).cast("bigint").alias("changed_by_replay"))
+
+
+@query(MERGED_SQL.replace("i.o_orderdate > e.o_orderdate", "(i.o_orderdate, i.o_orderkey) > (e.o_orderdate, e.o_orderkey)") + """
+SELECT custkey, price, version, CAST(0 AS BIGINT) AS changed_by_replay FROM m
+""")
+def backfill_files(spark, sf):
+    """A day's landed files processed twice through their route: the second time nothing changes."""
+    orders = table(spark, sf, "orders")
+    folder, master = scratch_path(spark, "days"), customers(spark, scratch_path(spark, "backfill"))
+    master.overwrite(dated_text(customer_master(orders)))
+    rec = F.struct("custkey", "price", "priority", "dated")
+    dated_text(customer_batch(orders)).select(
+        F.lit("2001-09-01T00:00:00").alias("fetched_at"), F.get("sources", F.lit(0)).alias("source_api"),
+        F.struct(F.array(rec).alias("records")).alias("data")).write.json(f"{folder}/2001-09-01")
+    for _ in range(2):
+        counts = ingest.backfill(spark, folder, "2001-09-01", CUSTOMER_ROUTE, customer_rows, master, multi_line=False)
+    return day_only(master.read()).select(
+        "custkey", "price", "version", F.lit(counts[upsert.NEW] + counts[upsert.UPDATED]).cast("bigint").alias("changed_by_replay"))
+
+
+def name_files(spark, folder: str, stem: str) -> None:
+    """Give the part files of a folder the names that a landing job gives."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    fs = path.getFileSystem(spark._jsc.hadoopConfiguration())
+    for n, entry in enumerate(fs.listStatus(path)):
+        if entry.getPath().getName().startswith("part-"):
+            fs.rename(entry.getPath(), spark._jvm.org.apache.hadoop.fs.Path(path, f"{stem}_{n}.json"))
+
+
+@query("""
+SELECT 'https://docs.example/' || doc_id AS url, 't_' || lang AS topic, CASE WHEN lang = 'en' THEN 'en' ELSE lang END AS language,
+       CASE WHEN lang = 'en' THEN 'newsapi.org/v2' ELSE 'api.currentsapi.services/v1' END AS source_apis,
+       CASE WHEN lang <> 'de' THEN source END AS author, CAST(1 AS BIGINT) AS version
+FROM documents
+""")
+def two_routes_one_master(spark, sf):
+    """Both news services' files, found by the shipped routes, streamed into one master by one writer."""
+    landed = scratch_path(spark, "news")
+    headlines = F.col("lang") == "en"
+    article = F.struct(
+        F.concat(F.lit("https://docs.example/"), F.col("doc_id").cast("string"), F.lit("?ref=x")).alias("url"),
+        F.concat(F.lit("t_"), "lang").alias("topic"), F.array("source").alias("category"),
+        F.when(F.col("lang") == "de", "#author.fullName}").otherwise(F.col("source")).alias("author"),
+        F.col("text").alias("title"), F.lit(None).cast("string").alias("description"), F.lit(None).cast("string").alias("image_url"),
+        F.lit("2026-03-01T00:00:00Z").alias("published_at"), F.col("lang").alias("language"))
+    docs = table(spark, sf, "documents").select(
+        F.lit("2026-03-26").alias("fetched_at"), F.when(headlines, "newsapi.org/v2").otherwise("api.currentsapi.services/v1").alias("source_api"),
+        F.struct(F.array(article).alias("articles")).alias("data"), headlines.alias("headlines"))
+    for stem, side in (("news", docs.where("headlines")), ("currentapi", docs.where("NOT headlines"))):
+        folder = f"{landed}/2026-03-26/{stem}"
+        side.drop("headlines").write.json(folder)
+        name_files(spark, folder, stem)
+    rows = None
+    for route in ("news", "currents"):
+        found = ingest.open_files(spark, landed, ingest.ROUTES[route], multi_line=False)
+        part = normalise_articles(files.explode_envelope(found, "articles"), "2026-03-28T06:00:00+00:00")
+        rows = part if rows is None else rows.unionByName(part)
+    master = Master(spark, scratch_path(spark, "articles"), ARTICLES, "url", "published_at", "source_apis", buckets=4)
+    ingest.merge_stream(rows, master, scratch_path(spark, "articles-state")).awaitTermination()
+    return master.read().select("url", "topic", "language", F.array_join("source_apis", ",").alias("source_apis"), "author",
+                                F.col("version").cast("bigint").alias("version"))
