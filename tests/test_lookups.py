@@ -19,7 +19,6 @@ def test_salted_join_equals_join_under_skew(spark, how):
 def test_bound_counts_rows_and_bytes(spark):
     df = spark.range(10).select(F.repeat(F.lit("x"), 1000).alias("t"))
     assert Bound(10, 20_000).holds(df) and not Bound(9, 20_000).holds(df) and not Bound(10, 9_000).holds(df)
-    assert Bound(9, 20_000).take(df) is None and len(Bound().take(df)) == 10
     assert Bound().holds(df.limit(0))
 
 
