@@ -11,7 +11,7 @@ from __future__ import annotations
 import base64
 import heapq
 import unicodedata
-from itertools import product
+from array import array
 
 import numpy as np
 import pyarrow as pa
@@ -28,7 +28,7 @@ LETTER, NUMBER, OTHER, SPACE, LAST_BLANK, BLANK, SHORT, LONG = range(8)
 START, LETTERS, NUMBERS, OTHERS, JOINER, BLANKS, ONE, TWO, OVER = range(9)
 
 #: Distinct pieces whose merges a worker remembers, and the length above which a piece is merged by a heap.
-CACHE_PIECES = 150_000
+CACHE_PIECES = 100_000
 LONG_PIECE = 128
 
 _NONE = np.int32(2**31 - 1)
@@ -257,10 +257,11 @@ def encode_texts(data: np.ndarray, offsets: np.ndarray, tables: dict) -> tuple[n
         text = data.tobytes()
         at = first[missing]
         merged = merge_pieces([text[a:b] for a, b in zip(starts[at].tolist(), ends[at].tolist())], tables)
-        cache.update(zip([keys[i] for i in missing], merged))
+        # Ids as packed bytes: a fifth of the memory of lists.
+        cache.update(zip([keys[i] for i in missing], [array("i", ids).tobytes() for ids in merged]))
     pieces = [cache[k] for k in keys]
-    lengths = np.array([len(p) for p in pieces], np.int64)
-    flat = np.fromiter((t for p in pieces for t in p), np.int32, int(lengths.sum()))
+    lengths = np.array([len(p) for p in pieces], np.int64) // 4
+    flat = np.frombuffer(b"".join(pieces), np.int32)
     begin = np.concatenate([[0], np.cumsum(lengths)[:-1]])
     ids = flat[ragged_ranges(begin[inverse], lengths[inverse])]
     return ids, np.bincount(owner, lengths[inverse], len(offsets) - 1).astype(np.int64)
