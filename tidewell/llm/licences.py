@@ -40,12 +40,15 @@ TEMPLATES = [
 ]
 
 
-def bigrams(text: Column) -> Column:
-    """Distinct pairs of neighbouring words; words are runs of a-z and 0-9 in the lower-cased text."""
-    words = F.split(F.btrim(F.regexp_replace(F.lower(text), "[^a-z0-9]+", " ")), " ")
+def words_of(text: Column) -> Column:
+    """Words in order: runs of a-z and 0-9 in the lower-cased text."""
+    return F.split(F.btrim(F.regexp_replace(F.lower(text), "[^a-z0-9]+", " ")), " ")
+
+
+def bigrams(words: Column) -> Column:
+    """Distinct pairs of neighbouring words."""
     last = F.size(words) - 1
-    pairs = F.zip_with(F.slice(words, 1, last), F.slice(words, 2, last), lambda a, b: F.concat(a, F.lit(" "), b))
-    return F.array_distinct(pairs)
+    return F.array_distinct(F.zip_with(F.slice(words, 1, last), F.slice(words, 2, last), lambda a, b: F.concat(a, F.lit(" "), b)))
 
 
 def segments(text: Column) -> Column:
@@ -57,21 +60,26 @@ def segments(text: Column) -> Column:
 def licence_notices(docs: DataFrame, templates: list[tuple[str, str]] = TEMPLATES, threshold: float = THRESHOLD) -> DataFrame:
     """doc_id, text_hash, segment, licence and dice of every segment that a template matches best with ``threshold`` or more.
 
-    A segment of n bigrams can reach threshold t against a template of m only if
-    n / m lies between t / (2 - t) and (2 - t) / t; other templates are pruned
-    before anything is compared. Common bigrams are counted by joining to the
-    templates' bigrams, a table of fixed size, so only hits are shuffled. Of equal scores
-    the first licence by name counts. Null text has no segments.
+    A segment of n distinct bigrams can reach threshold t against a template of
+    m only if n / m lies between t / (2 - t) and (2 - t) / t; other templates are
+    pruned before anything is compared. Common bigrams are counted by joining to
+    the templates' bigrams, a table of fixed size, so only hits are shuffled. Of
+    equal scores the first licence by name counts. Null text has no segments.
     """
     spark = docs.sparkSession
     index = spark.createDataFrame([(i, name, text) for i, (name, text) in enumerate(templates)], "template int, licence string, wording string").select(
-        "template", "licence", bigrams(F.col("wording")).alias("pairs")).select(
+        "template", "licence", bigrams(words_of(F.col("wording"))).alias("pairs")).select(
         "template", "licence", F.size("pairs").alias("m"), F.explode("pairs").alias("pair"))
     least, most = threshold / (2 - threshold), (2 - threshold) / threshold
-    cut = (docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64(F.coalesce("text", F.lit(""))).alias("text_hash"),
-                       F.posexplode(segments(F.col("text"))).alias("segment", "words"))
-           .withColumn("pairs", bigrams(F.col("words"))).withColumn("n", F.size("pairs")))
     sizes = [len(set(zip(w, w[1:]))) for w in (_plain_words(text) for _, text in templates)]
+    # Words and pairs are generated, not projected: what follows uses them several times and must not make them anew.
+    cut = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64(F.coalesce("text", F.lit(""))).alias("text_hash"),
+                      F.posexplode(F.transform(segments(F.col("text")), words_of)).alias("segment", "words"))
+    # n distinct bigrams have n + 1 distinct words at most, so some words can already be too many.
+    longest = int(max(sizes) * most)
+    cut = cut.where(F.size("words") > min(sizes) * least).where(
+        (F.size("words") <= longest + 1) | (F.size(F.array_distinct(F.slice("words", 1, 2 * longest))) <= longest + 1))
+    cut = cut.select("doc_id", "text_hash", "segment", F.inline(F.array(F.struct(bigrams(F.col("words")).alias("pairs"))))).withColumn("n", F.size("pairs"))
     cut = cut.where(F.col("n").between(min(sizes) * least, max(sizes) * most))
     hits = (cut.select("doc_id", "text_hash", "segment", "n", F.explode("pairs").alias("pair"))
             .join(F.broadcast(index), "pair").where((F.col("n") >= F.col("m") * least) & (F.col("n") <= F.col("m") * most))
