@@ -86,3 +86,24 @@ def test_sketch_estimates_probability_jaccard():
     assert abs((signature[0] == signature[1]).mean() - exact) < 0.03
     cut = np.searchsorted(owner, 1)
     assert abs(minhash.probability_jaccard(hashes[:cut], weight[:cut], hashes[cut:], weight[cut:]) - exact) < 1e-9
+
+
+@pytest.mark.parametrize("common, union", [(12, 15), (48, 60), (52, 65)])
+def test_pairs_of_exactly_the_threshold_are_linked(spark, common, union):
+    """By the leader of a bucket, and where two components meet in a tile."""
+    words = [f"w{i}" for i in range(union + 4)]
+    table = [(1, " ".join(words)), (2, " ".join(words[: common + 4]))]
+    assert found(spark.createDataFrame(table, "doc_id long, text string")) == [(1, 1), (2, 1)]
+    texts = spark.createDataFrame([(bytes([i]), text) for i, text in table], "node binary, normal string")
+    rows = minhash._profiles(texts, 5).collect()
+    key = min(set(np.frombuffer(rows[0].own_bands, np.int64)) & set(np.frombuffer(rows[1].own_bands, np.int64)))
+    rows = [r.asDict() | {"root": r.node, "is_open": i == 0} for i, r in enumerate(rows)]
+    assert len(list(minhash._tile_links(key, rows, 0.8))) == 1
+
+
+def test_profiles_keep_weights_exactly(spark):
+    text = " ".join(["one two three"] * 700 + ["four five"] * 3)
+    row = minhash._profiles(spark.createDataFrame([(b"n", text)], "node binary, normal string"), 5).first()
+    _, hashes, weight = minhash.weighted_shingles(*flat_text(pa.array([text])), 5)
+    kept = minhash._weighted(row.asDict())
+    assert (kept[0] == hashes).all() and (kept[1] == weight).all()

@@ -15,6 +15,8 @@ from tidewell.session import cut_lineage
 
 WORDS = 5
 THRESHOLD = 0.8
+#: Similarities are sums of rounded terms: one that is exactly the threshold may come out this much below it.
+ROUNDING = 1e-9
 #: 64 slots in 16 bands of 4: a pair of similarity 0.8 shares a band with probability 0.9998.
 SLOTS, ROWS = 64, 4
 #: Slots, of one byte each, by which pairs within a bucket are sifted, and how far below the threshold a pair may be estimated.
@@ -118,7 +120,7 @@ def _verified(pairs: DataFrame, texts: DataFrame, words: int, threshold: float)
                 owner, hashes, weights = weighted_shingles(*flat_text(batch.column(side)), words)
                 sides.append((hashes, weights, np.searchsorted(owner, np.arange(batch.num_rows + 1))))
             (ha, wa, ba), (hb, wb, bb) = sides
-            near = [probability_jaccard(ha[ba[i]: ba[i + 1]], wa[ba[i]: ba[i + 1]], hb[bb[i]: bb[i + 1]], wb[bb[i]: bb[i + 1]]) >= threshold
+            near = [probability_jaccard(ha[ba[i]: ba[i + 1]], wa[ba[i]: ba[i + 1]], hb[bb[i]: bb[i + 1]], wb[bb[i]: bb[i + 1]]) >= threshold - ROUNDING
                     for i in range(batch.num_rows)]
             yield batch.select(["a", "b"]).filter(pa.array(near, pa.bool_()))
 
@@ -126,7 +128,7 @@ def _verified(pairs: DataFrame, texts: DataFrame, words: int, threshold: float)
 
 
 def _profiles(texts: DataFrame, words: int) -> DataFrame:
-    """What a node is compared by: its bands, the low byte of FINE_SLOTS slots, and its shingles with their weights."""
+    """What a node is compared by: its bands, the low byte of FINE_SLOTS slots, and its shingles with their occurrences."""
     def run(batches):
         for batch in text_batches(batches, "normal"):
             owner, hashes, weights = weighted_shingles(*flat_text(batch.column("normal")), words)
@@ -134,14 +136,20 @@ def _profiles(texts: DataFrame, words: int) -> DataFrame:
             bands = band_keys(sketch(owner, hashes, weights, n))
             fine = sketch(owner, hashes, weights, n, FINE_SLOTS).astype(np.uint8)
             cuts = np.searchsorted(owner, np.arange(n + 1))
+            times = np.rint(np.exp(weights - 1)).astype(np.uint32)
             held = [[row.tobytes() for row in bands], [row.tobytes() for row in fine],
-                    [hashes[a:b].tobytes() for a, b in zip(cuts, cuts[1:])], [weights[a:b].astype(np.float32).tobytes() for a, b in zip(cuts, cuts[1:])]]
+                    [hashes[a:b].tobytes() for a, b in zip(cuts, cuts[1:])], [times[a:b].tobytes() for a, b in zip(cuts, cuts[1:])]]
             yield pa.RecordBatch.from_arrays([batch.column("node"), *(pa.array(x, pa.binary()) for x in held)], names=["node", *_PROFILE])
 
     return texts.mapInArrow(run, "node binary, " + ", ".join(f"{c} binary" for c in _PROFILE))
 
 
-_PROFILE = ["own_bands", "fine", "shingles", "weights"]
+_PROFILE = ["own_bands", "fine", "shingles", "times"]
+
+
+def _weighted(row: dict) -> tuple[np.ndarray, np.ndarray]:
+    """Shingles of a profile and their weights, the same to the last bit as those that were sketched."""
+    return np.frombuffer(row["shingles"], np.uint64), 1 + np.log(np.frombuffer(row["times"], np.uint32).astype(np.int64))
 
 
 def _tile_links(key: int, rows: list[dict], threshold: float):
@@ -158,16 +166,16 @@ def _tile_links(key: int, rows: list[dict], threshold: float):
     bands, other_bands = (np.frombuffer(b"".join(r["own_bands"] for r in side), np.int64).reshape(len(side), -1) for side in (left, right))
     names = {root: i for i, root in enumerate(dict.fromkeys(r["root"] for r in rows))}
     roots = np.array([names[r["root"]] for r in right])
-    parts = [(np.frombuffer(r["shingles"], np.uint64), np.frombuffer(r["weights"], np.float32).astype(np.float64)) for r in right]
+    parts = [_weighted(r) for r in right]
     for i, row in enumerate(left):
         equal = (theirs == ours[i]).sum(axis=1)
         likely = np.flatnonzero((equal >= least) & (roots != names[row["root"]]))
         shared = np.where(other_bands[likely] == bands[i], bands[i], np.iinfo(np.int64).max).min(axis=1)
         likely = likely[shared == key]
         reached = set()
-        mine = np.frombuffer(row["shingles"], np.uint64), np.frombuffer(row["weights"], np.float32).astype(np.float64)
+        mine = _weighted(row)
         for j in likely[np.argsort(-equal[likely], kind="stable")].tolist():
-            if roots[j] not in reached and probability_jaccard(*mine, *parts[j]) >= threshold:
+            if roots[j] not in reached and probability_jaccard(*mine, *parts[j]) >= threshold - ROUNDING:
                 reached.add(roots[j])
                 yield row["node"], right[j]["node"]
 
