@@ -95,3 +95,14 @@ def test_queries_on_held_out_documents(spark, name, label, least):
     assert [f"{n} {t}" for n, t in out.dtypes] == ["doc_id bigint", "held_out boolean", "score double", "predicted int"]
     both = out.join(spark.read.parquet(f"{FOLDER}/labels.parquet"), "doc_id").where("held_out").collect()
     assert len(both) > 50 and sum(r.predicted == r[label] for r in both) >= least * len(both)
+
+
+def test_toxicity_of_short_texts_alone(spark):
+    for text, n in (("", 0), ("x", 1), ("xy", 3)):
+        found, bounds = toxicity.features([text])
+        assert len(found) == n and bounds.tolist() == [0, n]
+    docs, labels = fixture(spark)
+    model = toxicity.train(docs, labels)
+    for text in ("", None, "x"):
+        alone = spark.createDataFrame([(1, text)], "doc_id long, text string").coalesce(1)
+        assert 0 <= toxicity.score(alone, model).first().toxicity <= 1

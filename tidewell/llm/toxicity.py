@@ -27,7 +27,7 @@ def features(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
     bounds = np.concatenate([[0], np.cumsum([len(t) for t in padded])]).astype(np.int64)
     grams, total = [], np.zeros(len(points), np.uint64)
     for k in range(max(SIZES)):
-        total[: len(points) - k] += mix(points[k:] + np.uint64(k << 32))
+        total[: max(0, len(points) - k)] += mix(points[k:] + np.uint64(k << 32))
         if k + 1 in SIZES:
             grams.append((mix(total + np.uint64(k)) >> np.uint64(64 - BITS)).astype(np.int32))
     out, counts, last = [], [], np.zeros(1 << BITS, np.int32)
