@@ -107,3 +107,12 @@ def test_profiles_keep_weights_exactly(spark):
     _, hashes, weight = minhash.weighted_shingles(*flat_text(pa.array([text])), 5)
     kept = minhash._weighted(row.asDict())
     assert (kept[0] == hashes).all() and (kept[1] == weight).all()
+
+
+def test_one_of_each_class_stays_where_ids_repeat_or_miss(spark):
+    """Unrelated texts under one doc_id both stay; of near copies without ids one stays."""
+    text, copy = prose(60, 41), prose(60, 41) + " end"
+    table = [(5, prose(60, 42)), (5, prose(60, 43)), (None, text), (None, copy), (6, prose(60, 44)), (5, prose(60, 44) + " end")]
+    kept = [tuple(r) for r in minhash.keep_one_of_each(spark.createDataFrame(table, "doc_id long, text string")).collect()]
+    assert len(kept) == 4 and {table[0], table[1], table[5]} < set(kept)
+    assert [r for r in kept if r[0] is None][0] in table[2:4]

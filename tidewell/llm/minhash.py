@@ -225,12 +225,13 @@ def _links_between(members: DataFrame, profiles: DataFrame, threshold: float) ->
 
 
 def near_duplicate_classes(docs: DataFrame, words: int = WORDS, threshold: float = THRESHOLD) -> DataFrame:
-    """doc_id, node (digest of the normal text) and class_id of every row.
+    """doc_id, node (digest of the normal text), root and class_id of every row.
 
     Rows are one class if a chain of links joins them: equal normal texts, or
     probability Jaccard similarity of their ``words``-word shingles, weighted
     1 + ln(occurrences), of ``threshold`` or more. class_id is the smallest
-    doc_id of the class (null only if all are null). Null text is empty; all
+    doc_id of the class (null only if all are null), so classes may share it where
+    doc_ids repeat; root, a node of the class, is its own. Null text is empty; all
     texts without words are one class; a text of fewer words is one shingle.
 
     Equal texts are one node. Nodes that share a band are a bucket, and are
@@ -264,8 +265,8 @@ def near_duplicate_classes(docs: DataFrame, words: int = WORDS, threshold: float
     tied = stars(tied.unionByName(_links_between(members, profiles, threshold)))
     roots = nodes.select("node", "first_id").join(tied.select(F.col("a").alias("node"), F.col("b").alias("root")), "node", "left").withColumn(
         "root", F.coalesce("root", "node"))
-    classes = roots.join(roots.groupBy("root").agg(F.min("first_id").alias("class_id")), "root").select("node", "class_id")
-    return sketches.select("doc_id", "node").join(classes, "node").select("doc_id", "node", "class_id")
+    classes = roots.join(roots.groupBy("root").agg(F.min("first_id").alias("class_id")), "root").select("node", "root", "class_id")
+    return sketches.select("doc_id", "node").join(classes, "node").select("doc_id", "node", "root", "class_id")
 
 
 def keep_one_of_each(docs: DataFrame, words: int = WORDS, threshold: float = THRESHOLD) -> DataFrame:
@@ -274,7 +275,7 @@ def keep_one_of_each(docs: DataFrame, words: int = WORDS, threshold: float = THR
     Of rows equal in doc_id within a class, one stays.
     """
     found = cut_lineage(near_duplicate_classes(docs, words, threshold))
-    kept = found.groupBy("class_id", F.when(F.col("class_id").isNull(), F.col("node")).alias("alone")).agg(
+    kept = found.groupBy("root").agg(
         F.min(F.struct(F.col("doc_id").isNull().alias("unknown"), "doc_id", "node")).alias("best")).select("best.doc_id", "best.node")
     rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row")).withColumns({
         "own_id": F.col("row.doc_id").cast("long"), "own_node": F.unhex(F.md5(normal_text(F.col("row.text"))))})
