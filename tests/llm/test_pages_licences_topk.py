@@ -78,3 +78,13 @@ def test_top_k_against_brute_force(spark, n, width, k):
     df = spark.createDataFrame(table, "vec_id long, embedding array<float>").withColumns({"ids": F.lit(1), "score": F.lit(2), "list": F.lit(3)})
     assert sorted(map(tuple, top_k(df, F.col("vec_id") % 100 == 0, k).collect())) == brute(
         [(i, None if v is None else [None if x is None else __import__("numpy").float32(x).item() for x in v]) for i, v in table], k)
+
+
+@pytest.mark.parametrize("attributes, stays", [
+    ('title="the hidden gem"', True), ('data-id="share-12"', True), ('data-role="comment"', True), ("title='class=ad'", True),
+    ('data-hidden="hidden"', True), ('data-style="display: none"', True), ("title=\"say 'id=menu'\" class=lead", True), ('aria-hidden="false"', True),
+    ("hidden", False), ("HIDDEN=hidden", False), ("id=x hidden/", False), ('aria-hidden = "true"', False), ("aria-hidden=true", False),
+    ("style='color: red; display:none'", False), ('style="display:none !important"', False), ('title="x"class="share"', False), ("ROLE=comment", False)])
+def test_only_values_of_the_named_attributes_set_a_block_apart(attributes, stays):
+    page = f"<article><p>{LONG}<p {attributes}>Inside.</p><div {attributes}>More.</div><p>End.</article>"
+    assert main_text(page) == f"{LONG}\n\n" + "Inside.\n\nMore.\n\n" * stays + "End."

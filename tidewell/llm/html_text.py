@@ -22,8 +22,8 @@ WINDOW = 3
 SURGE = 80
 
 _MARKUP = re.compile(r"<!--.*?(?:-->|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)(?:>|\Z)|<(?=[a-zA-Z/])[^>]*(?:>|\Z)", re.S)
-_MARKS = re.compile(r"\b(?:class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))", re.I)
-_HIDDEN = re.compile(r"(?:^|\s)hidden(?=\s|=|/|$)|aria-hidden\s*=\s*[\"']?true|display\s*:\s*none", re.I)
+_ATTRIBUTES = re.compile(r"([^\s/=>\"'][^\s/=>]*)(?:\s*=\s*(?:\"([^\"]*)(?:\"|\Z)|'([^']*)(?:'|\Z)|([^\s>]*)))?")
+_NO_DISPLAY = re.compile(r"(?:^|;)\s*display\s*:\s*none\s*(?:!\s*important\s*)?(?:;|$)", re.I)
 _PARTS = re.compile(r"[a-z]+|[A-Z][a-z]*")
 
 # Elements: contents that are no text; those that end a line; those without an end; those apart from the article.
@@ -42,11 +42,19 @@ _NAMES = frozenset(
     "masthead topbar toolbar share sharing social related recommended recommendations widget skip form dialog".split())
 
 
-def _names(attributes: str, whole: bool) -> set[str]:
+def _parsed(attributes: str) -> dict[str, str]:
+    """Values by lower-cased name, empty where there is none; the first of equal names counts."""
+    found = {}
+    for name, *values in _ATTRIBUTES.findall(attributes):
+        found.setdefault(name.lower(), html.unescape("".join(values)))
+    return found
+
+
+def _names(attributes: dict[str, str], whole: bool) -> set[str]:
     """Words of class, id and role; only names of a single word if ``whole``. "has-sidebar" names no sidebar."""
     found = set()
-    for groups in _MARKS.findall(attributes):
-        for name in " ".join(groups).split():
+    for mark in ("class", "id", "role"):
+        for name in attributes.get(mark, "").split():
             parts = [p.lower() for p in _PARTS.findall(name)]
             if parts and parts[0] not in ("has", "with", "no", "without", "not") and (len(parts) == 1 or not whole):
                 found.update(parts)
@@ -54,9 +62,12 @@ def _names(attributes: str, whole: bool) -> set[str]:
 
 
 def _apart(name: str, attributes: str) -> bool:
-    if name in _APART or _HIDDEN.search(attributes):
+    if name in _APART:
+        return True
+    held = _parsed(attributes)
+    if "hidden" in held or held.get("aria-hidden", "").strip().lower() == "true" or _NO_DISPLAY.search(held.get("style", "")):
         return True
-    return not _NAMES.isdisjoint(_names(attributes, whole=name in ("article", "main")))
+    return not _NAMES.isdisjoint(_names(held, whole=name in ("article", "main")))
 
 
 def lines_of(page: str) -> tuple[list[tuple[str, int, bool, bool]], bool]:
@@ -124,7 +135,7 @@ def lines_of(page: str) -> tuple[list[tuple[str, int, bool, bool]], bool]:
             flush()
         if name in ("article", "main") and not apart and not mine:
             inside = named = True
-        apart, header = apart or mine, header or name == "header" or "header" in _names(found[3], whole=False)
+        apart, header = apart or mine, header or name == "header" or "header" in _names(_parsed(found[3]), whole=False)
         stack.append((name, apart, header, inside))
     flush()
     return lines, named
