@@ -17,8 +17,13 @@ TOXIC = 0.5
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the classifier, trained on the labelled rows of ``docs``, calls toxic go."""
+    """Documents that the classifier, trained on the labelled rows of ``docs``, calls toxic go.
+
+    Where the labelled rows are not of both kinds, nothing tells toxic documents from others and all stay.
+    """
     model = toxicity.train(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
+    if not model["learned"]:
+        return docs.drop("toxicity")
     return toxicity.score(docs, model).where(F.col("toxicity") < TOXIC).drop("toxicity")
 
 

@@ -75,3 +75,10 @@ def test_clashing_columns_ride_along(spark, folder):
     docs = documents(spark, clashing=True)
     for name, stage in pipeline.STAGES[:-1]:
         assert stage(spark, docs, folder).columns == [c for c in docs.columns if not (name == "toxicity" and c == "toxicity")]
+
+
+@pytest.mark.parametrize("known", ["false", "toxic = 1"])
+def test_no_document_goes_as_toxic_without_labels_of_both_kinds(spark, folder, tmp_path, known):
+    spark.read.parquet(f"{folder}/labels.parquet").where(known).write.parquet(str(tmp_path / "labels.parquet"))
+    docs = spark.read.parquet(f"{folder}/documents.parquet")
+    assert rows_of(pipeline.drop_toxic(spark, docs, str(tmp_path))) == rows_of(docs)

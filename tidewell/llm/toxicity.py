@@ -75,7 +75,7 @@ def _fit(flat: np.ndarray, bounds: np.ndarray, labels: np.ndarray, share: float,
 
 
 def train(docs: DataFrame, labels: DataFrame, rows: int = SAMPLE_ROWS, fit_rows: int = FIT_ROWS) -> dict:
-    """A model of fixed size: ``weights`` (one per feature number) and ``bias``.
+    """A model of fixed size: ``weights`` (one per feature number), ``bias``, and whether it has ``learned`` from both labels.
 
     Log-count ratios come from up to ``rows`` labelled documents that are not
     held out, the weights from up to ``fit_rows`` of each label among them. With no
@@ -88,7 +88,7 @@ def train(docs: DataFrame, labels: DataFrame, rows: int = SAMPLE_ROWS, fit_rows:
     share = toxic / total if total else 0.5
     weights = np.zeros(1 << BITS, np.float32)
     if not toxic or not clean:
-        return {"weights": weights, "bias": 0.0 if not total else 30.0 * (2 * share - 1)}
+        return {"weights": weights, "bias": 0.0 if not total else 30.0 * (2 * share - 1), "learned": False}
     counts = (known.mapInArrow(_count, "feature int, clean long, toxic long").groupBy("feature")
               .agg(F.sum("clean").alias("clean"), F.sum("toxic").alias("toxic")))
     held = F.col("clean") + F.col("toxic")
@@ -116,7 +116,7 @@ def train(docs: DataFrame, labels: DataFrame, rows: int = SAMPLE_ROWS, fit_rows:
     w, bias = _fit((columns, ratios[found].astype(np.float64)), bounds, (fit.column("label").to_numpy() > 0).astype(float), share)
     weights[names] = w[: len(names)] * ratios[names]
     shared.unpersist()
-    return {"weights": weights, "bias": float(bias)}
+    return {"weights": weights, "bias": float(bias), "learned": True}
 
 
 def score(docs: DataFrame, model: dict) -> DataFrame:
