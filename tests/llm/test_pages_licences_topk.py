@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from tests.llm.data import documents, empty, prose, rows
 from tidewell.llm.html_text import extract_text, main_text
-from tidewell.llm.licences import TEMPLATES, licence_notices, scan_licences
+from tidewell.llm.licences import TEMPLATES, full_texts, licence_notices, scan_licences
 from tidewell.llm.topk import top_k
 
 LONG = "A paragraph that is long enough to be seen as the main text of a page, with some words to spare at its end."
@@ -88,3 +88,43 @@ def test_top_k_against_brute_force(spark, n, width, k):
 def test_only_values_of_the_named_attributes_set_a_block_apart(attributes, stays):
     page = f"<article><p>{LONG}<p {attributes}>Inside.</p><div {attributes}>More.</div><p>End.</article>"
     assert main_text(page) == f"{LONG}\n\n" + "Inside.\n\nMore.\n\n" * stays + "End."
+
+
+def test_full_licence_texts(spark):
+    """Alone, rewrapped to one line, and amid other text without paragraphs of its own."""
+    texts = full_texts()
+    table = []
+    for i, (_, text) in enumerate(texts):
+        plain = " ".join(text.split())
+        table += [(i, text), (100 + i, plain), (200 + i, f"{prose(300, i)} {plain} {prose(300, 50 + i)}")]
+    got = {r.doc_id: (r.n_notices, r.licences, r.best) for r in scan_licences(spark.createDataFrame(table, "doc_id long, text string")).collect()}
+    assert {d: licences for d, (_, licences, _) in got.items()} == {d: [texts[d % 100][0]] for d in got}
+    assert all(best > 0.99 for d, (_, _, best) in got.items() if d >= 100)
+
+
+def test_notices_within_longer_lines(spark):
+    inside = f"{prose(40, 1)} Licensed under CC BY 4.0. {prose(40, 2)} Released under\nthe MIT License. {prose(9, 3)}"
+    table = [(1, inside), (2, "Released under the MIT License. " + prose(30, 1)), (3, f"{prose(30, 1)}\nLicensed under CC BY 4.0.\n{prose(30, 2)}")]
+    got = {r.doc_id: (r.n_notices, r.licences, r.best) for r in scan_licences(spark.createDataFrame(table, "doc_id long, text string")).collect()}
+    assert got == {1: (2, ["CC-BY-4.0", "MIT"], 1.0), 2: (1, ["MIT"], 1.0), 3: (1, ["CC-BY-4.0"], 1.0)}
+
+
+def test_best_passage_against_all_passages(spark):
+    """One-line texts of few words, so that passages have repeats and ties: the best one of all is found, and none that is not there."""
+    pick, template = random.Random(5), "a b c a d e b a c"
+    pairs = {tuple(template.split()[i: i + 2]) for i in range(8)}
+    table = [(i, " ".join(pick.choice("abcdexyz") for _ in range(pick.randint(1, 40)))) for i in range(150)]
+    table += [(1000 + i, f"{prose(5, i)} {' '.join(w for w in template.split() if pick.random() < 0.95)} {prose(5, 9 + i)}") for i in range(50)]
+    want = {}
+    for i, text in table:
+        words = text.split()
+        seen = [list(zip(words[a:b], words[a + 1: b])) for a in range(len(words)) for b in range(a + 2, len(words) + 1)]
+        want[i] = max((2 * len(pairs & set(s)) / (len(set(s)) + len(pairs)) for s in seen), default=0)
+    got = scan_licences(spark.createDataFrame(table, "doc_id long, text string"), [("X", template)], 0.7).collect()
+    assert sum(x >= 0.7 for x in want.values()) > 20
+    for r in got:
+        whole = table[[d for d, _ in table].index(r.doc_id)][1].split()
+        mine = set(zip(whole, whole[1:]))
+        line = 2 * len(pairs & mine) / (len(mine) + len(pairs))
+        if line < 0.7:  # else the line counts before passages do
+            assert r.best == (want[r.doc_id] if want[r.doc_id] >= 0.7 else None)
