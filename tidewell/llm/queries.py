@@ -9,12 +9,15 @@ from pyspark.sql import functions as F
 from tidewell.llm import crf, licences, toxicity
 from tidewell.llm.bpe import round_trip, share_tables
 from tidewell.llm.ctph import compare_with_next
+from tidewell.llm.divergence import audit_sources
+from tidewell.llm.filter_audit import audit_filters
 from tidewell.llm.html_text import extract_text
 from tidewell.llm.labelled import held_out
 from tidewell.llm.line_dedup import dedup_lines
 from tidewell.llm.minhash import near_duplicate_classes
 from tidewell.llm.mixing import mix_sources
 from tidewell.llm.topk import top_k
+from tidewell.llm.url_rules import judge_urls
 
 QUERIES, ORACLES = {}, {}
 
@@ -188,3 +191,99 @@ SELECT doc_id, coalesce(n_notices, 0) AS n_notices, coalesce(licences, '') AS li
 @query(_op2_sql())
 def op2_licences(spark: SparkSession, folder: str) -> DataFrame:
     return licences.scan_licences(table(spark, folder, "documents")).withColumn("licences", F.array_join("licences", ","))
+
+
+RULES_SQL = "VALUES ('net', '/', 'block'), ('example.net', '/en/', 'allow'), ('example.com', '/de/', 'block'), ('org', '/fr/', 'allow')"
+
+OP11_SQL = f"""
+WITH rules(host, path, verdict) AS ({RULES_SQL}),
+parts AS (
+  SELECT row_number() OVER () AS r, page_id,
+    coalesce(translate(regexp_extract(url, '(?s)^.*?://([^/?#]*)', 1), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '') AS host,
+    coalesce(regexp_extract(url, '(?s)^.*?://[^/?#]*([^?#]*)', 1), '') AS path
+  FROM pages)
+SELECT p.page_id, p.host, p.path, u.host || u.path AS rule, coalesce(u.verdict, 'allow') AS verdict
+FROM parts p LEFT JOIN rules u ON (p.host = u.host OR ends_with(p.host, '.' || u.host)) AND starts_with(p.path, u.path)
+QUALIFY row_number() OVER (PARTITION BY r ORDER BY length(u.host || u.path) DESC NULLS LAST, length(u.host) DESC) = 1
+"""
+
+
+@query(OP11_SQL)
+def op11_url_rules(spark: SparkSession, folder: str) -> DataFrame:
+    rules = spark.sql(f"SELECT * FROM ({RULES_SQL}) AS rules(host, path, verdict)")
+    return judge_urls(table(spark, folder, "pages"), rules).select("page_id", "host", "path", "rule", "verdict")
+
+
+OP12_SQL = r"""
+WITH docs AS (
+  SELECT row_number() OVER () AS r, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+    regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+      '[^\x00-\x40\x5B-\x60\x7B-\x7F]+') AS terms
+  FROM documents),
+found AS (SELECT r, lang, source, unnest(terms) AS term FROM docs),
+kept AS (SELECT lang, term, count(*)::HUGEINT AS n FROM found GROUP BY ALL HAVING count(DISTINCT r) >= 10),
+used AS (SELECT lang, source, term, count(*)::HUGEINT AS n FROM found SEMI JOIN kept USING (lang, term) GROUP BY ALL),
+langs AS (SELECT lang, count(*) AS v, sum(n) AS total FROM kept GROUP BY lang),
+groups AS (SELECT lang, source, coalesce(total, 0) AS total FROM (SELECT DISTINCT lang, source FROM docs)
+  LEFT JOIN (SELECT lang, source, sum(n) AS total FROM used GROUP BY ALL) USING (lang, source)),
+shares AS (
+  SELECT g.lang, g.source, k.term, coalesce(u.n, 0) AS n,
+    (1 + (1000000000 * (coalesce(u.n, 0) + 2)) // (g.total + 2 * l.v))::BIGINT AS p,
+    (1 + (1000000000 * (k.n + 2)) // (l.total + 2 * l.v))::BIGINT AS q
+  FROM groups g JOIN kept k USING (lang) JOIN langs l USING (lang) LEFT JOIN used u ON (u.lang, u.source, u.term) = (g.lang, g.source, k.term)),
+sums AS (
+  SELECT a.lang, a.source, b.source AS item, sum(((a.p - b.p) * (a.p - b.p)) // (a.p + b.p))::BIGINT AS value
+  FROM shares a JOIN shares b ON a.lang = b.lang AND a.term = b.term AND a.source <> b.source GROUP BY ALL),
+parts AS (
+  SELECT a.lang, a.source, 'pair' AS part, b.source AS item, coalesce(s.value, 0) AS value
+  FROM groups a JOIN groups b ON a.lang = b.lang AND a.source <> b.source LEFT JOIN sums s ON (s.lang, s.source, s.item) = (a.lang, a.source, b.source)
+  UNION ALL
+  SELECT lang, source, 'term', term, ((p - q) * (p - q)) // (p + q) FROM shares WHERE n > 0 AND p > q)
+SELECT lang, source, part, item, value, rank::INTEGER AS rank
+FROM (SELECT *, row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item) AS rank FROM parts)
+WHERE part = 'pair' OR rank <= 10
+"""
+
+
+@query(OP12_SQL)
+def op12_divergence(spark: SparkSession, folder: str) -> DataFrame:
+    return audit_sources(table(spark, folder, "documents"))
+
+
+OP13_SQL = r"""
+WITH docs AS (
+  SELECT doc_id, coalesce(source, '') AS part, coalesce(text, '') AS text, regexp_extract_all(coalesce(text, ''), '[^ 	-]+') AS words FROM documents),
+firsts AS (SELECT text, min(doc_id) AS first FROM docs GROUP BY text),
+known AS (SELECT doc_id, max((quality = 1)::INT) AS good, max((toxic = 1)::INT) AS toxic FROM labels GROUP BY doc_id),
+masked AS (
+  SELECT part, coalesce(good, 0) AS good, coalesce(toxic, 0) AS toxic,
+    (len(words) < 200)::INT + 2 * (100 * list_unique(words) < 50 * len(words))::INT
+    + 4 * (100 * length(regexp_replace(text, '[^A-Z]', '', 'g')) > 2 * length(text))::INT
+    + 8 * regexp_matches(text, '[#$%&*|]')::INT + 16 * coalesce(doc_id > first, false)::INT AS mask
+  FROM docs JOIN firsts USING (text) LEFT JOIN known USING (doc_id)),
+cells AS (SELECT part, mask, count(*) AS n, sum(good) AS good, sum(toxic) AS toxic FROM masked GROUP BY part, mask),
+letters AS (SELECT substr('ABCDE', i + 1, 1) AS letter, 1 << i AS bit FROM range(5) r(i)),
+orders AS (
+  SELECT a.letter || b.letter || c.letter || d.letter || e.letter AS filter_order, [a.bit, b.bit, c.bit, d.bit, e.bit] AS bits
+  FROM letters a, letters b, letters c, letters d, letters e WHERE a.bit | b.bit | c.bit | d.bit | e.bit = 31),
+steps AS (
+  SELECT filter_order, step, bits[step] AS bit, list_sum(bits[:step])::INT AS after, list_sum(bits[:step])::INT - bits[step] AS before
+  FROM orders, range(1, 6) s(step)),
+counted AS (
+  SELECT part, filter_order, step, bit, coalesce(sum(n) FILTER (mask & after = 0), 0) AS kept,
+    coalesce(sum(n) FILTER (mask & before = 0 AND mask & bit > 0), 0) AS removed,
+    coalesce(sum(n) FILTER (mask & before > 0 AND mask & bit > 0), 0) AS redundant,
+    coalesce(sum(n) FILTER (mask = bit), 0) AS unique_fails,
+    coalesce(sum(good) FILTER (mask & before = 0 AND mask & bit > 0), 0) AS good_lost,
+    coalesce(sum(toxic) FILTER (mask & before = 0 AND mask & bit > 0), 0) AS toxic_lost
+  FROM cells, steps GROUP BY ALL)
+SELECT part, filter_order, step::INTEGER AS step, kept::BIGINT AS kept, removed::BIGINT AS removed, redundant::BIGINT AS redundant,
+  unique_fails::BIGINT AS unique_fails, good_lost::BIGINT AS good_lost, toxic_lost::BIGINT AS toxic_lost,
+  (sum(removed) OVER (PARTITION BY part, bit))::BIGINT AS shapley
+FROM counted
+"""
+
+
+@query(OP13_SQL)
+def op13_filter_audit(spark: SparkSession, folder: str) -> DataFrame:
+    return audit_filters(table(spark, folder, "documents"), table(spark, folder, "labels"))
