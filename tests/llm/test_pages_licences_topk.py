@@ -55,17 +55,15 @@ def test_licence_notices(spark):
 
 
 def brute(table, k):
+    """Every row but the query's own, scored in whole numbers of any size."""
     import math
-    whole = {}
-    for i, v in table:
-        if i is not None and v is not None and all(x is not None and math.isfinite(x) for x in v):
-            mine = [math.floor(1024 * x) for x in v]
-            whole[i] = min(whole.get(i, mine), mine)
+    whole = [(i, [math.floor(1024 * x) for x in v]) for i, v in table
+             if i is not None and v is not None and all(x is not None and math.isfinite(x) for x in v)]
     out = []
-    for i in whole:
+    for row, (i, v) in enumerate(whole):
         if i % 100 == 0:
-            scores = sorted((-sum(a * b for a, b in zip(whole[i], whole[j])), j) for j in whole if j != i)[:k]
-            out += [(i, rank + 1, j, -s) for rank, (s, j) in enumerate(scores)]
+            scores = sorted((-sum(a * b for a, b in zip(v, w)), j) for other, (j, w) in enumerate(whole) if other != row)[:k]
+            out += [(i, rank + 1, j, max(-2 ** 63 + 1, min(2 ** 63 - 1, -s))) for rank, (s, j) in enumerate(scores)]
     return sorted(out)
 
 
@@ -80,6 +78,21 @@ def test_top_k_against_brute_force(spark, n, width, k):
         [(i, None if v is None else [None if x is None else __import__("numpy").float32(x).item() for x in v]) for i, v in table], k)
 
 
+def test_top_k_of_repeated_ids_and_large_components(spark):
+    table = [(0, [1.0, 0.0]), (2, [300000.0, 0.0]), (3, [1.0, 0.0]), (3, [5.0, 0.0]), (100, [-7.0, 2.0]), (100, [-7.0, 2.0]), (100, [4.0, 1e6])]
+    table += [(10 + i, [x, y]) for i, (x, y) in enumerate([(1e12, 3.0), (1e12, 2.0), (-1e12, 1e11), (2e14, -2e14), (123456789012.5, 1.0), (0.0, 0.0)])]
+    df = spark.createDataFrame(table, "vec_id long, embedding array<double>")
+    assert sorted(map(tuple, top_k(df, F.col("vec_id") % 100 == 0, 20).collect())) == brute(table, 20)
+
+
+def test_top_k_beyond_exact_floats(spark):
+    pick = random.Random(8)
+    table = [(i, [pick.choice([1, 1e7, 3e9]) * pick.gauss(0, 1) for _ in range(5)]) for i in range(300)]
+    table += [(1000 + i, [1e9 + pick.randint(0, 2) / 1024 for _ in range(5)]) for i in range(300)]  # nearly equal, told apart by last digits
+    df = spark.createDataFrame(table, "vec_id long, embedding array<double>")
+    assert sorted(map(tuple, top_k(df, F.col("vec_id") % 100 == 0).collect())) == brute(table, 10)
+
+
 @pytest.mark.parametrize("attributes, stays", [
     ('title="the hidden gem"', True), ('data-id="share-12"', True), ('data-role="comment"', True), ("title='class=ad'", True),
     ('data-hidden="hidden"', True), ('data-style="display: none"', True), ("title=\"say 'id=menu'\" class=lead", True), ('aria-hidden="false"', True),

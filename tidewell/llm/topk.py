@@ -10,6 +10,8 @@ resolved by the scores of the other parts.
 
 from __future__ import annotations
 
+import math
+
 import numpy as np
 import pandas as pd
 import pyarrow as pa
@@ -22,24 +24,24 @@ from tidewell.session import cut_lineage
 PARTS = 2
 TILE = 2_048
 GROUP = 2_048
-_LARGEST = 1 << 28
 
 
 def whole_components(vector: Column, scale: int = 1024) -> Column:
-    """floor(scale * x) of every component; null for a vector that is null or holds a null, non-finite or huge one.
+    """floor(scale * x) of every component; null for a vector that is null or holds a null or non-finite one.
 
-    Huge is beyond 2^28 after scaling: sums of products then stay whole in 64 bits.
+    Components beyond 64 bits are the nearest number of 64 bits.
     """
-    scaled = F.transform(vector, lambda x: F.floor(x.cast("double") * scale).cast("double"))
-    sound = F.forall(vector, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x.cast("double") * scale) <= _LARGEST))
-    return F.when(F.coalesce(sound, F.lit(False)), F.transform(scaled, lambda x: x.cast("long")))
+    edge = float((1 << 63) - 1024)
+    scaled = F.transform(vector, lambda x: F.floor(F.least(F.greatest(x.cast("double") * scale, F.lit(-edge)), F.lit(edge))))
+    sound = F.forall(vector, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x.cast("double")) < F.lit(float("inf"))))
+    return F.when(F.coalesce(sound, F.lit(False)), scaled)
 
 
 def _pack(pdf: pd.DataFrame) -> pd.DataFrame:
     """Rows of one tile or group as matrices: ids, components (parts of equal width), and cutoffs where there are any."""
     pdf = pdf.sort_values("id")
     matrix = np.stack(pdf["part"].to_numpy()).astype(np.int64)
-    cutoffs = pdf["cutoff"].fillna(np.iinfo(np.int64).min).to_numpy(np.int64)
+    cutoffs = pdf["cutoff"].astype(np.float64).fillna(-np.inf).to_numpy()
     return pd.DataFrame({"no": [pdf["no"].iloc[0]], "list": [pdf["list"].iloc[0]], "ids": [pdf["id"].to_numpy(np.int64).tobytes()],
                          "matrix": [matrix.tobytes()], "cutoffs": [cutoffs.tobytes()]})
 
@@ -51,12 +53,14 @@ def _packed(rows: DataFrame, size: int, count: int) -> DataFrame:
     return lists.groupBy("no", "list").applyInPandas(_pack, "no long, list int, ids binary, matrix binary, cutoffs binary")
 
 
-def _scored(tiles: DataFrame, groups: DataFrame, n_groups: int, k: int | None) -> DataFrame:
+def _scored(tiles: DataFrame, groups: DataFrame, n_groups: int, n_tiles: int, k: int | None) -> DataFrame:
     """Entries (query_id, id, list, score) of every list: its ``k`` highest, or all that reach the query's cutoff.
 
     Tiles meet groups of queries as whole matrices, each pair in some task.
+    Scores are null where products are too large for exact floats: such lists
+    send what may reach the cutoff, give or take the rounding.
     """
-    width = 16
+    width = max(16, n_tiles // 4)
     tiled = tiles.select("list", F.pmod("no", F.lit(width)).alias("lane"), "ids", "matrix",
                          F.explode(F.sequence(F.lit(0), F.lit(n_groups - 1)).cast("array<long>")).alias("group"))
     asked = groups.select(F.col("no").alias("group"), "list", F.col("ids").alias("query_ids"), F.col("matrix").alias("queries"), "cutoffs",
@@ -67,69 +71,90 @@ def _scored(tiles: DataFrame, groups: DataFrame, n_groups: int, k: int | None) -
             for row in range(batch.num_rows):
                 get = {name: batch.column(name)[row].as_py() for name in ("list", "ids", "matrix", "query_ids", "queries", "cutoffs")}
                 ids, queries = np.frombuffer(get["ids"], np.int64), np.frombuffer(get["query_ids"], np.int64)
-                a = np.frombuffer(get["queries"], np.int64).reshape(len(queries), -1)
-                b = np.frombuffer(get["matrix"], np.int64).reshape(len(ids), -1)
-                exact = a.shape[1] * int(np.abs(a).max(initial=0)) * int(np.abs(b).max(initial=0)) < 1 << 53
-                b = b.T.astype(np.float64) if exact else b.T
-                cutoffs = np.frombuffer(get["cutoffs"], np.int64)
+                a = np.frombuffer(get["queries"], np.int64).reshape(len(queries), -1).astype(np.float64)
+                b = np.frombuffer(get["matrix"], np.int64).reshape(len(ids), -1).T.astype(np.float64)
+                exact = len(b) * np.abs(a).max(initial=0) * np.abs(b).max(initial=0) < 1 << 53
+                cutoffs = np.frombuffer(get["cutoffs"], np.float64) / PARTS
                 for start in range(0, len(queries), 256):
                     some = a[start: start + 256]
-                    scores = ((some.astype(np.float64) if exact else some) @ b).astype(np.int64)
+                    scores = some @ b
                     if k is None:
-                        q, v = np.nonzero((scores * PARTS >= cutoffs[start: start + 256, None]) & (queries[start: start + 256, None] != ids))
+                        slack = 0 if exact else (np.abs(some) @ np.abs(b)) * (len(b) + 8) * 2.0 ** -52
+                        q, v = np.nonzero((scores + slack >= cutoffs[start: start + 256, None]) & (queries[start: start + 256, None] != ids))
                     else:
                         best = np.argpartition(-scores, min(k, len(ids) - 1), axis=1)[:, : k + 1]
                         q, v = np.repeat(np.arange(len(some)), best.shape[1]), best.ravel()
                         other = queries[start + q] != ids[v]
                         q, v = q[other], v[other]
+                    found = pa.array(scores[q, v].astype(np.int64)) if exact else pa.nulls(len(q), pa.int64())
                     yield pa.RecordBatch.from_arrays(
-                        [pa.array(queries[start + q]), pa.array(ids[v]), pa.array(np.full(len(q), get["list"], np.int32)), pa.array(scores[q, v])],
+                        [pa.array(queries[start + q]), pa.array(ids[v]), pa.array(np.full(len(q), get["list"], np.int32)), found],
                         names=["query_id", "id", "list", "score"])
 
     return (tiled.join(asked, ["list", "group", "lane"]).select("list", "ids", "matrix", "query_ids", "queries", "cutoffs")
             .mapInArrow(run, "query_id long, id long, list int, score long"))
 
 
-def _resolved(entries: DataFrame, vectors: DataFrame, queries: DataFrame) -> DataFrame:
-    """(query_id, id, score) of every vector that was sent, missing parts computed."""
+def _resolved(entries: DataFrame, vectors: DataFrame, queries: DataFrame, components: int) -> DataFrame:
+    """(query_id, id, vec_id, score) of every vector that was sent, missing parts computed; scores are exact decimals."""
     sent = entries.groupBy("query_id", "id").agg(F.map_from_entries(F.collect_set(F.struct("list", "score"))).alias("known"))
-    joined = sent.join(vectors.select("id", "parts"), "id").join(queries.select(F.col("id").alias("query_id"), F.col("parts").alias("asked")), "query_id")
+    asking = queries.select(F.col("id").alias("query_id"), F.col("vec_id").alias("query_vec_id"), F.col("parts").alias("asked"), F.col("largest").alias("asked_largest"))
+    joined = sent.join(vectors.select("id", "vec_id", "parts", "largest"), "id").join(asking, "query_id")
+    small = F.col("largest").cast("double") * F.col("asked_largest").cast("double") * components < float(1 << 62)
+
+    def product_sum(i, kind):
+        products = F.zip_with(F.col("parts")[i], F.col("asked")[i], lambda x, y: (x.cast(kind) * y.cast(kind)))
+        total = "long" if kind == "long" else "decimal(38,0)"
+        return F.aggregate(products, F.lit(0).cast(total), lambda s, x: (s + x).cast(total)).cast("decimal(38,0)")
 
     def part(i):
-        products = F.zip_with(F.col("parts")[i], F.col("asked")[i], lambda x, y: x * y)
-        return F.coalesce(F.try_element_at("known", F.lit(i)), F.aggregate(products, F.lit(0).cast("long"), lambda s, x: s + x))
+        computed = F.when(small, product_sum(i, "long")).otherwise(product_sum(i, "decimal(19,0)"))
+        return F.coalesce(F.try_element_at("known", F.lit(i)).cast("decimal(38,0)"), computed)
 
-    return joined.select("query_id", "id", sum((part(i) for i in range(1, PARTS)), part(0)).alias("score"))
+    total = sum((part(i) for i in range(1, PARTS)), part(0)).cast("decimal(38,0)")
+    return joined.select("query_id", "query_vec_id", "id", "vec_id", total.alias("score"))
 
 
 def top_k(vectors: DataFrame, is_query: Column, k: int = 10) -> DataFrame:
-    """query_id, rank, vec_id, score: the ``k`` other vectors of highest integer inner product for each query row.
+    """query_id, rank, vec_id, score: the ``k`` other rows of highest integer inner product for each query row.
 
     ``vectors`` has vec_id and embedding; components become floor(1024 * x).
-    Vectors that are null or hold null, non-finite or huge components take no
-    part, nor do rows without a vec_id. Ties go to the smaller vec_id. Of
-    several vectors with one vec_id the smallest counts. Components beyond the
-    shorter of two vectors count as 0. Fewer than k others give fewer rows; no
-    other columns matter.
+    Vectors that are null or hold null or non-finite components take no part,
+    nor do rows without a vec_id. Every other row is a candidate of every query
+    but itself: rows that repeat a vec_id, or all of a row, count one by one,
+    and each query row among them has its own ranks. Ties go to the smaller
+    vec_id. Components beyond the shorter of two vectors count as 0. Fewer than
+    k others give fewer rows; no other columns matter.
+
+    Sums are exact: in floats where these hold them, in 64 bits or decimals of
+    38 digits where they do not. Components so large that the sum of their
+    products could need more digits (over 10^18 for 100 components) count as
+    the largest that cannot. Ranks follow exact scores; a score beyond 64 bits
+    is returned as the nearest number of 64 bits.
     """
-    own = vectors.select(F.col("vec_id").cast("long").alias("id"), whole_components(F.col("embedding")).alias("whole"),
-                         is_query.alias("asks")).where("id IS NOT NULL AND whole IS NOT NULL")
-    own = own.groupBy("id").agg(F.min("whole").alias("whole"), F.max("asks").alias("asks"))
-    own = cut_lineage(own)
+    own = vectors.select(F.col("vec_id").cast("long").alias("vec_id"), whole_components(F.col("embedding")).alias("whole"),
+                         F.coalesce(is_query, F.lit(False)).alias("asks")).where("vec_id IS NOT NULL AND whole IS NOT NULL")
+    # Numbers of rows are fixed once they are written.
+    own = cut_lineage(own.withColumn("id", F.monotonically_increasing_id()))
     size = own.agg(F.count(F.lit(1)), F.count_if("asks"), F.max(F.size("whole"))).first()
     count, n_queries, longest = size[0], size[1], max(PARTS, size[2] or 0)
     width = -(-longest // PARTS)
-    filled = F.concat("whole", F.array_repeat(F.lit(0).cast("long"), F.lit(width * PARTS) - F.size("whole")))
-    rows = own.select("id", "asks", F.array(*[F.slice(filled, 1 + i * width, width) for i in range(PARTS)]).alias("parts"),
-                      F.lit(None).cast("long").alias("cutoff"))
+    edge = min((1 << 63) - 1024, math.isqrt(10 ** 38 // (width * PARTS)) - 1)
+    whole = F.transform("whole", lambda x: F.least(F.greatest(x, F.lit(-edge)), F.lit(edge)))
+    filled = F.concat(whole, F.array_repeat(F.lit(0).cast("long"), F.lit(width * PARTS) - F.size("whole")))
+    rows = own.select("id", "vec_id", "asks", F.array(*[F.slice(filled, 1 + i * width, width) for i in range(PARTS)]).alias("parts"),
+                      F.coalesce(F.array_max(F.transform(whole, F.abs)), F.lit(0)).alias("largest"), F.lit(None).cast("double").alias("cutoff"))
     queries = rows.where("asks")
-    n_groups = max(1, -(-n_queries // GROUP))
+    n_groups, n_tiles = max(1, -(-n_queries // GROUP)), max(1, -(-count // TILE))
     tiles = cut_lineage(_packed(rows, TILE, count))
-    first = _resolved(_scored(tiles, _packed(queries, GROUP, n_queries), n_groups, k), rows, queries)
-    order = Window.partitionBy("query_id").orderBy(F.col("score").desc(), "id")
+    first = _resolved(_scored(tiles, _packed(queries, GROUP, n_queries), n_groups, n_tiles, k), rows, queries, width * PARTS)
+    order = Window.partitionBy("query_id").orderBy(F.col("score").desc(), "vec_id", "id")
     place = F.row_number().over(order)
-    cutoffs = first.withColumn("place", place).where(F.col("place") == k).select(F.col("query_id").alias("id"), F.col("score").alias("cutoff"))
+    reached = F.col("score").cast("double")
+    cutoffs = (first.withColumn("place", place).where(F.col("place") == k)
+               .select(F.col("query_id").alias("id"), (reached - F.abs(reached) * 2.0 ** -50).alias("cutoff")))
     informed = queries.drop("cutoff").join(cutoffs, "id", "left")
-    entries = _scored(tiles, _packed(informed, GROUP, n_queries), n_groups, None)
-    return (_resolved(entries, rows, queries).withColumn("rank", place).where(F.col("rank") <= k)
-            .select("query_id", "rank", F.col("id").alias("vec_id"), "score"))
+    entries = _scored(tiles, _packed(informed, GROUP, n_queries), n_groups, n_tiles, None)
+    score = F.least(F.greatest("score", F.lit(-(1 << 63) + 1).cast("decimal(38,0)")), F.lit((1 << 63) - 1).cast("decimal(38,0)")).cast("long")
+    return (_resolved(entries, rows, queries, width * PARTS).withColumn("rank", place).where(F.col("rank") <= k)
+            .select(F.col("query_vec_id").alias("query_id"), "rank", "vec_id", score.alias("score")))
