@@ -27,8 +27,11 @@ def terms(texts):
     return sorted(set(cut + ["a", "𝒳", "%", "_s", "zzz", "", "AB"]))
 
 
-@BOUNDS
-def test_containment_equals_brute_force(spark, texts, terms, bound):
+@pytest.mark.parametrize("bound, chunk, bits", [(Bound(), 1 << 20, 24), (NONE, 1 << 20, 24), (Bound(), 64, 24), (Bound(), 1, 7)],
+                         ids=["small", "large", "chunks", "full bitmaps"])
+def test_containment_equals_brute_force(spark, texts, terms, bound, chunk, bits, monkeypatch):
+    for name, value in {"CHUNK_BYTES": chunk, "SLOT_BITS": bits, "_WORDS": 1 << (bits - 6)}.items():
+        monkeypatch.setattr(containment, name, value)
     df = spark.createDataFrame(texts + [(999, None)], "id int, text string")
     words_df = spark.createDataFrame([(t,) for t in terms], "term string")
     lower = {t: r[0] for t, r in zip(terms, words_df.select(F.lower("term")).collect())}
@@ -36,10 +39,21 @@ def test_containment_equals_brute_force(spark, texts, terms, bound):
     want = {(i, t) for i, x in low.items() for t in terms if t and lower[t] in x}
     got = containment.mention_pairs(df, "id", "text", words_df, "term", "term", bound)
     assert {tuple(r) for r in got.collect()} == want
-    counts = {r[0]: r[1] for r in containment.mention_counts(df, "id", "text", words_df, "term", "term", "n", bound).collect()}
+    counts = {r[0]: r[1] for r in containment.mention_counts(df, "id", "text", words_df, "term", "term", "n").collect()}
     assert counts == {t: sum(1 for _, u in want if u == t) for t in {u for _, u in want}}
 
 
+def test_containment_of_long_texts_and_terms(spark):
+    """Terms longer than a chunk, over its ends, repeated, and in a text that is one of many in a batch."""
+    rng = random.Random(6)
+    long = "".join(rng.choice("abcdé ") for _ in range(300_000))
+    texts = [(0, ""), (1, long), (2, long[150_000:] + long[:150_000]), (3, "b"), (4, long[:70])]
+    terms = [long[i: i + n] for i, n in ((0, 299_999), (5, 70_000), (65_500, 100), (131_072, 17), (200_000, 1), (299_990, 10), (0, 64), (0, 65), (0, 71))]
+    got = containment.mention_pairs(spark.createDataFrame(texts, "id int, text string"), "id", "text",
+                                    spark.createDataFrame([(t,) for t in terms], "term string"), "term", "term")
+    assert {tuple(r) for r in got.collect()} == {(i, t) for i, x in texts for t in terms if t in x}
+
+
 def test_name_match_is_two_way(spark):
     a = spark.createDataFrame([(1, "Malaria"), (2, "Breast cancer"), (3, "flu")], "a int, an string")
     b = spark.createDataFrame([(1, "cerebral MALARIA"), (2, "cancer"), (3, "cancer"), (4, "x")], "b int, bn string")

@@ -1,67 +1,154 @@
 """Which texts contain which terms, as plain substrings, ignoring case.
 
 The result is exactly that of ``lower(text) LIKE '%' || lower(term) || '%'``
-without wildcards; a nested loop over texts and terms is never formed.
-
-* Every term is anchored at one of its character grams, the one that the
-  fewest terms share. Texts meet terms by an equi join on grams of the sizes
-  that terms have, and candidates are checked against the text.
-* Anchors within a measured bound come to the texts, which then stay where they
-  are: grams that no term is anchored at are dropped before any shuffle.
-  Beyond the bound grams and anchors meet by a salted join.
+without wildcards; a nested loop over texts and terms is never formed, and no
+text is shuffled.
+
+* A term of L bytes is known by its length and the hashes of its first and its
+  last 2^k bytes, the largest power of two within L: together they cover it.
+  Terms mark their hashes in two bitmaps of fixed size, whatever their number.
+* Texts are scanned as byte arrays. Hashes of windows of 1, 2, 4, … bytes come
+  by doubling; a position whose window is marked is tried with each length that
+  terms of this size have, by two lookups of hashes. Only slices that pass both
+  bitmaps are made into strings, and an equi join with the terms decides.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+import sys
+from collections import defaultdict
+
+import numpy as np
+import pyarrow as pa
+from pyspark import cloudpickle
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidewell.operators.dedup import first_per_key
 from tidewell.operators.sizing import Bound, salted_join
-from tidewell.session import cut_lineage
-
-GRAM = 5
-TERM_BOUND = Bound(max_rows=1_000_000, max_bytes=64 * 1024 * 1024)
 
+# Functions of this module travel to the workers with the job.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
-def _grams(text: Column, size: int) -> Column:
-    """All character grams of one size; linear in the text."""
-    return F.regexp_extract_all(text, F.lit(f"(?s)(?=(.{{{size}}}))"), F.lit(1))
+TERM_BOUND = Bound(max_rows=1_000_000, max_bytes=64 * 1024 * 1024)
+#: log2 of the slots of a bitmap (2 MB each), and bytes of text that are hashed together.
+SLOT_BITS = 24
+CHUNK_BYTES = 1 << 20
+
+_WORDS = 1 << (SLOT_BITS - 6)
+_ONE, _TWO = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F)
+
+
+def _joined(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Hash of two pieces in a row, from their hashes."""
+    x = a * _ONE + (b ^ (b >> np.uint64(32))) * _TWO
+    return x ^ (x >> np.uint64(29))
+
+
+def _window_hashes(data: np.ndarray, levels):
+    """(level, size, hashes of all windows of ``size`` = 2^level bytes) for each of ``levels``."""
+    each = np.arange(1, 257, dtype=np.uint64)
+    hashes, size = _joined(each * _TWO, each)[data], 1
+    for level in range(max(levels, default=-1) + 1):
+        if level in levels:
+            yield level, size, hashes
+        hashes, size = _joined(hashes[:-size], hashes[size:]), size * 2
+
+
+def _whole_hash(first: np.ndarray, last: np.ndarray, length) -> np.ndarray:
+    return _joined(_joined(first, last), np.atleast_1d(length).astype(np.uint64))
+
+
+def _slot(hashes: np.ndarray) -> np.ndarray:
+    return (hashes >> np.uint64(64 - SLOT_BITS)).astype(np.int64)
+
+
+def _flat(texts) -> tuple[np.ndarray, np.ndarray]:
+    """Bytes of all texts, and where each begins and the last one ends."""
+    texts = texts.cast(pa.large_string())
+    offsets = np.frombuffer(texts.buffers()[1], np.int64)[texts.offset: texts.offset + len(texts) + 1]
+    held = texts.buffers()[2]
+    return np.frombuffer(held, np.uint8) if held is not None else np.zeros(0, np.uint8), offsets
+
+
+def _mark_terms(batches):
+    """(word, bits, rows, bytes): marks of both bitmaps; words below 0 stand for lengths of terms."""
+    for batch in batches:
+        data, offsets = _flat(batch.column(0))
+        starts, lengths = offsets[:-1], np.diff(offsets)
+        levels = np.frexp(lengths)[1] - 1
+        for level, size, hashes in _window_hashes(data, set(levels.tolist())):
+            own = levels == level
+            first, last = hashes[starts[own]], hashes[starts[own] + lengths[own] - size]
+            slots = np.concatenate([_slot(first), _slot(_whole_hash(first, last, lengths[own])) + (1 << SLOT_BITS)])
+            some = np.unique(lengths[own], return_counts=True)
+            nothing = np.zeros(len(slots), np.int64)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(np.concatenate([slots >> 6, -some[0]])),
+                 pa.array(np.concatenate([(np.uint64(1) << (slots & 63).astype(np.uint64)).view(np.int64), np.zeros(len(some[0]), np.int64)])),
+                 pa.array(np.concatenate([nothing, some[1]])), pa.array(np.concatenate([nothing, some[0] * some[1]]))],
+                names=["word", "bits", "rows", "bytes"])
+
+
+def _slices(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> pa.Array:
+    lengths = ends - starts
+    offsets = np.concatenate([[0], np.cumsum(lengths)])
+    taken = data[np.arange(offsets[-1]) + np.repeat(starts - offsets[:-1], lengths)]
+    return pa.LargeStringArray.from_buffers(len(lengths), pa.py_buffer(offsets.astype(np.int64)), pa.py_buffer(taken))
+
+
+def _candidates(texts: DataFrame, key: str, text: str, names: DataFrame) -> tuple[DataFrame, int, int]:
+    """Distinct (key, term_text) per row of ``texts``, which hold all that are terms; and rows and bytes of ``names``."""
+    marks = (names.select("term_text").mapInArrow(_mark_terms, "word long, bits long, rows long, bytes long")
+             .groupBy("word").agg(F.bit_or("bits").alias("bits"), F.sum("rows").alias("rows"), F.sum("bytes").alias("bytes")))
+    # At most the words of two bitmaps and one row per length of a term.
+    found = marks.toArrow()
+    words, bits = found.column("word").to_numpy(), found.column("bits").to_numpy()
+    bitmaps = np.zeros(2 * _WORDS, np.int64)
+    bitmaps[words[words >= 0]] = bits[words >= 0]
+    lengths = defaultdict(list)
+    for length in sorted(-words[words < 0]):
+        lengths[int(length).bit_length() - 1].append(int(length))
+    longest = max((some[-1] for some in lengths.values()), default=1)
+    shared = names.sparkSession.sparkContext.broadcast(bitmaps)
+
+    def scan(batches):
+        firsts, wholes = np.unpackbits(shared.value.view(np.uint8), bitorder="little").view(bool).reshape(2, -1)
+        for batch in batches:
+            keys = batch.column(0)
+            data, offsets = _flat(batch.column(1))
+            parts = []
+            for start in range(int(offsets[0]), int(offsets[-1]), CHUNK_BYTES):
+                end = min(start + CHUNK_BYTES, int(offsets[-1]))
+                block = data[start: min(end + longest - 1, int(offsets[-1]))]
+                at, until = [], []
+                for level, size, hashes in _window_hashes(block, set(lengths)):
+                    marked = np.flatnonzero(firsts[_slot(hashes[: end - start])])
+                    for length in lengths[level] if len(marked) else ():
+                        inside = marked[: np.searchsorted(marked, len(block) - length, side="right")]
+                        whole = _whole_hash(hashes[inside], hashes[inside + length - size], length)
+                        inside = inside[wholes[_slot(whole)]]
+                        at.append(inside + start)
+                        until.append(inside + (start + length))
+                if not at:
+                    continue
+                at, until = np.concatenate(at), np.concatenate(until)
+                row = np.searchsorted(offsets, at, side="right") - 1
+                kept = until <= offsets[row + 1]
+                part = pa.table({"row": row[kept], "term_text": _slices(data, at[kept], until[kept])})
+                parts.append(part.group_by(["row", "term_text"]).aggregate([]))
+            if parts:
+                met = pa.concat_tables(parts).group_by(["row", "term_text"]).aggregate([]).combine_chunks()
+                for some in met.to_batches(max_chunksize=50_000):
+                    yield pa.RecordBatch.from_arrays([keys.take(some.column(0)), some.column(1).cast(pa.string())], names=["key", "term_text"])
 
+    low = texts.filter(F.col(text).isNotNull()).select(F.col(key), F.lower(F.col(text)).alias("_text"))
+    hits = low.mapInArrow(scan, f"key {low.schema[key].dataType.simpleString()}, term_text string")
+    return hits.withColumnRenamed("key", key), sum(found.column("rows").to_pylist()), sum(found.column("bytes").to_pylist())
 
-def anchored_terms(distinct: DataFrame, gram: int = GRAM) -> DataFrame:
-    """Terms with their anchor gram: (term_text, anchor).
 
-    A term shorter than the gram size is its own anchor.
-    """
-    length = F.char_length("term_text")
-    own = F.when(length < gram, F.array("term_text")).otherwise(_grams(F.col("term_text"), gram))
-    grams = distinct.select("term_text", F.explode(F.array_distinct(own)).alias("anchor"))
-    shared = grams.groupBy("anchor").agg(F.count(F.lit(1)).alias("_shared"))
-    return first_per_key(grams.join(shared, "anchor"), ["term_text"],
-                         [F.col("_shared"), F.col("anchor")]).select("term_text", "anchor")
-
-
-def _hits(texts: DataFrame, key: str, text: str, terms: DataFrame, term_key: str, term: str,
-          bound: Bound, gram: int = GRAM) -> tuple[DataFrame, DataFrame, bool]:
-    """Distinct (key, term_text), the (term_key, term_text) names, and whether these are few."""
-    names = (
-        terms.select(F.col(term_key).alias("_term_key"), F.lower(F.col(term)).alias("term_text"))
-        .filter(F.char_length("term_text") > 0).distinct()
-    )
-    anchors = cut_lineage(anchored_terms(names.select("term_text").distinct(), gram))
-    # At most ``gram`` numbers.
-    sizes = [r[0] for r in anchors.select(F.char_length("anchor")).distinct().collect()]
-    low = texts.filter(F.col(text).isNotNull()).select(F.col(key), F.lower(F.col(text)).alias("_text"))
-    grams = F.concat(*[_grams(F.col("_text"), s) for s in sizes]) if sizes else F.array().cast("array<string>")
-    few = bound.holds(anchors) and bound.holds(names)
-    if few:
-        probes = low.select(key, "_text", F.explode_outer(grams).alias("anchor"))
-        pairs = probes.join(F.broadcast(anchors), "anchor").filter(F.contains("_text", "term_text"))
-        return pairs.select(key, "term_text").distinct(), names, True
-    probes = low.select(key, F.explode_outer(F.array_distinct(grams)).alias("anchor"))
-    pairs = salted_join(probes, anchors, ["anchor"], F.col(key)).select(key, "term_text").distinct()
-    return pairs.join(low, key).filter(F.contains("_text", "term_text")).select(key, "term_text"), names, False
+def _names(terms: DataFrame, term_key: str, term: str) -> DataFrame:
+    return (terms.select(F.col(term_key).alias("_term_key"), F.lower(F.col(term)).alias("term_text"))
+            .filter(F.octet_length("term_text") > 0).distinct())
 
 
 # ── uses ─────────────────────────────────────────────────────────────────────
@@ -72,21 +159,25 @@ def mention_pairs(texts: DataFrame, key: str, text: str, terms: DataFrame, term_
 
     ``key`` is unique in ``texts``. Blank names match nothing.
     """
-    hits, names, few = _hits(texts, key, text, terms, term_key, term, bound)
-    named = hits.join(F.broadcast(names), "term_text") if few else \
-        salted_join(hits, names, ["term_text"], F.col(key))
+    names = _names(terms, term_key, term)
+    hits, rows, used = _candidates(texts, key, text, names)
+    if rows <= bound.max_rows and used <= bound.max_bytes:
+        named = hits.join(F.broadcast(names), "term_text")
+    else:
+        named = salted_join(hits, names, ["term_text"], F.col(key))
     return named.select(key, F.col("_term_key").alias(term_key)).distinct()
 
 
 def mention_counts(texts: DataFrame, key: str, text: str, terms: DataFrame, term_key: str,
-                   term: str, out: str, bound: Bound = TERM_BOUND) -> DataFrame:
+                   term: str, out: str) -> DataFrame:
     """Texts per term: (term_key, out); terms without a mention are absent.
 
     ``terms`` has one name per key. Counted per distinct name first, so a name
     shared by several terms is counted once, and a name that most texts mention
     is counted map-side.
     """
-    hits, names, _ = _hits(texts, key, text, terms, term_key, term, bound)
+    names = _names(terms, term_key, term)
+    hits, _, _ = _candidates(texts, key, text, names)
     counts = hits.groupBy("term_text").agg(F.count(F.lit(1)).alias(out))
     return counts.join(names, "term_text").select(F.col("_term_key").alias(term_key), out)
 
