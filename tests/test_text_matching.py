@@ -7,6 +7,7 @@ from tidewell.functions.text import clean_text, words
 from tidewell.operators import containment, dedup, matching
 from tidewell.operators.sizing import Bound
 from tidewell.operators.sentiment import score_sentiment
+from tidewell.session import cut_lineage
 
 NONE = Bound(max_rows=0, max_bytes=0)
 BOUNDS = pytest.mark.parametrize("bound", [Bound(), NONE], ids=["small", "large"])
@@ -168,9 +169,37 @@ def test_sentiment_formula(spark, bound):
     assert found == {1: 0.7003, 2: -0.5423, 3: 0.0, 6: 0.0}
 
 
-@pytest.mark.parametrize("task_rows", [1_000_000, 5], ids=["one task", "rounds"])
-def test_dedup_id_or_url_on_chains(spark, task_rows):
-    n = 5_000 if task_rows > 5 else 12
-    rows = [(i, f"i{i // 2}", f"u{(i + 1) // 2}") for i in range(n)]  # each row shares a key with the next
-    got = dedup.dedup_id_or_url(spark.createDataFrame(rows, "pos int, id string, url string"), "id", "url", ["pos"], task_rows)
+@pytest.mark.parametrize("shuffled", [False, True])
+def test_dedup_id_or_url_on_random_groups(spark, shuffled):
+    """Chains of all lengths, stars, and keys that most rows share."""
+    rng = random.Random(12)
+    rows = [(i, f"i{i // 2}", f"u{(i + 1) // 2}") for i in range(60)] + [(i, "hub", f"v{rng.randint(0, 60)}") for i in range(60, 160)]
+    rows += [(i, f"i{rng.randint(0, 120)}", rng.choice([None, "w", f"u{rng.randint(0, 120)}"])) for i in range(160, 400)]
+    if shuffled:
+        places = list(range(len(rows)))
+        rng.shuffle(places)
+        rows = sorted((places[i], a, b) for i, a, b in rows)
+    seen, want = set(), []
+    for pos, *keys in rows:
+        if not any(k in seen for k in keys if k):
+            seen.update(k for k in keys if k)
+            want.append(pos)
+    got = dedup.dedup_id_or_url(spark.createDataFrame(rows, "pos int, id string, url string"), "id", "url", ["pos"])
+    assert sorted(r["pos"] for r in got.collect()) == want
+
+
+def test_dedup_id_or_url_on_a_long_chain(spark, monkeypatch):
+    """Each row shares a key with the next; the rounds grow with the logarithm."""
+    n, written = 5_000, []
+    monkeypatch.setattr(dedup, "cut_lineage", lambda df: written.append(1) or cut_lineage(df))
+    rows = [(i, f"i{i // 2}", f"u{(i + 1) // 2}") for i in range(n)]
+    got = dedup.dedup_id_or_url(spark.createDataFrame(rows, "pos int, id string, url string"), "id", "url", ["pos"])
     assert sorted(r["pos"] for r in got.collect()) == list(range(0, n, 2))
+    assert len(written) <= 4 + 15  # the pairs, a round, its chains' rows, their settling; and the steps
+
+
+def test_dedup_id_or_url_reads_two_rows_of_a_key(spark):
+    """No task takes all rows of a key: they are cut to two before the shuffle."""
+    rows = spark.createDataFrame([(1, "a", "b")], "pos int, id string, url string").selectExpr("id AS _id", "url AS _url", "struct(pos) AS _ord")
+    plan = dedup._first_in_line(rows)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("WindowGroupLimit") == 4 and "Python" not in plan and "Pandas" not in plan

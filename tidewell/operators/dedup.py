@@ -9,7 +9,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from tidewell.operators.graph import stars
 from tidewell.session import cut_lineage
 
 
@@ -77,19 +76,21 @@ def merge_categories(df: DataFrame, key: str, category: str,
     )
 
 
-#: Rows of one group of entangled ids and urls that a single task settles, one after the other.
-TASK_ROWS = 1_000_000
+#: Share of the open rows that a round has to settle, or else chains of waiting rows are followed to their ends.
+ENOUGH = 0.125
 
 
-def dedup_id_or_url(df: DataFrame, id_col: str, url_col: str, order: Sequence[str],
-                    task_rows: int = TASK_ROWS) -> DataFrame:
+def dedup_id_or_url(df: DataFrame, id_col: str, url_col: str, order: Sequence[str]) -> DataFrame:
     """Rows a first-come reader would keep: a row is dropped if an earlier kept
-    row has its id or its url. Empty ids and urls count as absent.
-
-    Rows decide about each other only if a chain of shared ids and urls joins
-    them. Such a group is read in order by one task, as long as it has up to
-    ``task_rows`` rows; larger groups are settled in rounds, see
-    :func:`_settle_in_rounds`. ``order`` must be unique.
+    row has its id or its url. Empty ids and urls count as absent. ``order``
+    must be unique.
+
+    Works in rounds, each written to the shared folder. A round keeps the rows
+    that come first under both of their keys and drops what these cover. Where
+    that settles too few rows, they wait for each other in long chains, which
+    :func:`_follow_chains` contracts by doubling, so that rounds grow with the
+    logarithm of a chain. No group of rows meets in one task: of each key its
+    first two rows are enough.
     """
     def present(name: str) -> Column:
         return F.when(F.col(name) != "", F.col(name).cast("string"))
@@ -99,53 +100,68 @@ def dedup_id_or_url(df: DataFrame, id_col: str, url_col: str, order: Sequence[st
     bare = rows.filter(F.col("_id").isNull() & F.col("_url").isNull()).select("_ord")
     pairs = cut_lineage(rows.filter(F.col("_id").isNotNull() | F.col("_url").isNotNull())
                         .groupBy("_id", "_url").agg(F.min("_ord").alias("_ord")))
-    id_node, url_node = F.concat(F.lit("i"), "_id"), F.concat(F.lit("u"), "_url")
-    tied = stars(pairs.where("_id IS NOT NULL AND _url IS NOT NULL").select(id_node.alias("a"), url_node.alias("b")))
-    grouped = pairs.withColumn("a", F.coalesce(id_node, url_node)).join(tied, "a", "left").select(
-        "_id", "_url", "_ord", F.coalesce("b", "a").alias("_group"))
-    sizes = grouped.groupBy("_group").agg(F.count(F.lit(1)).alias("_size"))
-    sized = cut_lineage(grouped.join(sizes, "_group"))
-
-    def read_in_order(pdf):
-        pdf = pdf.sort_values(list(order))
-        ids, urls, kept = set(), set(), []
-        for one, other in zip(pdf["_id"], pdf["_url"]):
-            new = (one is None or one not in ids) and (other is None or other not in urls)
-            kept.append(new)
-            if new:
-                ids.add(one)
-                urls.add(other)
-        return pdf.loc[kept, list(order)]
-
-    small = sized.where(F.col("_size").between(2, task_rows)).select("_group", "_id", "_url", "_ord.*")
-    keys = ", ".join(f"`{c}` {sized.schema['_ord'].dataType[c].dataType.simpleString()}" for c in order)
-    settled = small.groupBy("_group").applyInPandas(read_in_order, keys).select(F.struct(*order).alias("_ord"))
-    winners = bare.unionByName(sized.where("_size = 1").select("_ord")).unionByName(settled)
-    large = sized.where(F.col("_size") > task_rows)
-    if not large.isEmpty():
-        winners = winners.unionByName(_settle_in_rounds(large.select("_id", "_url", "_ord")))
+    winners = reduce(DataFrame.unionByName, [bare, *_settle_in_rounds(pairs)])
     return rows.join(winners, "_ord", "left_semi").drop("_ord", "_id", "_url")
 
 
-def _settle_in_rounds(open_rows: DataFrame) -> DataFrame:
-    """``_ord`` of the rows kept. Each round keeps the rows that come first
-    under both of their keys and drops the rows they cover, until none is open.
-
-    Rounds are as many as the longest chain of rows that wait for each other.
-    """
-    kept = []
-    while not open_rows.isEmpty():
-        lead = open_rows
+def _settle_in_rounds(open_rows: DataFrame) -> list[DataFrame]:
+    """``_ord`` of the rows kept, one table per round."""
+    kept, count, follow = [], open_rows.count(), False
+    while count:
+        first = _first_in_line(open_rows)
+        if follow:
+            first = cut_lineage(first)
+            won = first.where("waits_for IS NULL").drop("waits_for").unionByName(_follow_chains(first))
+        else:
+            won = first.where("waits_for IS NULL").drop("waits_for")
         for key in ("_id", "_url"):
-            first = open_rows.filter(F.col(key).isNotNull()).groupBy(key) \
-                             .agg(F.min("_ord").alias("_ord")).select("_ord")
-            without = lead.filter(F.col(key).isNull())
-            lead = lead.filter(F.col(key).isNotNull()).join(first, "_ord", "left_semi") \
-                       .unionByName(without)
-        lead = cut_lineage(lead)
-        kept.append(lead.select("_ord"))
-        for key in ("_id", "_url"):
-            covered = lead.filter(F.col(key).isNotNull()).select(key).distinct()
-            open_rows = open_rows.join(covered, key, "left_anti").select("_id", "_url", "_ord")
-        open_rows = cut_lineage(open_rows)
-    return reduce(DataFrame.unionByName, kept)
+            # Rows without this key are dealt out by their order, not all to one task.
+            lane = F.when(F.col(key).isNull(), F.xxhash64("_ord")).otherwise(F.lit(0).cast("long"))
+            covered = won.filter(F.col(key).isNotNull()).select(key, F.lit(0).cast("long").alias("_lane"))
+            open_rows = open_rows.withColumn("_lane", lane).join(covered, [key, "_lane"], "left_anti").drop("_lane")
+        settled = cut_lineage(won.withColumn("kept", F.lit(True)).unionByName(open_rows.select("_ord", "_id", "_url", F.lit(False).alias("kept"))))
+        kept.append(settled.where("kept").select("_ord"))
+        open_rows = settled.where("NOT kept").drop("kept")
+        before, count = count, open_rows.count()
+        follow = before - count < ENOUGH * before
+    return kept
+
+
+def _first_in_line(open_rows: DataFrame) -> DataFrame:
+    """Rows that come first under both keys, and rows that come first under one and second under the other.
+
+    The latter name in ``waits_for`` the row before them: they are kept exactly
+    if that row is dropped.
+    """
+    def first_two(key: str, other: str) -> DataFrame:
+        line = Window.partitionBy(key).orderBy("_ord")
+        placed = open_rows.filter(F.col(key).isNotNull()).withColumn(f"at{key}", F.row_number().over(line)).where(F.col(f"at{key}") <= 2)
+        return placed.withColumns({f"before{key}": F.first("_ord").over(line), f"at{other}": F.lit(None).cast("int"),
+                                   f"before{other}": F.lit(None).cast(open_rows.schema["_ord"].dataType)})
+
+    places = first_two("_id", "_url").unionByName(first_two("_url", "_id")).groupBy("_ord", "_id", "_url").agg(
+        *[F.max(c).alias(c) for c in ("at_id", "at_url", "before_id", "before_url")])
+    leads = {key: F.col(key).isNull() | F.coalesce(F.col(f"at{key}") == 1, F.lit(False)) for key in ("_id", "_url")}
+    waits_for = F.when(leads["_id"] & (F.col("at_url") == 2), F.col("before_url")).when(leads["_url"] & (F.col("at_id") == 2), F.col("before_id"))
+    return places.withColumn("waits_for", waits_for).where((leads["_id"] & leads["_url"]) | F.col("waits_for").isNotNull()).select(
+        "_ord", "_id", "_url", "waits_for")
+
+
+def _follow_chains(first: DataFrame) -> DataFrame:
+    """The waiting rows at an even distance from a row that is kept, along the rows they wait for.
+
+    Each step joins a row's pointer to the pointer found there, so distances
+    double. A row is waited for by at most one other but for the chain's ends,
+    and those at an end are joined no more.
+    """
+    ends = first.where("waits_for IS NULL").select(F.col("_ord").alias("to"), F.lit(True).alias("rooted"))
+    links = first.where("waits_for IS NOT NULL").select("_ord", "_id", "_url", F.col("waits_for").alias("to"), F.lit(True).alias("odd"))
+    links = cut_lineage(links.join(ends, "to", "left").withColumn("rooted", F.coalesce("rooted", F.lit(False))).withColumn("moves", ~F.col("rooted")))
+    while not links.where("moves").isEmpty():
+        there = links.select(F.col("_ord").alias("to"), F.col("to").alias("next"), F.col("odd").alias("next_odd"),
+                             F.col("rooted").alias("next_rooted"), F.col("moves").alias("next_moves"))
+        moved = links.where("moves").drop("rooted", "moves").join(there, "to", "left").select(
+            "_ord", "_id", "_url", F.coalesce("next", "to").alias("to"), (F.col("odd") != F.coalesce("next_odd", F.lit(False))).alias("odd"),
+            F.coalesce("next_rooted", F.lit(False)).alias("rooted"), F.coalesce("next_moves", F.lit(False)).alias("moves"))
+        links = cut_lineage(links.where("NOT moves").unionByName(moved))
+    return links.where("rooted AND NOT odd").select("_ord", "_id", "_url")
