@@ -2,6 +2,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tidewell.operators import dedup, lookups
+from tidewell.operators.inplace import IN_PLACE, in_place
 from tidewell.operators.sizing import Bound, salted_join
 from tidewell.schemas import BOOL, INT, S, many, record
 
@@ -37,15 +38,30 @@ def test_lookup_when_and_unmapped(spark):
     assert [r["c"] for r in lookups.unmapped(got, "c", "loc", is_country).collect()] == ["XXX"]
 
 
-def test_map_list_keeps_order_and_unmapped(spark):
+@pytest.mark.parametrize("bound", [IN_PLACE, Bound(max_rows=0)], ids=["in place", "joined"])
+def test_map_list_keeps_order_and_unmapped(spark, bound):
     df = spark.createDataFrame([(1, ["b", "z", "a", "b"]), (2, []), (3, None)], "id int, l array<string>")
     table = spark.createDataFrame([("a", "A"), ("b", "B2"), ("b", "B1")], "f string, t string")
-    keep = {r["id"]: r["o"] for r in lookups.map_list(df, "id", "l", table, "f", "t", "o").collect()}
+    keep = {r["id"]: r["o"] for r in lookups.map_list(df, "id", "l", table, "f", "t", "o", bound=bound).collect()}
     assert keep == {1: ["B1", "B2", "z", "A", "B1", "B2"], 2: [], 3: []}
-    drop = {r["id"]: r["o"] for r in lookups.map_list(df, "id", "l", table, "f", "t", "o", keep_unmapped=False).collect()}
+    drop = {r["id"]: r["o"] for r in lookups.map_list(df, "id", "l", table, "f", "t", "o", keep_unmapped=False, bound=bound).collect()}
     assert drop[1] == ["B1", "B2", "A", "B1", "B2"]
 
 
+def test_lookup_in_place(spark):
+    pairs = [(f"k{i % 500}", None if i % 7 == 0 else i) for i in range(2000)] + [(None, 1)]
+    table = spark.createDataFrame(pairs, "a string, b int")
+    find = in_place(table, "a", "b")
+    got = spark.createDataFrame([(f"k{i}",) for i in range(510)] + [(None,)], "k string").select("k", find(F.col("k")).alias("v"))
+    assert "Join" not in got._jdf.queryExecution().optimizedPlan().toString()
+    for k, v in got.collect():
+        want = {b for a, b in pairs if a == k and k is not None}
+        assert (v is None) if not want else ({x["v"] for x in v} == want and len(v) == len(want))
+    assert in_place(table, "a", "b", Bound(max_rows=3)) is None
+    none = in_place(table.where("false"), "a", "b")
+    assert spark.range(1).select(none(F.lit("x"))).first()[0] is None
+
+
 def test_append_swapped_is_idempotent(spark):
     meta = spark.createDataFrame([("x", "1", "other")], "id string, name string, dimension string")
     gbd = spark.createDataFrame([("location", 81, "DEU"), ("sex", 1, "Male")], "dimension string, id bigint, name string")

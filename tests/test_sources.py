@@ -5,6 +5,8 @@ from pyspark.sql import functions as F
 
 from tidewell.functions.text import label_of, title_case
 from tidewell.operators import crosswalk, lookups
+from tidewell.operators.inplace import IN_PLACE
+from tidewell.operators.sizing import Bound
 from tidewell.plans import articles, burden, trials
 from tidewell.schemas import ARTICLE, ARTICLES, CTIS_HEADERS, GHO_RECORD, TRIAL_US, TRIALS, WHO_EMERGENCY, WHO_OUTBREAK, record, S
 from tidewell.sources import files
@@ -120,7 +122,11 @@ def test_ndjson_keeps_whole_lines_only(spark, tmp_path):
     assert sorted(r["title"] for r in got.collect()) == ["x", "y"]
 
 
-def test_ctis_csv_with_bom_and_harmonise(spark, tmp_path):
+BOUNDS = pytest.mark.parametrize("bound", [IN_PLACE, Bound(max_rows=0)], ids=["in place", "joined"])
+
+
+@BOUNDS
+def test_ctis_csv_with_bom_and_harmonise(spark, tmp_path, bound):
     values = {h: "" for h in CTIS_HEADERS}
     values.update({
         "Trial number": "2023-1", "Title of the trial": 'A "quoted"\ntitle', "Trial phase": "Phase II and Phase III", "Trial results": "Yes",
@@ -137,7 +143,7 @@ def test_ctis_csv_with_bom_and_harmonise(spark, tmp_path):
     to_10 = spark.createDataFrame([("1A00", "A00")], "icd11Code string, icd10Code string")
     catalogue = spark.createDataFrame([("1A00", "certain_infectious"), ("2B00", "neoplasms")], "icd_code string, chapter string")
     countries = spark.createDataFrame([("Spain", "ESP")], "name string, iso3 string")
-    df = trials.harmonise_ctis(raw, to_11, to_10, catalogue, countries)
+    df = trials.harmonise_ctis(raw, to_11, to_10, catalogue, countries, bound)
     assert df.schema.simpleString() == TRIALS.simpleString()
     row = df.first()
     assert row["title"] == 'A "quoted"\ntitle' and row["phases"] == [2, 3] and row["results"] is True
@@ -147,7 +153,8 @@ def test_ctis_csv_with_bom_and_harmonise(spark, tmp_path):
     assert row["groupings"] == ["18-64 years", "65+ years"] and row["enrollment"] == 12 and row["end_date"] is None
 
 
-def test_us_trial_edges(spark):
+@BOUNDS
+def test_us_trial_edges(spark, bound):
     base = dict.fromkeys(TRIAL_US.names)
     rows = [
         {**base, "nct_id": "N1", "overall_status": "recruiting", "phases": ["EARLY_PHASE1", "NA"], "start_date": "2024-05",
@@ -162,7 +169,7 @@ def test_us_trial_edges(spark):
     to_11 = spark.createDataFrame([("C01", "2B00")], "icd10Code string, icd11Code string")
     catalogue = spark.createDataFrame([("2B00", "neoplasms")], "icd_code string, chapter string")
     countries = spark.createDataFrame([("Spain", "ESP")], "name string, iso3 string")
-    got = {r["trial_id"]: r for r in trials.harmonise_ctus(raw, to_11, catalogue, countries).collect()}
+    got = {r["trial_id"]: r for r in trials.harmonise_ctus(raw, to_11, catalogue, countries, bound).collect()}
     one, two = got["N1"], got["N2"]
     assert one["overall_status"] == "Ongoing, recruiting" and one["phases"] == [1] and str(one["start_date"]) == "2024-05-01 00:00:00"
     assert one["sponsor_type"] == "Other_Gov" and one["gender"] == ["Female", "Male"] and one["groupings"] == ["18+ years"]

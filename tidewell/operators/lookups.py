@@ -8,6 +8,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidewell.operators.dedup import first_per_key
+from tidewell.operators.inplace import IN_PLACE, in_place
+from tidewell.operators.sizing import Bound
 
 
 def make_lookup(metadata: DataFrame, dimension: str, alias: str) -> DataFrame:
@@ -43,22 +45,22 @@ def unmapped(df: DataFrame, source: str, mapped: str, condition: Column | None =
     return df.filter(missing).select(source).distinct()
 
 
-def to_iso3(df: DataFrame, name: str, countries: DataFrame) -> DataFrame:
-    """Replace country names by ISO-3 codes; unknown names stay.
-
-    ``countries`` has (name, iso3), one row per name or alias.
-    """
-    found = lookup(df, F.col(name), countries, "name", ["iso3"])
-    return found.withColumn(name, F.coalesce("iso3", name)).drop("iso3")
-
-
 def map_list(df: DataFrame, key: str, column: str, table: DataFrame, source: str, target: str,
-             out: str, keep_unmapped: bool = True) -> DataFrame:
+             out: str, keep_unmapped: bool = True, bound: Bound = IN_PLACE) -> DataFrame:
     """(key, out): the list ``column`` with each entry replaced through ``table``.
 
     An entry may map to several targets; order follows the list, then the
     target. ``key`` is unique in ``df``; rows with no list get an empty one.
+    A table within ``bound`` is applied inside the row; beyond it, entries are
+    joined and regrouped.
     """
+    find = in_place(table, source, target, bound)
+    if find is not None:
+        def each(entry: Column) -> Column:
+            found = F.coalesce(find(entry), F.array(F.struct(F.lit(None).alias("v"))))
+            return F.array_sort(F.transform(found, lambda t: F.coalesce(t["v"], entry) if keep_unmapped else t["v"]))
+        hits = F.array_compact(F.flatten(F.transform(column, each)))
+        return df.select(key, F.coalesce(hits, F.array()).alias(out))
     entries = df.select(key, F.posexplode_outer(column).alias("_pos", "_entry"))
     pairs = table.select(F.col(source).alias("_entry"), F.col(target).alias("_target")).distinct()
     value = F.coalesce("_target", "_entry") if keep_unmapped else F.col("_target")

@@ -21,8 +21,12 @@ class Bound:
 
     def holds(self, df: DataFrame) -> bool:
         """True if ``df`` is counted to be within the bound; two numbers per task reach the last one."""
+        return self.rows_within(df) is not None
+
+    def rows_within(self, df: DataFrame) -> int | None:
+        """The rows of ``df`` if they are counted to be within the bound, else None."""
         rows, used = df.agg(F.count(F.lit(1)), F.coalesce(F.sum(_row_bytes(df)), F.lit(0))).first()
-        return rows <= self.max_rows and used <= self.max_bytes
+        return rows if rows <= self.max_rows and used <= self.max_bytes else None
 
 
 def _row_bytes(df: DataFrame) -> Column:

@@ -9,8 +9,10 @@ from tidewell.functions import clinical as c
 from tidewell.functions.dates import DAY_FIRST, YEAR_FIRST, complete_date, parse_day
 from tidewell.functions.fixed_values import CTIS_COLUMNS, ICD10_PATTERN, ICD11_PATTERN
 from tidewell.functions.text import null_tokens, title_case
+from tidewell.operators.inplace import IN_PLACE, in_place, mapped
 from tidewell.operators.lookups import conform, with_matching
 from tidewell.operators.rows import explode_once
+from tidewell.operators.sizing import Bound
 from tidewell.schemas import TRIALS
 
 _DATES = r"(?i)(date|updated)$"
@@ -105,30 +107,56 @@ def _with_codes(df: DataFrame, codes: DataFrame, key: str) -> DataFrame:
     return df.join(codes, key, "left").withColumn("codes", F.coalesce("codes", empty))
 
 
-def ctis_code_rows(df: DataFrame, key: str, area: str, to_11: DataFrame, to_10: DataFrame,
-                   catalogue: DataFrame, icd10: str = ICD10_PATTERN,
-                   icd11: str = ICD11_PATTERN) -> DataFrame:
-    """(key, codes): bracketed codes of ``area``, completed through crosswalks.
+def _codes_in_place(tens: Column, elevens: Column, chapter) -> Column:
+    """The struct of codes from lists that lie in the row."""
+    pairs = mapped(F.array_compact(elevens), chapter, lambda code, v: F.struct(code.alias("code"), v.cast("string").alias("chapter")))
+    return F.struct(F.array_sort(F.array_distinct(F.array_compact(tens))).alias("icd_10"),
+                    F.array_sort(F.array_distinct(pairs)).alias("icd_11"))
+
+
+def _through(codes: Column, find) -> Column:
+    """All targets of a list of codes; codes without one give nulls."""
+    return mapped(F.array_compact(codes), find, lambda _, v: v)
+
+
+def ctis_codes(df: DataFrame, key: str, area: str, to_11: DataFrame, to_10: DataFrame,
+               catalogue: DataFrame, icd10: str = ICD10_PATTERN,
+               icd11: str = ICD11_PATTERN, bound: Bound = IN_PLACE) -> DataFrame:
+    """``df`` with ``codes``: bracketed codes of ``area``, completed through crosswalks; empty lists where there are none.
 
     ``to_11`` has (icd10Code, icd11Code), ``to_10`` (icd11Code, icd10Code), one
     row per pair. ICD-11 codes are extended from the ICD-10 codes, then ICD-10
     codes from all ICD-11 codes. A code that has the ICD-10 shape is taken as
-    ICD-10 only. ``key`` is unique in ``df``.
+    ICD-10 only. ``key`` is unique in ``df``. Tables within ``bound`` are
+    applied inside the row; beyond it, codes are joined and regrouped.
     """
     found = _bracketed(F.col(area), icd10)
-    tens = explode_once(df, [key], found, "ten")
-    own = explode_once(df, [key], F.array_except(_bracketed(F.col(area), icd11), found), "eleven")
+    other = F.array_except(_bracketed(F.col(area), icd11), found)
+    finds = _all_in_place([(to_11, "icd10Code", "icd11Code"), (to_10, "icd11Code", "icd10Code"), (catalogue, "icd_code", "chapter")], bound)
+    if finds is not None:
+        up, down, chapter = finds
+        # Columns of their own, so that each list is made once.
+        staged = df.withColumn("_tens", F.coalesce(found, _none())).withColumn("_other", F.coalesce(other, _none()))
+        staged = staged.withColumn("_elevens", F.concat("_other", _through(F.col("_tens"), up)))
+        tens = F.concat("_tens", _through(F.col("_elevens"), down))
+        return staged.withColumn("codes", _codes_in_place(tens, F.col("_elevens"), chapter)).drop("_tens", "_other", "_elevens")
+    tens, own = explode_once(df, [key], found, "ten"), explode_once(df, [key], other, "eleven")
     up = to_11.select(F.col("icd10Code").alias("ten"), F.col("icd11Code").alias("eleven"))
     down = to_10.select(F.col("icd11Code").alias("eleven"), F.col("icd10Code").alias("ten"))
     elevens = own.unionByName(tens.join(up, "ten").select(key, "eleven"))
     more = elevens.join(down, "eleven").select(key, "ten")
-    return _code_struct(tens.unionByName(more), elevens, key, catalogue)
+    return _with_codes(df, _code_struct(tens.unionByName(more), elevens, key, catalogue), key)
 
 
-def ctis_codes(df: DataFrame, key: str, area: str, to_11: DataFrame, to_10: DataFrame,
-               catalogue: DataFrame) -> DataFrame:
-    """``df`` with the codes of :func:`ctis_code_rows`; empty lists where there are none."""
-    return _with_codes(df, ctis_code_rows(df, key, area, to_11, to_10, catalogue), key)
+def _all_in_place(tables: list[tuple[DataFrame, str, str]], bound: Bound) -> list | None:
+    """A function for each lookup, or None if one of them is beyond the bound."""
+    finds = []
+    for table, key, value in tables:
+        find = in_place(table, key, value, bound)
+        if find is None:
+            return None
+        finds.append(find)
+    return finds
 
 
 # ── US registry ──────────────────────────────────────────────────────────────
@@ -210,55 +238,59 @@ def ctus_age_ranges(df: DataFrame) -> DataFrame:
     })
 
 
-def ctus_code_rows(df: DataFrame, key: str, ids: str, to_11: DataFrame, catalogue: DataFrame,
-                   prefix_len: int = 3) -> DataFrame:
-    """(key, codes): prefixes of the subject ids taken as ICD-10 codes, extended to ICD-11.
+def ctus_codes(df: DataFrame, key: str, ids: str, to_11: DataFrame, catalogue: DataFrame,
+               prefix_len: int = 3, bound: Bound = IN_PLACE) -> DataFrame:
+    """``df`` with ``codes``: prefixes of the subject ids taken as ICD-10 codes, extended to ICD-11.
 
-    A proxy: the ids are headings of another vocabulary.
+    A proxy: the ids are headings of another vocabulary. ``bound`` as in
+    :func:`ctis_codes`.
     """
     prefixes = F.array_distinct(F.transform(ids, lambda x: F.substring(x, 1, prefix_len)))
+    finds = _all_in_place([(to_11, "icd10Code", "icd11Code"), (catalogue, "icd_code", "chapter")], bound)
+    if finds is not None:
+        up, chapter = finds
+        staged = df.withColumn("_tens", F.coalesce(prefixes, _none()))
+        return staged.withColumn("codes", _codes_in_place(F.col("_tens"), _through(F.col("_tens"), up), chapter)).drop("_tens")
     tens = explode_once(df, [key], prefixes, "ten")
     up = to_11.select(F.col("icd10Code").alias("ten"), F.col("icd11Code").alias("eleven"))
-    return _code_struct(tens, tens.join(up, "ten").select(key, "eleven"), key, catalogue)
+    return _with_codes(df, _code_struct(tens, tens.join(up, "ten").select(key, "eleven"), key, catalogue), key)
 
 
 # ── both ─────────────────────────────────────────────────────────────────────
 
-def country_rows(df: DataFrame, key: str, countries: DataFrame) -> DataFrame:
-    """(key, countries_status): distinct places with ISO-3 codes; unknown names stay.
+def with_countries(df: DataFrame, key: str, countries: DataFrame, bound: Bound = IN_PLACE) -> DataFrame:
+    """``df`` with the places of ``countries_status`` distinct and with ISO-3 codes; unknown names stay.
 
-    ``countries`` has (name, iso3), one row per name. ``key`` is unique.
+    ``countries`` has (name, iso3), one row per name. ``key`` is unique. Within
+    ``bound`` the names are looked up inside the row; beyond it, places are
+    joined and regrouped.
     """
-    rows = df.select(key, F.posexplode_outer("countries_status").alias("_pos", "_c")) \
-             .filter(F.col("_pos").isNotNull())
-    named = rows.join(countries.select(F.col("name").alias("_name"), "iso3"),
-                      F.col("_c.country") == F.col("_name"), "left")
-    entry = F.struct(F.coalesce("iso3", "_c.country").alias("country"),
-                     F.col("_c.approval").alias("approval"), F.col("_c.status").alias("status"))
-    placed = F.array_sort(F.collect_list(F.struct("_pos", entry.alias("e"))))
-    return named.groupBy(key).agg(
-        F.array_distinct(F.transform(placed, lambda x: x["e"])).alias("countries_status"))
-
-
-def _assemble(core: DataFrame, codes: DataFrame, places: DataFrame) -> DataFrame:
-    """Row-local fields plus the two looked-up ones, in the common schema."""
-    listed = core.withColumnRenamed("countries_status", "_raw") \
-                 .join(places, "trial_id", "left") \
-                 .withColumn("countries_status", F.coalesce("countries_status", "_raw"))
-    return conform(_with_codes(listed, codes, "trial_id"), TRIALS)
+    def entry(place: Column, iso3: Column) -> Column:
+        return F.struct(F.coalesce(iso3.cast("string"), place["country"]).alias("country"),
+                        place["approval"].alias("approval"), place["status"].alias("status"))
+
+    find = in_place(countries, "name", "iso3", bound)
+    if find is not None:
+        return df.withColumn("countries_status", F.array_distinct(
+            mapped(F.col("countries_status"), lambda place: find(place["country"]), entry)))
+    rows = df.select(key, F.posexplode_outer("countries_status").alias("_pos", "_c")).filter(F.col("_pos").isNotNull())
+    named = rows.join(countries.select(F.col("name").alias("_name"), "iso3"), F.col("_c.country") == F.col("_name"), "left")
+    placed = F.array_sort(F.collect_list(F.struct("_pos", entry(F.col("_c"), F.col("iso3")).alias("e"))))
+    places = named.groupBy(key).agg(F.array_distinct(F.transform(placed, lambda x: x["e"])).alias("countries_status"))
+    return (df.withColumnRenamed("countries_status", "_raw").join(places, key, "left")
+            .withColumn("countries_status", F.coalesce("countries_status", "_raw")).drop("_raw"))
 
 
 def harmonise_ctis(raw: DataFrame, to_11: DataFrame, to_10: DataFrame, catalogue: DataFrame,
-                   countries: DataFrame) -> DataFrame:
+                   countries: DataFrame, bound: Bound = IN_PLACE) -> DataFrame:
     """EU export (one row per trial number) -> :data:`tidewell.schemas.TRIALS`."""
-    core = ctis_core(ctis_age_ranges(raw))
-    codes = ctis_code_rows(core, "trial_id", "Therapeutic area", to_11, to_10, catalogue)
-    return _assemble(core, codes, country_rows(core, "trial_id", countries))
+    core = with_countries(ctis_core(ctis_age_ranges(raw)), "trial_id", countries, bound)
+    return conform(ctis_codes(core, "trial_id", "Therapeutic area", to_11, to_10, catalogue, bound=bound), TRIALS)
 
 
 def harmonise_ctus(raw: DataFrame, to_11: DataFrame, catalogue: DataFrame,
-                   countries: DataFrame) -> DataFrame:
+                   countries: DataFrame, bound: Bound = IN_PLACE) -> DataFrame:
     """US records (one row per ``nct_id``) -> :data:`tidewell.schemas.TRIALS`."""
     core = ctus_core(ctus_age_ranges(null_tokens(raw))).withColumn("methods", ctus_methods())
-    codes = ctus_code_rows(core, "trial_id", "mesh_ids", to_11, catalogue)
-    return _assemble(core, codes, country_rows(core, "trial_id", countries))
+    core = with_countries(core, "trial_id", countries, bound)
+    return conform(ctus_codes(core, "trial_id", "mesh_ids", to_11, catalogue, bound=bound), TRIALS)
