@@ -1,10 +1,14 @@
-"""Lexicon sentiment of short texts, built from joins."""
+"""Lexicon sentiment of short texts: the plain sum of word scores, and the full rules."""
 
 from __future__ import annotations
 
+from collections.abc import Callable, Collection, Mapping
+from dataclasses import dataclass, field
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tidewell.operators.inplace import IN_PLACE, in_place
 from tidewell.operators.sizing import Bound, salted_join
 
 NORMALISER = 15.0
@@ -21,8 +25,7 @@ def score_sentiment(df: DataFrame, key: str, text: str, lexicon: DataFrame,
 
     ``lexicon`` has (word, score), one row per word. Every occurrence of a
     word counts. ``key`` is unique in ``df``. This is the word-sum part of the
-    published rule-based method: negation, boosters, capitals and punctuation
-    are not weighed, so scores approximate those of the full method.
+    published rule-based method, for which see :func:`score_by_rules`.
     """
     spoken = df.filter(F.col(text).isNotNull() & (F.col(text) != ""))
     # Outer punctuation is not part of a word; inner apostrophes and hyphens are.
@@ -38,6 +41,137 @@ def score_sentiment(df: DataFrame, key: str, text: str, lexicon: DataFrame,
     return scored.groupBy(key).agg(compound(total).alias("media_sentiment_score"))
 
 
-def with_sentiment(df: DataFrame, key: str, text: str, lexicon: DataFrame) -> DataFrame:
-    """``df`` plus ``media_sentiment_score``; null where there is no text."""
-    return df.join(score_sentiment(df, key, text, lexicon), key, "left")
+def with_sentiment(df: DataFrame, key: str, text: str, lexicon: DataFrame, rules: Rules | None = None) -> DataFrame:
+    """``df`` plus ``media_sentiment_score``, by ``rules`` or as the word sum; null where there is no text."""
+    scores = score_by_rules(df, key, text, lexicon, rules) if rules else score_sentiment(df, key, text, lexicon)
+    return df.join(scores, key, "left")
+
+
+# Fixed values of the published rule-based method.
+CAPITALS = 0.733
+NEGATED, INTENSIFIED = -0.74, 1.25
+DAMPING = (1.0, 0.95, 0.9)
+BEFORE_BUT, AFTER_BUT = 0.5, 1.5
+EXCLAMATION, MOST_EXCLAMATIONS, QUESTION, MANY_QUESTIONS = 0.292, 4, 0.18, 0.96
+PUNCTUATION = "!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~"
+
+
+@dataclass(frozen=True)
+class Rules:
+    """Word lists of the rule-based method, in lower case.
+
+    ``boosters`` add their number to the strength of one of the three words
+    after them (dampers have a negative one). ``negations`` turn it round, as
+    does every word with ``n't``.
+    """
+
+    boosters: Mapping[str, float] = field(default_factory=dict)
+    negations: Collection[str] = ()
+
+
+def _marked_words(text: Column, find: Callable[[Column], Column], rules: Rules) -> Column:
+    """The words of a text as structs: low, score (null if not in the lexicon), caps, boost, negates."""
+    boosters = F.create_map(*[F.lit(x) for pair in rules.boosters.items() for x in pair]).cast("map<string,double>")
+    negations = F.array(*[F.lit(w) for w in sorted(rules.negations)]).cast("array<string>")
+
+    def mark(token: Column) -> Column:
+        bare = F.btrim(token, F.lit(PUNCTUATION))
+        # Of one or two characters the punctuation may be all the sense.
+        word = F.when(F.char_length(bare) <= 2, token).otherwise(bare)
+        low = F.lower(word)
+        return F.struct(
+            low.alias("low"), find(low).cast("double").alias("score"), ((F.upper(word) == word) & (low != word)).alias("caps"),
+            F.try_element_at(boosters, low).alias("boost"), (F.array_contains(negations, low) | F.contains(low, F.lit("n't"))).alias("negates"))
+
+    return F.transform(F.regexp_extract_all(text, F.lit(r"(?U)\S+"), F.lit(0)), mark)
+
+
+def _strength(words: Column, one: Column, i: Column, mixed_case: Column) -> Column:
+    """What the word at ``i`` adds: its score, changed by the three words before it."""
+    def before(n: int) -> Column:
+        return F.get(words, i - n)
+
+    def low(n: int) -> Column:
+        return F.coalesce(before(n)["low"], F.lit(""))
+
+    def negates(n: int) -> Column:
+        return F.coalesce(before(n)["negates"], F.lit(False))
+
+    def loud(strength: Column) -> Column:
+        return F.when(strength > 0, CAPITALS).otherwise(-CAPITALS)
+
+    after = F.get(words, i + 1)
+    silent = one["score"].isNull() | one["boost"].isNotNull() | ((one["low"] == "kind") & F.coalesce(after["low"] == "of", F.lit(False)))
+    own = (F.when((one["low"] == "no") & after["score"].isNotNull(), 0.0)
+           .when((low(1) == "no") | (low(2) == "no") | ((low(3) == "no") & low(1).isin("or", "nor")), one["score"] * NEGATED)
+           .otherwise(one["score"]))
+    # What each earlier word does depends on the words alone; the fold carries nothing but the strength.
+    so = [None, low(1).isin("so", "this"), low(2).isin("so", "this")]
+    doubt = [None, low(1) == "doubt", low(2) == "doubt"]
+    factors = [
+        F.when(negates(1), NEGATED).otherwise(1.0),
+        F.when((low(2) == "never") & so[1], INTENSIFIED).when((low(2) == "without") & doubt[1], 1.0).when(negates(2), NEGATED).otherwise(1.0),
+        F.when((low(3) == "never") & (so[1] | so[2]), INTENSIFIED).when((low(3) == "without") & (doubt[1] | doubt[2]), 1.0)
+        .when(negates(3), NEGATED).otherwise(1.0)]
+    # Words of the lexicon change nothing, nor do those before the text's start.
+    earlier = F.filter(F.array(*[F.struct(
+        (before(n)["low"].isNotNull() & before(n)["score"].isNull()).alias("acts"), (before(n)["boost"] * damp).alias("boost"),
+        F.when(before(n)["caps"] & mixed_case & before(n)["boost"].isNotNull(), damp).otherwise(0.0).alias("loud"), factor.alias("factor"))
+        for n, damp, factor in zip((1, 2, 3), DAMPING, factors)]), lambda w: w["acts"])
+
+    def step(strength: Column, word: Column) -> Column:
+        boost = F.when(strength < 0, -word["boost"]).otherwise(word["boost"]) + loud(strength) * word["loud"]
+        return (strength + F.coalesce(boost, F.lit(0.0))) * word["factor"]
+
+    def started(strength: Column) -> Column:
+        return strength + F.when(one["caps"] & mixed_case, loud(strength)).otherwise(0.0)
+
+    # One-element folds name a value once, however often it is used.
+    shouted = F.aggregate(F.array(own), F.lit(0.0), lambda _, x: started(x))
+    folded = F.aggregate(earlier, shouted, step)
+    least = (low(1) == "least") & before(1)["score"].isNull() & ~low(2).isin("at", "very")
+    return F.when(silent, 0.0).otherwise(folded * F.when(least, NEGATED).otherwise(1.0))
+
+
+def score_by_rules(df: DataFrame, key: str, text: str, lexicon: DataFrame, rules: Rules, bound: Bound = IN_PLACE) -> DataFrame:
+    """(key, media_sentiment_score) for every row with a text, by the published rules.
+
+    A word of the lexicon counts with its score; written in capitals amid other
+    words it counts more. Boosters and negations among the three words before
+    it change it, "least" turns it round, and so does "no". Words before the
+    first "but" count half, those after it one and a half times. Exclamation
+    marks (up to four) and two or more question marks add to the sum's size,
+    which is then squeezed to (-1, 1). Idioms and emoji names are not known.
+
+    ``lexicon`` has (word, score) in lower case, one row per word. ``key`` is
+    unique in ``df``. A lexicon within ``bound`` is applied inside the row;
+    beyond it a text first gets the scores of its own words by a join.
+    """
+    spoken = df.filter(F.col(text).isNotNull() & (F.col(text) != "")).select(key, F.col(text).alias("_text"))
+    held = in_place(lexicon, "word", "score", bound)
+    if held is not None:
+        def find(word: Column) -> Column:
+            return F.get(held(word), F.lit(0))["v"]
+    else:
+        bare = _marked_words(F.col("_text"), lambda _: F.lit(None), Rules())
+        used = spoken.select(key, F.explode_outer(F.array_distinct(F.transform(bare, lambda w: w["low"]))).alias("word"))
+        known = salted_join(used.where("word IS NOT NULL"), lexicon.select("word", "score"), ["word"], F.col(key))
+        scores = known.groupBy(key).agg(F.map_from_entries(F.collect_list(F.struct("word", "score"))).alias("_scores"))
+        spoken = spoken.join(scores, key, "left")
+
+        def find(word: Column) -> Column:
+            return F.try_element_at(F.col("_scores"), word)
+    marked = spoken.withColumn("_words", _marked_words(F.col("_text"), find, rules))
+    loud = F.size(F.filter("_words", lambda w: w["caps"]))
+    staged = marked.select(key, "_text", "_words", ((loud > 0) & (loud < F.size("_words"))).alias("_mixed"),
+                           F.array_position(F.transform("_words", lambda w: w["low"]), F.lit("but")).alias("_but"))
+    turn = F.col("_but") - 1
+    sided = F.transform("_words", lambda w, i: _strength(F.col("_words"), w, i, F.col("_mixed")) * F.when(
+        (F.col("_but") == 0) | (i == turn), 1.0).when(i < turn, BEFORE_BUT).otherwise(AFTER_BUT))
+    summed = staged.select(key, "_text", F.aggregate(sided, F.lit(0.0), lambda s, x: s + x).alias("_sum"))
+
+    def count(mark: str) -> Column:
+        return F.char_length("_text") - F.char_length(F.replace("_text", F.lit(mark), F.lit("")))
+    emphasis = F.least(count("!"), F.lit(MOST_EXCLAMATIONS)) * EXCLAMATION + F.when(
+        count("?") > 3, MANY_QUESTIONS).when(count("?") > 1, count("?") * QUESTION).otherwise(0.0)
+    return summed.select(key, compound(F.col("_sum") + F.signum("_sum") * emphasis).alias("media_sentiment_score"))

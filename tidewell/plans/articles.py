@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from tidewell.functions.dates import BLANK_OFFSET, ZULU, day_text, parse_time
 from tidewell.functions.fixed_values import AUTHOR_PLACEHOLDER, CURRENTS_TOPICS
 from tidewell.functions.text import absolute_url, blank_to_null, canonical_url, tag_topic
-from tidewell.operators.sentiment import with_sentiment
+from tidewell.operators.sentiment import Rules, with_sentiment
 from tidewell.operators.upsert import collapse_incoming
 from tidewell.schemas import ARTICLES
 
@@ -67,10 +67,10 @@ def normalise_who(emergencies: DataFrame, outbreaks: DataFrame, now: str) -> Dat
     return urgent.select(*_FIELDS).unionByName(news.select(*_FIELDS))
 
 
-def score_articles(articles: DataFrame, lexicon: DataFrame) -> DataFrame:
-    """One row per url, with the sentiment of its title."""
+def score_articles(articles: DataFrame, lexicon: DataFrame, rules: Rules | None = None) -> DataFrame:
+    """One row per url, with the sentiment of its title, by ``rules`` or as the word sum."""
     single = collapse_incoming(articles, "url", "published_at", "source_apis")
-    return with_sentiment(single, "url", "title", lexicon).select(*ARTICLES.names)
+    return with_sentiment(single, "url", "title", lexicon, rules).select(*ARTICLES.names)
 
 
 # ── flattening of raw service records ────────────────────────────────────────

@@ -99,6 +99,71 @@ def sentiment_scores(spark, sf):
         "doc_id", F.round("media_sentiment_score", 3).alias("score"))
 
 
+RULES = sentiment.Rules({"of": 0.293, "de": -0.293, "so": 0.293}, {"not", "nicht", "to", "never", "without"})
+RULE_LEXICON = LEXICON | {"good": 1.9, "that": -0.9, "is": 0.7, "no": -1.2, "kind": 2.4, "la": 0.8, "in": -0.6, "was": 1.1}
+_WORDS_SQL = ", ".join(f"('{w}', {s})" for w, s in RULE_LEXICON.items())
+_BOOSTS_SQL = ", ".join(f"('{w}', {s})" for w, s in RULES.boosters.items())
+_NEGATIONS_SQL = ", ".join(f"'{w}'" for w in sorted(RULES.negations))
+_PUNCTUATION_SQL = "'" + sentiment.PUNCTUATION.replace("'", "''") + "'"
+
+
+def rules_sql(source: str) -> str:
+    """Tables ``texts`` to ``ruled`` (id, score): the rules by window functions over words, one fold step per table."""
+    def step(n: int, damp: float, factor: str) -> str:
+        loud = f"CASE WHEN c{n} AND mixed THEN CASE WHEN v > 0 THEN 0.733::DOUBLE ELSE -0.733::DOUBLE END ELSE 0 END"
+        boost = f"coalesce((CASE WHEN v < 0 THEN -b{n} ELSE b{n} END + {loud}) * {damp}::DOUBLE, 0)"
+        return f"SELECT * REPLACE (CASE WHEN l{n} IS NOT NULL AND s{n} IS NULL THEN (v + {boost}) * ({factor})::DOUBLE ELSE v END AS v)"
+    lags = ", ".join(f"lag(low, {n}) OVER o AS l{n}, lag(score, {n}) OVER o AS s{n}, lag(boost, {n}) OVER o AS b{n}, "
+                     f"lag(caps, {n}) OVER o AS c{n}, coalesce(lag(negates, {n}) OVER o, false) AS n{n}" for n in (1, 2, 3))
+    second = "CASE WHEN l2 = 'never' AND l1 IN ('so', 'this') THEN 1.25 WHEN l2 = 'without' AND l1 = 'doubt' THEN 1 WHEN n2 THEN -0.74 ELSE 1 END"
+    third = ("CASE WHEN l3 = 'never' AND (l2 IN ('so', 'this') OR l1 IN ('so', 'this')) THEN 1.25 "
+             "WHEN l3 = 'without' AND (l2 = 'doubt' OR l1 = 'doubt') THEN 1 WHEN n3 THEN -0.74 ELSE 1 END")
+    return rf"""
+lexicon(low, score) AS (SELECT w, s::DOUBLE FROM (VALUES {_WORDS_SQL}) t(w, s)),
+boosters(low, boost) AS (SELECT w, s::DOUBLE FROM (VALUES {_BOOSTS_SQL}) t(w, s)),
+texts AS ({source}),
+tokens AS (
+  SELECT id, unnest(found) AS token, generate_subscripts(found, 1) AS i
+  FROM (SELECT id, regexp_extract_all(text, '[^\x09-\x0d\x20\x{{85}}\x{{a0}}\p{{Z}}]+') AS found FROM texts)),
+bare AS (SELECT id, i, CASE WHEN length(trim(token, {_PUNCTUATION_SQL})) <= 2 THEN token ELSE trim(token, {_PUNCTUATION_SQL}) END AS word FROM tokens),
+words AS (
+  SELECT id, i, low, score, boost, upper(word) = word AND low <> word AS caps, low IN ({_NEGATIONS_SQL}) OR contains(low, 'n''t') AS negates
+  FROM (SELECT *, lower(word) AS low FROM bare) LEFT JOIN lexicon USING (low) LEFT JOIN boosters USING (low)),
+seen AS (
+  SELECT *, {lags}, lead(low) OVER o AS next_low, lead(score) OVER o AS next_score,
+    bool_or(caps) OVER (PARTITION BY id) AND NOT bool_and(caps) OVER (PARTITION BY id) AS mixed,
+    min(i) FILTER (low = 'but') OVER (PARTITION BY id) AS but_at
+  FROM words WINDOW o AS (PARTITION BY id ORDER BY i)),
+own AS (
+  SELECT *, CASE WHEN low = 'no' AND next_score IS NOT NULL THEN 0::DOUBLE
+    WHEN l1 = 'no' OR l2 = 'no' OR (l3 = 'no' AND l1 IN ('or', 'nor')) THEN score * -0.74::DOUBLE ELSE score END AS v0
+  FROM seen WHERE score IS NOT NULL AND boost IS NULL AND NOT (low = 'kind' AND coalesce(next_low, '') = 'of')),
+shouted AS (SELECT *, v0 + CASE WHEN caps AND mixed THEN CASE WHEN v0 > 0 THEN 0.733::DOUBLE ELSE -0.733::DOUBLE END ELSE 0 END AS v FROM own),
+one AS ({step(1, 1.0, "CASE WHEN n1 THEN -0.74 ELSE 1 END")} FROM shouted),
+two AS ({step(2, 0.95, second)} FROM one),
+three AS ({step(3, 0.9, third)} FROM two),
+strength AS (
+  SELECT id, v * CASE WHEN l1 = 'least' AND s1 IS NULL AND coalesce(l2, '') NOT IN ('at', 'very') THEN -0.74::DOUBLE ELSE 1 END
+    * CASE WHEN i < but_at THEN 0.5::DOUBLE WHEN i > but_at THEN 1.5::DOUBLE ELSE 1 END AS v
+  FROM three),
+totals AS (SELECT id, sum(v) AS total FROM strength GROUP BY id),
+marks AS (SELECT id, length(text) - length(replace(text, '!', '')) AS calls, length(text) - length(replace(text, '?', '')) AS asks FROM texts WHERE text <> ''),
+loud AS (
+  SELECT id, coalesce(total, 0) AS s, least(calls, 4) * 0.292::DOUBLE
+    + CASE WHEN asks > 3 THEN 0.96::DOUBLE WHEN asks > 1 THEN asks * 0.18::DOUBLE ELSE 0 END AS emphasis
+  FROM marks LEFT JOIN totals USING (id)),
+ruled AS (SELECT id, round((s + sign(s) * emphasis) / sqrt((s + sign(s) * emphasis) ** 2 + 15), 4) AS score FROM loud)
+"""
+
+
+@query("WITH " + rules_sql("SELECT doc_id AS id, text FROM documents") + "SELECT id AS doc_id, round(score, 3) AS score FROM ruled")
+def sentiment_rules(spark, sf):
+    """The full rules over whole texts; SQL has a window function for each word before."""
+    words = spark.createDataFrame(list(RULE_LEXICON.items()), "word string, score double")
+    return sentiment.score_by_rules(dealt(spark, sf, "documents"), "doc_id", "text", words, RULES).select(
+        "doc_id", F.round("media_sentiment_score", 3).alias("score"))
+
+
 @query("WITH " + SCORE_SQL + "," + PART_TERMS_SQL + """
 SELECT term AS disease_key, round(avg(score), 3) AS score
 FROM scored JOIN documents USING (doc_id), terms

@@ -12,6 +12,7 @@ from tidewell.operators import lookups
 from tidewell.plans import articles, burden, publications
 from tidewell.queries import dealt, query, table
 from tidewell.queries.codes import EXPORT_SQL, burden_export
+from tidewell.queries.enrichment import RULE_LEXICON, RULES, rules_sql
 
 NOW = "2026-03-28T06:00:00+00:00"
 DAY = "yyyy-MM-dd HH:mm:ss"
@@ -137,6 +138,25 @@ def normalise_articles(spark, sf):
         "first_seen_at", F.col("version").cast("bigint").alias("version"))
 
 
+ARTICLE_URL_SQL = r"regexp_replace(regexp_replace(coalesce(url, 'https://docs.example/' || doc_id), '\?.*', ''), '/$', '')"
+
+
+@query("WITH " + rules_sql(f"SELECT {ARTICLE_URL_SQL} AS id, string_split(text, '.')[1] AS text FROM documents LEFT JOIN pages ON page_id = doc_id") + f"""
+SELECT {ARTICLE_URL_SQL} AS url,
+       CASE WHEN lang = 'en' THEN 'newsapi.org/v2' ELSE 'api.currentsapi.services/v1' END || CASE WHEN lang IN ('en', 'es') THEN ',who' ELSE '' END AS source_apis,
+       round(score, 3) AS score
+FROM documents LEFT JOIN pages ON page_id = doc_id LEFT JOIN ruled ON id = {ARTICLE_URL_SQL}
+""")
+def score_articles(spark, sf):
+    """Articles of two services, some found by a third one as well: one row per url, sources united, titles scored."""
+    found = articles.normalise_articles(article_records(spark, sf), NOW)
+    again = found.where("language IN ('en', 'es')").withColumns({
+        "source_apis": F.array(F.lit("who")), "published_at": F.lit(None).cast("timestamp")})
+    words = spark.createDataFrame(list(RULE_LEXICON.items()), "word string, score double")
+    return articles.score_articles(found.unionByName(again), words, RULES).select(
+        "url", F.array_join("source_apis", ",").alias("source_apis"), F.round("media_sentiment_score", 3).alias("score"))
+
+
 @query("""
 WITH o AS (SELECT *, strftime(o_orderdate, '%Y-%m-%d') AS d FROM orders)
 SELECT o_orderkey || '' AS title, 'emergencies' AS topic,
