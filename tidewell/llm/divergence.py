@@ -20,8 +20,8 @@ from tidewell.session import cut_lineage
 #: Characters that are not part of a term: all of ASCII but letters.
 SEPARATORS = r"[\x00-\x40\x5B-\x60\x7B-\x7F]+"
 #: Bytes of text worked on together; numbers (sources times terms) in one shard's matrix.
-TEXT_BYTES = 1 << 21
-SHARD_CELLS = 1 << 20
+TEXT_BYTES = 1 << 19
+SHARD_CELLS = 1 << 18
 UNIT = 1_000_000_000
 
 

@@ -6,7 +6,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 
 #: Rows of partial counts that a task holds before it passes them on.
-HELD_ROWS = 400_000
+HELD_ROWS = 200_000
 
 
 def split_terms(texts: pa.Array, separators: str) -> tuple[pa.Array, pa.DictionaryArray]:
@@ -34,6 +34,7 @@ def merged_counts(partials, keys: list[str], sums: list[str], held_rows: int = H
             if rows > held_rows // 2:
                 yield from _plain(held[0])
                 held, rows = [], 0
+            pa.default_memory_pool().release_unused()
     if held:
         yield from _plain(add_up())
 
