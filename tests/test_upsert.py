@@ -135,6 +135,26 @@ def test_master_refuses_another_number_of_buckets_and_compacts(spark, tmp_path):
     assert by_url(opened().read()) == before
 
 
+def test_many_batches_leave_few_files(spark, tmp_path):
+    schema = record(url=S, published_at=S, title=S, source_apis=many(S), first_seen_at=S, last_seen_at=S, version=INT)
+    master = Master(spark, str(tmp_path / "m"), schema, "url", "published_at", "source_apis", buckets=2)
+    plain, folders = {}, []
+    for n in range(1, 16):
+        batch = [(f"u{i}", f"2024-01-{n:02d}", f"t{n}", ["A"], "t", "t", 1) for i in {n % 5, n % 7, 100 + n}]
+        master.upsert(rows(spark, *batch), fold_at=3)
+        plain |= {b[0]: b[2] for b in batch}
+        assert {r["url"]: r["title"] for r in master.read().select("url", "title").collect()} == plain
+        folders.append(len(list((tmp_path / "m").glob("v=*"))))
+        assert max(len(v) for v in master._current().values()) < 3
+    assert max(folders) <= 8 and folders[-1] <= 8  # 15 batches and their foldings wrote over 20
+    assert master.upsert(rows(spark, ("u1", "2024-02-01", "last", ["A"], "t", "t", 1)))["updated"] == 1
+    # The rest of a write that may still run is left alone.
+    running = tmp_path / "m" / f"v={master.versions()[-1] + 1}" / "data"
+    running.mkdir(parents=True)
+    master.remove_unused(keep=1)
+    assert running.exists() and len(master.versions()) <= 3 and master.read().count() == len(plain)
+
+
 def test_master_rewrites_touched_buckets_and_skips_unfinished_versions(spark, tmp_path):
     schema = record(url=S, published_at=S, title=S, source_apis=many(S), first_seen_at=S, last_seen_at=S, version=INT)
     master = Master(spark, str(tmp_path / "m"), schema, "url", "published_at", "source_apis", buckets=8)

@@ -6,8 +6,11 @@ Written last, a small ``current`` table names the versions that make up each
 bucket, and the number of buckets. A reader takes the newest version that has
 its ``current`` table, so a job that dies half-way leaves the previous version
 in place; of several rows with one key the newest version's counts. What an
-upsert writes grows with its batch, not with the master; ``compact`` folds the
-versions of a bucket into one. The number of buckets is the master's for good:
+upsert writes grows with its batch, not with the master. An upsert that leaves
+a bucket with ``FOLD_AT`` versions folds such buckets into one version each,
+and removes the folders that the newest ``KEEP`` versions do not name, so that
+files and readers' work stay bounded however many batches come. A reader that
+works on an older version than those must start again. The number of buckets is the master's for good:
 opened with another, it refuses, and opened without one it takes the stored
 one. There is one writer per master.
 """
@@ -25,6 +28,8 @@ from tidewell.operators.upsert import STATUS, collapse_incoming, merge_with_stat
 
 BUCKET = "_bucket"
 DEFAULT_BUCKETS = 64
+#: Versions of a bucket at which an upsert folds it, and finished versions whose data stay for readers that began with them.
+FOLD_AT, KEEP = 8, 3
 
 
 class Master:
@@ -130,7 +135,30 @@ class Master:
         self._commit(version, {**current, **{b: [version] for b in split}})
         return version
 
-    def upsert(self, incoming: DataFrame) -> dict[str, int]:
+    def _named(self, version: int) -> set[int]:
+        """The versions whose data make up a finished version, and itself."""
+        rows = self.spark.read.schema("version int").parquet(f"{self.path}/v={version}/current").distinct().collect()
+        return {version} | {r[0] for r in rows if r[0] is not None}
+
+    def remove_unused(self, keep: int = KEEP) -> list[int]:
+        """Remove the folders that none of the newest ``keep`` finished versions names; returns their numbers.
+
+        Numbers above the newest finished version belong to a write that may
+        still run and are left alone.
+        """
+        done = self.versions()
+        if not done:
+            return []
+        used = set().union(*(self._named(v) for v in done[-max(1, keep):]))
+        unused = [v for v in self._folders(r"v=(\d+)") if v < done[-1] and v not in used]
+        fs, _, jvm = self._files()
+        for version in unused:
+            # The mark goes first: a half-removed version must not count as finished.
+            fs.delete(jvm.org.apache.hadoop.fs.Path(f"{self.path}/v={version}/current"), True)
+            fs.delete(jvm.org.apache.hadoop.fs.Path(f"{self.path}/v={version}"), True)
+        return unused
+
+    def upsert(self, incoming: DataFrame, fold_at: int = FOLD_AT) -> dict[str, int]:
         """Merge a batch (one or more rows per key) and return the run's counts.
 
         ``total`` counts the rows written, one per key of the batch. The counts
@@ -152,7 +180,11 @@ class Master:
             merged = merge_with_status(stored, batch, self.key, self.date_col, self.source_col)
             seen = Observation("upsert")
             version = self._write(merged.observe(seen, *status_counts()).drop(STATUS))
-            self._commit(version, {**current, **{b: [*current.get(b, []), version] for b in touched}})
+            now = {**current, **{b: [*current.get(b, []), version] for b in touched}}
+            self._commit(version, now)
+            if any(len(versions) >= fold_at for versions in now.values()):
+                self.compact(fold_at)
+                self.remove_unused()
             return dict(seen.get)
         finally:
             batch.unpersist()
