@@ -17,6 +17,7 @@ from tidewell.session import scratch_path
 from tidewell.sources import files, relational
 from tidewell.sources.master import Master
 from tidewell.streaming import ingest
+from tidewell.streaming.dedup import append_once, drop_repeats, late_rows
 
 LINE = record(part=LONG, supp=LONG, quantity=DBL, flag=S)
 
@@ -307,3 +308,33 @@ def two_routes_one_master(spark, sf):
     ingest.merge_stream(rows, master, scratch_path(spark, "articles-state")).awaitTermination()
     return master.read().select("url", "topic", "language", F.array_join("source_apis", ",").alias("source_apis"), "author",
                                 F.col("version").cast("bigint").alias("version"))
+
+
+CHUNK = "CAST(floor(datediff(ts, DATE'2024-01-01') / 10) AS INT)"
+_EVENT = "event_id bigint, user_id bigint, ts timestamp, value double"
+
+
+@query("""
+WITH e AS (SELECT *, datediff('day', DATE '2024-01-01', ts::DATE) // 10 AS chunk FROM events),
+ends AS (SELECT chunk, max(ts) AS last FROM e GROUP BY chunk)
+SELECT user_id, count(*) AS n_events, CAST(count(DISTINCT event_id) AS BIGINT) AS n_distinct,
+  (SELECT count(*) FROM e JOIN ends USING (chunk) WHERE event_id % 10 = 0 AND ts < last - INTERVAL 3 DAY AND chunk < (SELECT max(chunk) FROM e) - 1) AS late
+FROM events GROUP BY user_id
+""")
+def stream_dedup_watermark(spark, sf):
+    """Events that come twice, some again in the next file and some two files later, too late; each is kept once."""
+    landed, out = scratch_path(spark, "landed-events"), scratch_path(spark, "events")
+    events = table(spark, sf, "events").select("event_id", "user_id", "ts", "value", F.expr(CHUNK).alias("chunk"))
+    ends = {r[0]: r[1] for r in events.groupBy("chunk").agg(F.max("ts")).collect()}  # one per ten days
+    for chunk in sorted(ends):
+        own, again, stale = (events.where(F.col("chunk") == c) for c in (chunk, chunk - 1, chunk - 2))
+        if chunk - 1 in ends:
+            again = again.where(F.col("ts") > F.lit(ends[chunk - 1]) - F.expr("INTERVAL 6 HOURS"))
+        if chunk - 2 in ends:
+            stale = stale.where((F.col("ts") < F.lit(ends[chunk - 2]) - F.expr("INTERVAL 3 DAYS")) & (F.col("event_id") % 10 == 0))
+        own.unionByName(own).unionByName(again).unionByName(stale).drop("chunk").coalesce(1).write.mode("append").parquet(landed)
+    rows = spark.readStream.schema(_EVENT).option("maxFilesPerTrigger", 1).parquet(landed)
+    run = append_once(drop_repeats(rows, ["event_id"], "ts", "1 day"), out, scratch_path(spark, "events-state"))
+    run.awaitTermination()
+    return spark.read.schema(_EVENT).parquet(out).groupBy("user_id").agg(
+        F.count(F.lit(1)).alias("n_events"), F.countDistinct("event_id").alias("n_distinct")).withColumn("late", F.lit(late_rows(run)).cast("bigint"))
