@@ -116,3 +116,14 @@ def test_one_of_each_class_stays_where_ids_repeat_or_miss(spark):
     kept = [tuple(r) for r in minhash.keep_one_of_each(spark.createDataFrame(table, "doc_id long, text string")).collect()]
     assert len(kept) == 4 and {table[0], table[1], table[5]} < set(kept)
     assert [r for r in kept if r[0] is None][0] in table[2:4]
+
+
+def test_query_keeps_classes_of_one_doc_id_apart(spark, tmp_path):
+    """Two unrelated texts under one doc_id share a class_id; their roots differ, and copies share both."""
+    from tidewell.llm.queries import QUERIES
+    one, other = prose(40, 1), prose(40, 2)
+    spark.createDataFrame([(5, one), (5, other), (6, one), (7, other)], "doc_id long, text string").write.parquet(str(tmp_path / "documents.parquet"))
+    got = QUERIES["op1_near_dedup"](spark, str(tmp_path)).collect()
+    assert {r.class_id for r in got} == {5} and len(got) == 4
+    roots = {d: {r.root for r in got if r.doc_id == d} for d in (5, 6, 7)}
+    assert len(roots[5]) == 2 and len(roots[6]) == len(roots[7]) == 1 and roots[6] | roots[7] == roots[5]

@@ -126,7 +126,7 @@ def op8_toxicity(spark: SparkSession, folder: str) -> DataFrame:
 
 @query()
 def op1_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
-    return near_duplicate_classes(table(spark, folder, "documents")).select("doc_id", "class_id")
+    return near_duplicate_classes(table(spark, folder, "documents")).select("doc_id", "class_id", F.hex("root").alias("root"))
 
 
 @query()
