@@ -1,4 +1,5 @@
 import json
+import random
 
 import pytest
 from pyspark.sql import functions as F
@@ -9,6 +10,7 @@ from tidewell.operators.inplace import IN_PLACE
 from tidewell.operators.sizing import Bound
 from tidewell.plans import articles, burden, trials
 from tidewell.schemas import ARTICLE, ARTICLES, CTIS_HEADERS, GHO_RECORD, TRIAL_US, TRIALS, WHO_EMERGENCY, WHO_OUTBREAK, record, S
+from tidewell.session import cut_lineage
 from tidewell.sources import files
 from tidewell.sources.master import Master
 from tidewell.streaming import ingest
@@ -204,6 +206,36 @@ def test_hierarchy_visits_each_node_once(spark):
     assert sorted(tuple(r) for r in crosswalk.reachable(edges, roots).collect()) == [("a", 1), ("b", 1), ("c", 2), ("r", 0)]
 
 
+def test_hierarchy_equals_breadth_first_search(spark):
+    """Random graphs with chains, joints, cycles in and out of reach, null ends and several roots."""
+    for seed in range(3):
+        rng = random.Random(seed)
+        edges = [(rng.randint(0, 60), rng.randint(0, 60)) for _ in range(45)] + [(i, i + 1) for i in range(100, 140)]
+        edges += [(200, 201), (201, 200), (7, 100), (120, 5), (None, 3), (4, None), (100, 101)]
+        roots = [0, 9, 110, 300]
+        depth, queue = dict.fromkeys(roots, 0), list(roots)
+        for node in queue:
+            for parent, child in edges:
+                if parent == node and child is not None and child not in depth:
+                    depth[child] = depth[node] + 1
+                    queue.append(child)
+        got = crosswalk.reachable(spark.createDataFrame(edges, "parent int, child int"),
+                                  spark.createDataFrame([(r,) for r in roots + [9, None]], "node int"))
+        assert sorted(tuple(r) for r in got.collect()) == sorted(depth.items())
+
+
+def test_hierarchy_of_a_long_chain(spark, monkeypatch):
+    """Rounds grow with the logarithm of the depth; no edges, no rounds."""
+    n, written = 5_000, []
+    monkeypatch.setattr(crosswalk, "cut_lineage", lambda df: written.append(1) or cut_lineage(df))
+    edges = spark.range(n).selectExpr("id AS parent", "id + 1 AS child")
+    got = crosswalk.reachable(edges, spark.createDataFrame([(0,)], "node long"))
+    assert got.where("node = depth").count() == got.count() == n + 1
+    assert len(written) <= 4 + 15  # edges, roots, first pointers, edges of joints; and the rounds
+    nothing = crosswalk.reachable(edges.limit(0), spark.createDataFrame([(3,)], "node long"))
+    assert [tuple(r) for r in nothing.collect()] == [(3, 0)]
+
+
 def test_gho_record_with_odd_value(spark):
     row = dict.fromkeys(GHO_RECORD.names)
     row.update(indicator_code="none", spatial_dim_type="REGION", spatial_dim="EUR", country_code="DEU", year=2020, value_display="No data")

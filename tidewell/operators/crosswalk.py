@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import itertools
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -109,28 +107,67 @@ def build_catalogue(raw: DataFrame) -> DataFrame:
     )
 
 
+def _climbed(links: DataFrame, starts: DataFrame) -> DataFrame:
+    """(node, to, steps, done) of nodes with a single parent: ``to`` is the first node above that has none or several, or starts.
+
+    Each round doubles the steps of all pointers, so rounds grow with the
+    logarithm of the longest chain. Pointers of a cycle that no start enters
+    never arrive: they are still open (not ``done``) after as many rounds as
+    the longest possible chain needs.
+    """
+    above = links.groupBy("child").agg(F.count(F.lit(1)).alias("n"), F.min("parent").alias("to")).where("n = 1")
+    up = cut_lineage(
+        above.select(F.col("child").alias("node"), "to").join(starts, "node", "left_anti")
+        .select("node", "to", F.lit(1).alias("steps"), F.lit(False).alias("done")))
+    longest, reach = up.count(), 1
+    while reach <= 2 * longest and not up.where("NOT done").isEmpty():
+        # A pointer that meets no other has arrived; one that meets an arrived one arrives with it.
+        other = up.select(F.col("node").alias("to"), F.col("to").alias("_to"), F.col("steps").alias("_steps"), F.col("done").alias("_done"))
+        moved = up.where("NOT done").join(other, "to", "left").select(
+            "node", F.coalesce("_to", "to").alias("to"), (F.col("steps") + F.coalesce("_steps", F.lit(0))).alias("steps"),
+            F.coalesce("_done", F.lit(True)).alias("done"))
+        up, reach = cut_lineage(up.where("done").unionByName(moved)), 2 * reach
+    return up
+
+
 def reachable(edges: DataFrame, roots: DataFrame) -> DataFrame:
     """(node, depth) for every node reached from ``roots`` (column ``node``).
 
-    ``edges`` has (parent, child). Each node appears once, at its least depth.
-    One join per level; edges and each level are written to the checkpoint
-    folder, so a lost executor costs at most that level. The walk ends by
-    itself, as no node is visited twice.
+    ``edges`` has (parent, child); null ends are left out, cycles and repeated
+    edges are allowed. Each node appears once, at its least depth.
+
+    Nodes with a single parent are first tied to where their chain begins, by
+    pointers that double their length each round. What is left is the graph of
+    nodes with several parents, whose edges carry the steps between them; it is
+    walked by rounds that go on from nodes with a new least depth. Rounds grow
+    with the logarithm of chains and with the number of such nodes on a path.
+    Each round is a written table, so a lost executor costs at most that round.
     """
-    links = cut_lineage(edges.select("parent", "child").distinct())
-    level = cut_lineage(roots.select("node").distinct().withColumn("depth", F.lit(0)))
-    visited = level
-    for depth in itertools.count(1):
+    links = cut_lineage(edges.where("parent IS NOT NULL AND child IS NOT NULL AND parent != child").select("parent", "child").distinct())
+    starts = cut_lineage(roots.where("node IS NOT NULL").select("node").distinct())
+    up = _climbed(links, starts)
+    joints = links.groupBy("child").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("child") \
+        .join(starts.withColumnRenamed("node", "child"), "child", "left_anti")
+    # An edge into a joint begins where its parent's chain begins; chains that arrive nowhere are left out.
+    bridges = cut_lineage(
+        links.join(joints, "child", "left_semi").join(up.withColumnRenamed("node", "parent"), "parent", "left")
+        .where("done IS NULL OR done")
+        .groupBy(F.coalesce("to", "parent").alias("parent"), "child").agg(F.min(F.coalesce("steps", F.lit(0)) + 1).alias("steps")))
+    fresh = starts.withColumn("depth", F.lit(0))
+    depths = fresh
+    while True:
         step = (
-            links.join(level.select(F.col("node").alias("parent")), "parent", "left_semi")
-            .select(F.col("child").alias("node")).distinct()
-            .join(visited.select("node"), "node", "left_anti")
-            .withColumn("depth", F.lit(depth))
+            bridges.join(fresh.withColumnRenamed("node", "parent"), "parent")
+            .groupBy(F.col("child").alias("node")).agg(F.min(F.col("depth") + F.col("steps")).alias("depth"))
+            .join(depths.withColumnRenamed("depth", "_least"), "node", "left")
+            .where("_least IS NULL OR depth < _least").drop("_least")
         )
-        level = cut_lineage(step)
-        if level.isEmpty():
-            return visited
-        visited = visited.unionByName(level)
+        fresh = cut_lineage(step)
+        if fresh.isEmpty():
+            break
+        depths = cut_lineage(depths.join(fresh, "node", "left_anti").unionByName(fresh))
+    below = up.where("done").join(depths.withColumnRenamed("node", "to"), "to")
+    return depths.unionByName(below.select("node", (F.col("depth") + F.col("steps")).alias("depth")))
 
 
 def reachable_of_kind(edges: DataFrame, roots: DataFrame, kinds: DataFrame,
