@@ -1,3 +1,4 @@
+import itertools
 import random
 
 import pytest
@@ -103,6 +104,39 @@ def test_dictionary_longest_then_title(spark, docs, catalogue, bound):
     assert names["adult onset diabetes"] == "5A11"  # shared name: smallest code
 
 
+@BOUNDS
+def test_dictionary_equals_brute_force(spark, bound):
+    """Terms that begin or end inside words, share first words, stand in titles only, or begin with short words."""
+    rng = random.Random(21)
+    parts = ["heart", "heart attack", "art", "attack", "the", "of", "the heart", "art of the", "hearts", "x-ray", "zig\nzag", ""]
+    def line(k):
+        return " ".join(rng.choice(parts) for _ in range(rng.randint(0, k)))
+    rows = [(i, line(2), line(9)) for i in range(80)] + [(80, None, None), (81, "the heart", None), (82, None, "THE, HEART")]
+    names = sorted({t for t in (line(3) for _ in range(40)) if len(t) >= 5})
+    cat = spark.createDataFrame([(f"c{i % 9}", t, []) for i, t in enumerate(names)], "icd_code string, title string, index_terms array<string>")
+    terms = matching.build_terms(cat, clean_terms=True)
+    d = spark.createDataFrame(rows, "id int, title string, text string")
+    clean = {r["id"]: (f" {r['a'].strip(' ')} ", f" {r['b'].strip(' ')} ") for r in
+             d.select("id", clean_text(F.col("title")).alias("a"), clean_text(F.col("text")).alias("b")).collect()}
+    want = set()
+    for key, (title, text) in clean.items():
+        met = [(-r["wc"], r["search_name"] not in title, r["name"], r["icd_code"]) for r in terms.collect()
+               if len(r["first_word"]) >= 3 and r["first_word"] in text.split(" ") and r["search_name"] in text]
+        want |= {(key, min(met)[3], min(met)[2])} if met else set()
+    got = matching.match_dictionary(d, "id", F.col("title"), F.col("text"), terms, bound)
+    assert len(want) > 40 and {tuple(r) for r in got.collect()} == want
+
+
+def test_dictionary_shuffles_no_text(spark, docs, catalogue):
+    plan = matching.match_dictionary(docs, "work_id", F.col("title"), matching.title_and_abstract(), matching.build_terms(catalogue))
+    lines = plan._jdf.queryExecution().executedPlan().toString().splitlines()
+    scans = [i for i, line in enumerate(lines) if "MapInArrow" in line]
+    assert len(scans) == 1 and any("Exchange" in line for line in lines[: scans[0]])
+    depth = lines[scans[0]].index("MapInArrow")
+    below = itertools.takewhile(lambda line: len(line) - len(line.lstrip(" :+-")) >= depth, lines[scans[0] + 1:])
+    assert not any("Exchange" in line for line in below)  # what is scanned gives keys and terms only
+
+
 def jaccard_brute(docs, cats, least, min_tokens):
     best = {}
     for key, a in docs.items():
@@ -115,9 +149,10 @@ def jaccard_brute(docs, cats, least, min_tokens):
     return {(k, c) for k, v in best.items() for s, c in v if s == max(v)[0]}
 
 
-@BOUNDS
+@pytest.mark.parametrize("bound, frequent", [(Bound(), 4_096), (NONE, 4_096), (Bound(), 3), (Bound(), 0)], ids=["small", "large", "three", "none"])
 @pytest.mark.parametrize("least", [0.2, 0.45, 0.5, 1.0])
-def test_jaccard_equals_brute_force(spark, bound, least):
+def test_jaccard_equals_brute_force(spark, bound, frequent, least, monkeypatch):
+    monkeypatch.setattr(matching, "FREQUENT_WORDS", frequent)
     rng = random.Random(9)
     vocabulary = [f"tok{i}" for i in range(25)]
     def bag():

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -10,10 +10,14 @@ from pyspark.sql.window import Window
 
 from tidewell.functions.fixed_values import EXCLUDED_CHAPTERS, ICD10_PATTERN, ICD11_PATTERN
 from tidewell.functions.text import clean_text, words
-from tidewell.operators.dedup import first_per_key
+from tidewell.operators.containment import TERM_BOUND, mention_pairs
+from tidewell.operators.inplace import in_place
 from tidewell.operators.rows import explode_once
 from tidewell.operators.sizing import Bound, salted_join
 
+#: Words of codes whose frequency orders the words of texts.
+FREQUENT_WORDS = 4_096
+
 
 def title_and_abstract() -> Column:
     return F.concat(F.coalesce("title", F.lit("")), F.lit(" "), F.coalesce("abstract", F.lit("")))
@@ -65,30 +69,47 @@ def build_terms(catalogue: DataFrame, clean_terms: bool = False,
 
 
 def match_dictionary(docs: DataFrame, key: str, title: Column, text: Column, terms: DataFrame,
-                     bound: Bound = Bound()) -> DataFrame:
+                     bound: Bound = TERM_BOUND) -> DataFrame:
     """(key, icd_code, name): the longest term of each text, in-title terms first.
 
     A term is a candidate where its first word (3 characters or more) is a
     word of the text, and a match where the text contains it. Ties go to the
     first name. ``key`` is unique in ``docs``.
+
+    Texts and titles are scanned once for all terms and for the first words of
+    terms that need not begin at a word. Only keys and what was found are
+    shuffled, so a first word that all texts hold costs a row per text, not one
+    per term.
     """
     def padded(value: Column) -> Column:
         return F.concat(F.lit(" "), F.trim(clean_text(value)), F.lit(" "))
 
-    base = docs.select(key, padded(text).alias("_text"), padded(title).alias("_title"))
-    probe, hit = words(F.col("_text")), F.contains("_text", "search_name")
-    slim = terms.select("first_word", "search_name", "name", "icd_code", "wc")
-    # Only keys go with the words; a text joins its candidates once.
-    probes = explode_once(base, [key], probe, "first_word")
-    pairs = probes.join(F.broadcast(slim), "first_word") if bound.holds(slim) else \
-        salted_join(probes, slim, ["first_word"], F.col(key))
-    hits = pairs.join(base, key).filter(hit)
-    rank = F.struct(
-        (-F.col("wc")).alias("wc"), (~F.contains("_title", "search_name")).alias("t"), F.col("name"))
+    def place(in_title: bool, value: Column) -> Column:
+        return F.struct(F.struct(F.col(key).alias("id"), F.lit(in_title).alias("in_title")).alias("_at"), padded(value).alias("_text"))
+
+    places = docs.select(F.inline(F.array(place(False, text), place(True, title))))
+    usable = terms.filter(F.char_length("first_word") >= 3)
+    # A term padded with blanks begins at a word: its first word needs no look of its own.
+    whole = F.col("search_name").startswith(" ")
+    entry = F.struct("first_word", whole.alias("whole"), F.struct("icd_code", "name").alias("term"), "wc")
+    first = F.struct("first_word", F.lit(True).alias("whole"), F.lit(None).cast("struct<icd_code: string, name: string>").alias("term"),
+                     F.lit(None).cast("int").alias("wc"))
+    sought = usable.select(entry.alias("_entry"), F.col("search_name").alias("_sought")).unionByName(
+        usable.filter(~whole).select("first_word").distinct()
+        .select(first.alias("_entry"), F.concat(F.lit(" "), "first_word", F.lit(" ")).alias("_sought")))
+    found = mention_pairs(places, "_at", "_text", sought, "_entry", "_sought", bound)
+    # What only the title holds does not count, but a match that it holds as well goes first.
+    met = (
+        found.groupBy(F.col("_at.id").alias(key), "_entry")
+        .agg(F.bool_or("_at.in_title").alias("_titled"), F.bool_or(~F.col("_at.in_title")).alias("_inside")).filter("_inside")
+        .select(key, "_entry.*", F.struct((-F.col("_entry.wc")).alias("wc"), (~F.col("_titled")).alias("t"), F.col("_entry.term.name")).alias("_rank"))
+    )
+    ranked = F.when(F.col("term").isNotNull(), F.col("_rank"))
+    by_word = met.groupBy(key, "first_word").agg(
+        F.bool_or("whole").alias("_present"), F.min_by("term", ranked).alias("_best"), F.min(ranked).alias("_rank"))
     return (
-        hits.select(key, "icd_code", "name", rank.alias("_rank"))
-        .groupBy(key).agg(F.min_by(F.struct("icd_code", "name"), "_rank").alias("_best"))
-        .select(key, "_best.*")
+        by_word.filter("_present AND _rank IS NOT NULL")
+        .groupBy(key).agg(F.min_by("_best", "_rank").alias("_best")).select(key, "_best.*")
     )
 
 
@@ -100,43 +121,57 @@ def code_tokens(catalogue: DataFrame) -> DataFrame:
                     .filter(F.size("cat_tokens") > 0)
 
 
+def _word_order(tokens_by_code: DataFrame) -> Callable[[Column], Column]:
+    """A function from words to a place in one order of all words: frequent words of codes last.
+
+    Only the most frequent words have a frequency of their own, so that the
+    list has a fixed size; it decides how many candidates there are, not which
+    pairs are found.
+    """
+    counted = tokens_by_code.select(F.explode("cat_tokens").alias("token")).groupBy("token").agg(F.count(F.lit(1)).alias("n"))
+    frequent = in_place(counted.orderBy(F.col("n").desc(), "token").limit(FREQUENT_WORDS), "token", "n")
+    if frequent is None:
+        return lambda word: F.struct(F.lit(0).cast("bigint").alias("n"), word.alias("token"))
+    return lambda word: F.struct(F.coalesce(F.get(frequent(word), F.lit(0))["v"], F.lit(0)).alias("n"), word.alias("token"))
+
+
 def match_jaccard(docs: DataFrame, key: str, title: Column, tokens_by_code: DataFrame,
                   min_score: float = 0.45, min_tokens: int = 3,
                   bound: Bound = Bound()) -> DataFrame:
     """(key, icd_code, jaccard): codes with the highest token Jaccard of each text.
 
     Scores under ``min_score`` and texts under ``min_tokens`` words do not
-    count; ties are all kept. Only the rarest words of a code are indexed: to
-    reach the score, at least ``ceil(min_score * n)`` of a code's ``n`` words
-    must be shared, so one of any ``n - ceil(min_score * n) + 1`` of them is.
-    Frequent words therefore rarely form pairs and no pair is lost.
+    count; ties are all kept. To reach the score, texts and codes of ``n``
+    words must share at least ``ceil(min_score * n)`` of them, so the first
+    ``n - ceil(min_score * n) + 1`` words of both, in one order of all words,
+    have a word in common. Only these are compared, frequent words come last
+    in the order, and the places of the first common word tell how many more
+    can follow. Frequent words therefore rarely form pairs and no pair is lost.
     """
+    place = _word_order(tokens_by_code)
+
+    def leading(tokens: Column) -> Column:
+        # The small slack keeps a floating product just above a whole number from losing a word.
+        needed = F.ceil(F.size(tokens) * F.lit(min_score) - F.lit(1e-9)).cast("int")
+        ordered = F.array_sort(F.transform(tokens, place))
+        return F.slice(F.transform(ordered, lambda w: w["token"]), F.lit(1), F.size(tokens) - F.greatest(needed, F.lit(1)) + 1)
+
     # Generated, not projected: filters on the words must not compute them again.
     base = docs.select(key, F.inline(F.array(F.struct(words(clean_text(title)).alias("_tokens"))))) \
                .filter(F.size("_tokens") >= max(min_tokens, 1))
-    cats = tokens_by_code.select("icd_code", "cat_tokens", F.size("cat_tokens").alias("cat_n"))
-
-    exploded = cats.select("icd_code", "cat_n", F.explode("cat_tokens").alias("token"))
-    frequency = exploded.groupBy("token").agg(F.count(F.lit(1)).alias("_df"))
-    rarest = Window.partitionBy("icd_code").orderBy("_df", "token")
-    # The small slack keeps a floating product just above a whole number from losing a word.
-    needed = F.ceil(F.col("cat_n") * F.lit(min_score) - F.lit(1e-9))
-    index = (
-        exploded.join(frequency, "token")
-        .withColumn("_rn", F.row_number().over(rarest))
-        .filter(F.col("_rn") <= F.col("cat_n") - needed + 1)
-        .select("token", "icd_code", "cat_n")
-    )
+    cats = tokens_by_code.select("icd_code", "cat_tokens", F.size("cat_tokens").alias("cat_n")).filter("cat_n > 0")
+    index = cats.select("icd_code", "cat_n", F.posexplode(leading(F.col("cat_tokens"))).alias("_j", "token"))
 
     n, m = F.size("_tokens"), F.col("cat_n")
     # A text far longer or shorter than every code cannot reach the score.
     longest, shortest = cats.agg(F.max("cat_n")).scalar(), cats.agg(F.min("cat_n")).scalar()
     base = base.filter((longest >= n * F.lit(min_score) - 1e-9) & (n >= shortest * F.lit(min_score) - 1e-9))
-    # Only keys and sizes go with the words; word lists join the candidates once per pair.
-    probes = base.select(key, n.alias("_n"), F.explode("_tokens").alias("token"))
+    # Only keys, sizes and leading words go to the codes; word lists join the candidates once per pair.
+    probes = base.select(key, n.alias("_n"), F.posexplode(leading(F.col("_tokens"))).alias("_i", "token"))
     few = bound.holds(index) and bound.holds(cats)
     found = probes.join(F.broadcast(index), "token") if few else salted_join(probes, index, ["token"], F.col(key))
-    fits = (m >= F.col("_n") * F.lit(min_score) - 1e-9) & (F.col("_n") >= m * F.lit(min_score) - 1e-9)
+    most = F.least(F.col("_n") - F.col("_i"), m - F.col("_j"))
+    fits = most * F.lit(1 + min_score) >= (F.col("_n") + m) * F.lit(min_score) - 1e-9
     pairs = (
         found.filter(fits).select(key, "icd_code").distinct()
         .join(base, key).join(F.broadcast(cats) if few else cats, "icd_code")
