@@ -1,9 +1,12 @@
 """Scores worked out by hand from the rules; and both ways to reach the lexicon."""
 
+import time
 from math import sqrt
 
 import pytest
+from pyspark.sql import functions as F
 
+from tidewell.operators import sentiment
 from tidewell.operators.inplace import IN_PLACE
 from tidewell.operators.sentiment import Rules, score_by_rules
 from tidewell.operators.sizing import Bound
@@ -50,3 +53,30 @@ def test_long_texts_and_no_lists(spark):
     df = spark.createDataFrame([(1, "good bad " * 20_000), (2, "not very good")], "id int, t string")
     got = {r[0]: r[1] for r in score_by_rules(df, "id", "t", lexicon, Rules()).collect()}
     assert got[1] == -1.0 and got[2] == squeezed(1.9 + 0.5)
+
+
+def test_small_pieces_blocks_and_caches(spark, monkeypatch):
+    for name, value in {"PIECE_CHARS": 1, "BLOCK_WORDS": 2, "KNOWN_WORDS": 3}.items():
+        monkeypatch.setattr(sentiment, name, value)
+    lexicon = spark.createDataFrame(list(LEXICON.items()), "word string, score double")
+    df = spark.createDataFrame([(t,) for t in CASES], "t string").selectExpr("t", "t AS text").coalesce(1)
+    scores = score_by_rules(df, "t", "text", lexicon, RULES)
+    assert {r[0]: r[1] for r in scores.collect()} == {t: squeezed(x) for t, x in CASES.items()}
+
+
+def test_rules_keep_pace(spark):
+    """Rules as expressions inside the row took seconds a MB; 32 MB in one task must not take a minute."""
+    lexicon = spark.createDataFrame(list(LEXICON.items()), "word string, score double")
+    words = "a plain word or two and then something very good but NOT a bad one, isn't it?\n" * 1_000
+    df = spark.range(400).select("id", F.lit(words).alias("t")).coalesce(1)
+    start = time.monotonic()
+    assert {r[1] for r in score_by_rules(df, "id", "t", lexicon, RULES).collect()} == {1.0}
+    assert time.monotonic() - start < 60
+
+
+@pytest.mark.parametrize("text", ["good\x1cbad", "good\x85bad", "good　bad", "good​bad"])
+def test_white_space_of_unicode(spark, text):
+    lexicon = spark.createDataFrame(list(LEXICON.items()), "word string, score double")
+    apart = text[4] in "\x85　"
+    got = score_by_rules(spark.createDataFrame([(1, text)], "id int, t string"), "id", "t", lexicon, RULES).first()[1]
+    assert got == (squeezed(-0.6) if apart else 0.0)
