@@ -1,6 +1,8 @@
 import itertools
 import random
 
+import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -45,6 +47,20 @@ def test_containment_equals_brute_force(spark, texts, terms, bound, chunk, bits,
     assert counts == {t: sum(1 for _, u in want if u == t) for t in {u for _, u in want}}
 
 
+def test_containment_hands_on_what_a_text_holds_when_it_ends(monkeypatch):
+    """What is held does not grow with the texts of a batch: 80,000 matches in one batch of texts leave chunk by chunk, a long text's once."""
+    monkeypatch.setattr(containment, "CHUNK_BYTES", 4096)
+    terms = [f"w{n:03d}" for n in range(500)]
+    marks = pa.Table.from_batches(containment._mark_terms([pa.RecordBatch.from_pydict({"t": terms})])).group_by("word").aggregate([("bits", "list")])
+    marks = pa.table({"word": marks["word"], "bits": [int(np.bitwise_or.reduce(bits)) for bits in marks["bits_list"].to_pylist()]})
+    texts = [" ".join(terms[(n + k) % 500] for k in range(3_000 if n == 7 else 400)) for n in range(200)]
+    batch = pa.RecordBatch.from_pydict({"key": list(range(200)), "text": texts})
+    parts = list(containment._scan(iter([batch]), *containment._sought(marks)))
+    found = [(k, t) for part in parts for k, t in zip(part["key"].to_pylist(), part["term_text"].to_pylist())]
+    assert sorted(found) == sorted({(n, t) for n, text in enumerate(texts) for t in text.split()})
+    assert max(part.num_rows for part in parts) <= 4 * 500
+
+
 def test_containment_of_long_texts_and_terms(spark):
     """Terms longer than a chunk, over its ends, repeated, and in a text that is one of many in a batch."""
     rng = random.Random(6)

@@ -20,6 +20,7 @@ from collections import defaultdict
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import cloudpickle
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -30,9 +31,10 @@ from tidewell.operators.sizing import Bound, salted_join
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 TERM_BOUND = Bound(max_rows=1_000_000, max_bytes=64 * 1024 * 1024)
-#: log2 of the slots of a bitmap (2 MB each), and bytes of text that are hashed together.
+#: log2 of the slots of a bitmap (2 MB each), bytes of text that are hashed together, and matches that are strings at once.
 SLOT_BITS = 24
-CHUNK_BYTES = 1 << 20
+CHUNK_BYTES = 1 << 18
+HITS = 50_000
 
 _WORDS = 1 << (SLOT_BITS - 6)
 _ONE, _TWO = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F)
@@ -96,53 +98,70 @@ def _slices(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> pa.Array:
     return pa.LargeStringArray.from_buffers(len(lengths), pa.py_buffer(offsets.astype(np.int64)), pa.py_buffer(taken))
 
 
-def _candidates(texts: DataFrame, key: str, text: str, names: DataFrame) -> tuple[DataFrame, int, int]:
-    """Distinct (key, term_text) per row of ``texts``, which hold all that are terms; and rows and bytes of ``names``."""
-    marks = (names.select("term_text").mapInArrow(_mark_terms, "word long, bits long, rows long, bytes long")
-             .groupBy("word").agg(F.bit_or("bits").alias("bits"), F.sum("rows").alias("rows"), F.sum("bytes").alias("bytes")))
-    # At most the words of two bitmaps and one row per length of a term.
-    found = marks.toArrow()
+def _distinct(met: pa.Table | None, rows: np.ndarray, data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> pa.Table | None:
+    """``met`` (row, term_text) with further slices, each once; few are strings at a time."""
+    parts = [] if met is None else [met]
+    for first in range(0, len(rows), HITS):
+        some = slice(first, first + HITS)
+        parts.append(pa.table({"row": rows[some], "term_text": _slices(data, starts[some], ends[some])}).group_by(["row", "term_text"]).aggregate([]))
+    return pa.concat_tables(parts).group_by(["row", "term_text"]).aggregate([]) if parts else None
+
+
+def _sought(found: pa.Table) -> tuple[np.ndarray, dict[int, list[int]]]:
+    """Both bitmaps, and the lengths of terms by their level, from all marks."""
     words, bits = found.column("word").to_numpy(), found.column("bits").to_numpy()
     bitmaps = np.zeros(2 * _WORDS, np.int64)
     bitmaps[words[words >= 0]] = bits[words >= 0]
     lengths = defaultdict(list)
     for length in sorted(-words[words < 0]):
         lengths[int(length).bit_length() - 1].append(int(length))
-    longest = max((some[-1] for some in lengths.values()), default=1)
-    shared = names.sparkSession.sparkContext.broadcast(bitmaps)
+    return bitmaps, dict(lengths)
+
 
-    def scan(batches):
-        firsts, wholes = np.unpackbits(shared.value.view(np.uint8), bitorder="little").view(bool).reshape(2, -1)
-        for batch in batches:
-            keys = batch.column(0)
-            data, offsets = _flat(batch.column(1))
-            parts = []
-            for start in range(int(offsets[0]), int(offsets[-1]), CHUNK_BYTES):
-                end = min(start + CHUNK_BYTES, int(offsets[-1]))
-                block = data[start: min(end + longest - 1, int(offsets[-1]))]
-                at, until = [], []
-                for level, size, hashes in _window_hashes(block, set(lengths)):
-                    marked = np.flatnonzero(firsts[_slot(hashes[: end - start])])
-                    for length in lengths[level] if len(marked) else ():
-                        inside = marked[: np.searchsorted(marked, len(block) - length, side="right")]
-                        whole = _whole_hash(hashes[inside], hashes[inside + length - size], length)
-                        inside = inside[wholes[_slot(whole)]]
-                        at.append(inside + start)
-                        until.append(inside + (start + length))
-                if not at:
-                    continue
+def _scan(batches, bitmaps: np.ndarray, lengths: dict[int, list[int]]):
+    """(key, term_text), each once, for batches of (key, text); what is held grows with a chunk and with one text's terms."""
+    firsts, wholes = np.unpackbits(bitmaps.view(np.uint8), bitorder="little").view(bool).reshape(2, -1)
+    longest = max((some[-1] for some in lengths.values()), default=1)
+    for batch in batches:
+        keys = batch.column(0)
+        data, offsets = _flat(batch.column(1))
+        met = None
+        for start in range(int(offsets[0]), int(offsets[-1]), CHUNK_BYTES):
+            end = min(start + CHUNK_BYTES, int(offsets[-1]))
+            block = data[start: min(end + longest - 1, int(offsets[-1]))]
+            at, until = [], []
+            for level, size, hashes in _window_hashes(block, set(lengths)):
+                marked = np.flatnonzero(firsts[_slot(hashes[: end - start])])
+                for length in lengths[level] if len(marked) else ():
+                    inside = marked[: np.searchsorted(marked, len(block) - length, side="right")]
+                    whole = _whole_hash(hashes[inside], hashes[inside + length - size], length)
+                    inside = inside[wholes[_slot(whole)]]
+                    at.append(inside + start)
+                    until.append(inside + (start + length))
+            if at:
                 at, until = np.concatenate(at), np.concatenate(until)
                 row = np.searchsorted(offsets, at, side="right") - 1
                 kept = until <= offsets[row + 1]
-                part = pa.table({"row": row[kept], "term_text": _slices(data, at[kept], until[kept])})
-                parts.append(part.group_by(["row", "term_text"]).aggregate([]))
-            if parts:
-                met = pa.concat_tables(parts).group_by(["row", "term_text"]).aggregate([]).combine_chunks()
-                for some in met.to_batches(max_chunksize=50_000):
-                    yield pa.RecordBatch.from_arrays([keys.take(some.column(0)), some.column(1).cast(pa.string())], names=["key", "term_text"])
+                met = _distinct(met, row[kept], data, at[kept], until[kept])
+            if met is None:
+                continue
+            # Texts that end here are done; only what the one that goes on has met is kept.
+            going = int(np.searchsorted(offsets, end, side="right")) - 1 if end < offsets[-1] else len(keys)
+            done, met = met.filter(pc.less(met["row"], going)), met.filter(pc.greater_equal(met["row"], going))
+            for some in done.to_batches(max_chunksize=HITS):
+                yield pa.RecordBatch.from_arrays([keys.take(some.column(0)), some.column(1).cast(pa.string())], names=["key", "term_text"])
+
 
+def _candidates(texts: DataFrame, key: str, text: str, names: DataFrame) -> tuple[DataFrame, int, int]:
+    """Distinct (key, term_text) per row of ``texts``, which hold all that are terms; and rows and bytes of ``names``."""
+    marks = (names.select("term_text").mapInArrow(_mark_terms, "word long, bits long, rows long, bytes long")
+             .groupBy("word").agg(F.bit_or("bits").alias("bits"), F.sum("rows").alias("rows"), F.sum("bytes").alias("bytes")))
+    # At most the words of two bitmaps and one row per length of a term.
+    found = marks.toArrow()
+    bitmaps, lengths = _sought(found)
+    shared = names.sparkSession.sparkContext.broadcast(bitmaps)
     low = texts.filter(F.col(text).isNotNull()).select(F.col(key), F.lower(F.col(text)).alias("_text"))
-    hits = low.mapInArrow(scan, f"key {low.schema[key].dataType.simpleString()}, term_text string")
+    hits = low.mapInArrow(lambda batches: _scan(batches, shared.value, lengths), f"key {low.schema[key].dataType.simpleString()}, term_text string")
     return hits.withColumnRenamed("key", key), sum(found.column("rows").to_pylist()), sum(found.column("bytes").to_pylist())
 
 
