@@ -250,3 +250,22 @@ def test_headers_in_any_order(spark, tmp_path):
         (tmp_path / name).write_text(text)
     got = {tuple(r) for r in files.read_gbd_csv(spark, str(tmp_path)).select("cause_id", "location_id", "year", "val").collect()}
     assert got == {(1, 2, None, 3.5), (10, 20, None, 7.5), (5, None, 1990, 1.5)}
+
+
+def test_first_lines_without_sort(spark, tmp_path):
+    """Many small files in one task, one of two blocks, one without lines: one header each, and no row is sorted or shuffled."""
+    texts = {f"f{n}": f"h{n % 3},x\n" + f"{n},1\n" * n for n in range(20)} | {"bom": "\ufeffh0,x\r\n1,2\r\n", "none": "", "blank": "\n1\n", "big": "h1,x\n" + "12345,1\n" * 300_000}
+    for name, text in texts.items():
+        (tmp_path / f"{name}.csv").write_bytes(text.encode())
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "1m")
+    try:
+        lines = files.first_lines(spark, str(tmp_path))
+        plan = lines._jdf.queryExecution().executedPlan().toString()
+        found = {r["file"].rsplit("/", 1)[1].removesuffix(".csv"): r["header"] for r in lines.collect()}
+        groups = files.files_by_header(spark, str(tmp_path))
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+    assert found == {name: text.removeprefix("\ufeff").split("\n")[0].rstrip("\r") for name, text in texts.items() if text}
+    assert not any(step in plan for step in ("Sort", "Aggregate", "Exchange"))
+    assert {h: len(some) for h, some in groups.items()} == {"h0,x": 8, "h1,x": 8, "h2,x": 6, "": 1}

@@ -3,8 +3,13 @@
 from __future__ import annotations
 
 import csv
+import sys
 from collections.abc import Callable
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
+from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, DoubleType, LongType, StringType, StructField, StructType
@@ -12,6 +17,9 @@ from pyspark.sql.types import ArrayType, DoubleType, LongType, StringType, Struc
 from tidewell.functions.text import null_tokens
 from tidewell.schemas import GBD_MEASURES, GHO_CATALOGUE, ICD_MAP
 
+# Functions of this module travel to the workers with the job.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 
 def envelope_schema(lists: dict[str, StructType]) -> StructType:
     """One landed document: run fields and the named record lists under ``data``."""
@@ -71,19 +79,36 @@ def read_ctis_csv(spark: SparkSession, path: str) -> DataFrame:
     return null_tokens(raw.toDF(*[c.lstrip("\ufeff").strip() for c in raw.columns]))
 
 
-def files_by_header(spark: SparkSession, path: str | list[str]) -> dict[str, list[str]]:
-    """First line -> the files that begin with it; one short row per file reaches the driver.
+def _first_of_each_file(batches):
+    """The first row of each run of rows that name the same file."""
+    last = None
+    for batch in batches:
+        if batch.num_rows:
+            files = batch.column(0)
+            new = [0] if files[0].as_py() != last else []
+            changed = pc.not_equal(files.slice(1), files.slice(0, len(files) - 1)).to_numpy(zero_copy_only=False)
+            new += (np.flatnonzero(changed) + 1).tolist()
+            last = files[-1].as_py()
+            if new:
+                yield batch.take(pa.array(new))
+
+
+def first_lines(spark: SparkSession, path: str | list[str]) -> DataFrame:
+    """(file, header): the first line of each file that has one.
 
-    Rows of a file are read in order, so its first line has the least id in the
-    task that holds its start.
+    A task reads the files it has one after the other, each in order, so the
+    row where the file changes is the first line: nothing is sorted or kept.
     """
-    lines = spark.read.text(path).select(
-        F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("start"),
-        F.monotonically_increasing_id().alias("n"), "value")
-    firsts = lines.where("start = 0").groupBy("file").agg(F.min_by("value", "n").alias("header")).orderBy("file")
+    lines = spark.read.text(path).select(F.col("_metadata.file_path").alias("file"), F.col("value").alias("header"),
+                                         F.col("_metadata.file_block_start").alias("start"))
+    return lines.where("start = 0").select("file", "header").mapInArrow(_first_of_each_file, "file string, header string")
+
+
+def files_by_header(spark: SparkSession, path: str | list[str]) -> dict[str, list[str]]:
+    """First line -> the files that begin with it; one short row per file reaches the driver."""
     found: dict[str, list[str]] = {}
-    for row in firsts.collect():
-        found.setdefault(row["header"].removeprefix("\ufeff").rstrip("\r"), []).append(row["file"])
+    for file, header in sorted(tuple(row) for row in first_lines(spark, path).collect()):
+        found.setdefault(header.removeprefix("\ufeff").rstrip("\r"), []).append(file)
     return found
 
 
