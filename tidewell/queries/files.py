@@ -326,16 +326,15 @@ def stream_dedup_watermark(spark, sf):
     landed, out = scratch_path(spark, "landed-events"), scratch_path(spark, "events")
     events = table(spark, sf, "events").select("event_id", "user_id", "ts", "value", F.expr(CHUNK).alias("chunk"))
     ends = {r[0]: r[1] for r in events.groupBy("chunk").agg(F.max("ts")).collect()}  # one per ten days
-    # One pass deals each event to the files that hold it; then file after file lands, each a batch of the stream.
+    # One pass over its days' rows gives a file; file after file lands, each a batch of the stream.
     chunk, last = F.col("chunk"), F.create_map(*[F.lit(x) for pair in sorted(ends.items()) for x in pair])[F.col("chunk")]
     again = F.when(F.col("ts") > last - F.expr("INTERVAL 6 HOURS"), chunk + 1)
     stale = F.when((F.col("ts") < last - F.expr("INTERVAL 3 DAYS")) & (F.col("event_id") % 10 == 0), chunk + 2)
-    dealt_out = scratch_path(spark, "dealt-events")
-    events.withColumn("file", F.explode(F.array(chunk, chunk, again, stale))).where(F.col("file").isin(*ends)) \
-        .drop("chunk").write.partitionBy("file").parquet(dealt_out)
     state, late = scratch_path(spark, "events-state"), 0
     for file in sorted(ends):
-        spark.read.schema(_EVENT + ", file int").parquet(dealt_out).where(F.col("file") == file).drop("file").write.mode("append").parquet(landed)
+        days = events.where(f"ts >= timestamp(date_add(DATE'2024-01-01', {10 * (file - 2)})) AND ts < timestamp(date_add(DATE'2024-01-01', {10 * (file + 1)}))")
+        days.withColumn("file", F.explode(F.array(chunk, chunk, again, stale))).where(F.col("file") == file) \
+            .drop("chunk", "file").write.mode("append").parquet(landed)
         rows = spark.readStream.schema(_EVENT).parquet(landed)
         run = append_once(drop_repeats(rows, ["event_id"], "ts", "1 day"), out, state)
         run.awaitTermination()
